@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import ogg, sharding
+from . import language_id, ogg, quality, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_media_ogg": ogg.op3_media_ogg,
+    "op9_language_id": language_id.op9_language_id,
+    "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLE_SQL = {
