@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import language_id, ogg, packing, pieces, quality, sharding
+from . import chunk_store, language_id, ogg, packing, pieces, quality, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_media_ogg": ogg.op3_media_ogg,
+    "op6_chunk_store": chunk_store.op6_chunk_store,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_language_id": language_id.op9_language_id,
     "op4_packing": packing.op4_packing,
