@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chunk_store, language_id, ogg, packing, pieces, quality, sharding
+from . import chat, chunk_store, language_id, ogg, packing, pieces, quality, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_media_ogg": ogg.op3_media_ogg,
     "op6_chunk_store": chunk_store.op6_chunk_store,
+    "op7_chat_format": chat.op7_chat_format,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_language_id": language_id.op9_language_id,
     "op4_packing": packing.op4_packing,
@@ -16,4 +17,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_sharding": sharding.ORACLE_SQL,
+    "op7_chat_format": chat.ORACLE_SQL,
 }
