@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, chunk_store, language_id, ogg, packing, pieces, quality, sharding
+from . import chat, chunk_store, language_id, ogg, packing, pieces, quality, sharding, substrings
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_media_ogg": ogg.op3_media_ogg,
+    "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_chunk_store": chunk_store.op6_chunk_store,
     "op7_chat_format": chat.op7_chat_format,
     "op8_sentencepiece": pieces.op8_sentencepiece,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_sharding": sharding.ORACLE_SQL,
+    "op5_substring_dedup": substrings.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
 }
