@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, chunk_store, language_id, ogg, packing, pieces, quality, sharding, substrings
+from . import chat, chunk_store, language_id, near_dedup, ogg, packing, pieces, quality, sharding, substrings
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_sharding": sharding.op2_sharding,
     "op3_media_ogg": ogg.op3_media_ogg,
     "op5_substring_dedup": substrings.op5_substring_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_near_dedup": near_dedup.ORACLE_SQL,
     "op2_sharding": sharding.ORACLE_SQL,
     "op5_substring_dedup": substrings.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
