@@ -7,17 +7,22 @@ another, are the ids of the text:
 * byte BPE takes one space into the word behind it, and only a space that has a character other than white space behind it
   begins a chunk here; runs of white space stay with what stands before them.
 
-Ids are held as little-endian unsigned 32-bit integers.  A worker keeps CACHE_CHUNKS chunks at most.
+Word BPE ignores case, so its texts are first put into ASCII lower case, but for those with ``<|`` (special strings have a case)
+or with combining marks (an ASCII letter may compose with one).
+
+Ids are held as little-endian unsigned 32-bit integers.  A worker keeps two generations of CACHE_CHUNKS chunks: when the younger
+is full the older goes, and chunks still met move up.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
-
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 700_000
 #: Longer chunks are encoded each time they come.
 CACHE_LENGTH = 64
 SPACE_BEFORE_SPACE = re.compile(r" (?=\s|\Z)")
@@ -28,14 +33,20 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as the machine holds them: little-endian, four bytes")
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = self.tokenizer.normalizer is None
         self.cache: dict[bytes | str, bytes] = {}
+        self.older: dict[bytes | str, bytes] = {}
 
     def chunks(self, text: str) -> list:
         """The text's chunks; of byte BPE, all but the first stand without their leading space."""
         if not self.byte_level:
-            return text.encode("utf-8", "surrogatepass").split()
+            raw = text.encode("utf-8", "surrogatepass")
+            if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+                raw = raw.lower()
+            return raw.split()
         parts = text.split(" ")
         if not SPACE_BEFORE_SPACE.search(text):
             return parts
@@ -48,25 +59,38 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        collecting = gc.isenabled()
+        gc.disable()  # many small objects come, and none of them is part of a cycle
+        try:
+            return self._encode([t or "" for t in texts])
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        cache, texts = self.cache, [t or "" for t in texts]
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
         split = [self.chunks(t) for t in texts]
+        begun = [b""] * len(texts)
         if self.byte_level:
-            heads, split = [s[0] for s in split], [s[1:] for s in split]
-            begun = self._fresh(heads)
-        missing = list(set().union(*split) - cache.keys())
-        got = self._fresh([" " + m for m in missing] if self.byte_level else [m.decode("utf-8", "replace") for m in missing])
-        cache.update(zip(missing, got))
-        join = b"".join
-        out = [join(map(cache.__getitem__, s)) for s in split]
+            begun, split = self._fresh([s[0] for s in split]), [s[1:] for s in split]
+        missing = set().union(*split) - cache.keys()
+        if older:
+            again = missing & older.keys()
+            cache.update((m, older[m]) for m in again)
+            missing -= again
+        missing = list(missing)
+        cache.update(zip(missing, self._fresh([" " + m for m in missing] if self.byte_level else [m.decode("utf-8", "replace") for m in missing])))
+        join, get = b"".join, cache.__getitem__
+        out = [head + join(map(get, s)) for head, s in zip(begun, split)]
         for m in missing:
             if len(m) > CACHE_LENGTH:
                 del cache[m]
-        return [a + b for a, b in zip(begun, out)] if self.byte_level else out
+        return out
 
     def _fresh(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
 _encoders: dict[str, Encoder] = {}
