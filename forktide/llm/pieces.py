@@ -6,7 +6,8 @@ them meet at one boundary, the ids up to that boundary are final, are given out,
 text of any length takes memory for its undecided part only.
 
 If no piece has the sign behind another character, every path passes the boundary before each run of signs: there the
-stream always commits, and a word's ids depend on nothing around it.  A worker then keeps the ids of words it has met.
+stream always commits, and a word's ids depend on nothing around it.  A worker then keeps the ids of words it has met, and
+searches new words of one length together, position by position, with pieces found in a table of hashes.
 
 Characters without a piece become their UTF-8 bytes' pieces, at the lowest score less 10, as does U+2581 itself where the
 text has it; so decoding gives every text back.  Of equal sums the path whose last piece is longest wins.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,8 +32,9 @@ SIGN = "▁"
 #: Stands for a U+2581 of the text itself while it is searched; a lone surrogate, which no piece and no valid text has.
 LITERAL = "\ud800"
 PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 CACHE_LENGTH = 64
+TABLE_BITS = 17
 
 
 class PieceModel:
@@ -48,11 +51,109 @@ class PieceModel:
         self.prefixes = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
         self.unknown = min(s for _, s in self.pieces.values()) - PENALTY
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        if len(self.bytes) != 256:
-            raise ValueError("the model has no pieces for bytes")
+        if len(self.bytes) != 256 or max(self.byte_of) - min(self.byte_of) != 255:
+            raise ValueError("the model has no run of pieces for bytes")
         #: True if no piece has the sign behind another character.
         self.words = not any(SIGN in p.lstrip(SIGN) for p in self.pieces)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self._table()
+
+    def _table(self) -> None:
+        """Open addressing: the hash of each piece at the first free slot from its own on."""
+        names = list(self.pieces)
+        hashes = np.zeros(len(names), np.uint64)
+        for n in range(1, self.longest + 1):
+            at = [i for i, p in enumerate(names) if len(p) == n]
+            if at:
+                codes = np.frombuffer("".join(names[i] for i in at).encode("utf-32-le"), np.uint32).reshape(len(at), n)
+                h = np.zeros(len(at), np.uint64)
+                for k in range(n):
+                    h = self.step(h, codes[:, k])
+                hashes[at] = h
+        if len(set(hashes.tolist())) < len(names) or not hashes.all():
+            raise ValueError("two pieces have one hash")
+        self.slots = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.slot_id, self.slot_score, self.probes = np.zeros(len(self.slots), np.int32), np.zeros(len(self.slots)), 1
+        for p, h in zip(names, hashes.tolist()):
+            at, tries = h >> (64 - TABLE_BITS), 1
+            while self.slots[at]:
+                at, tries = (at + 1) % len(self.slots), tries + 1
+            self.slots[at], (self.slot_id[at], self.slot_score[at]) = h, self.pieces[p]
+            self.probes = max(self.probes, tries)
+
+    @staticmethod
+    def step(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+        h = (h + code.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(32))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The slot of each hash, -1 if no piece has it."""
+        at = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        there = self.slots[at]
+        out = np.where(there == h, at, -1)
+        open_ = np.flatnonzero((there != h) & (there != 0))
+        for _ in range(self.probes - 1):
+            if not len(open_):
+                break
+            at[open_] = (at[open_] + 1) % len(self.slots)
+            there = self.slots[at[open_]]
+            out[open_[there == h[open_]]] = at[open_[there == h[open_]]]
+            open_ = open_[(there != h[open_]) & (there != 0)]
+        return out
+
+    def search_many(self, words: list[str]) -> list[bytes]:
+        """search() of many words: those of one length go through the same steps at once."""
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(i)
+        for length, at in by_length.items():
+            if length > CACHE_LENGTH or len(at) < 8:
+                for i in at:
+                    out[i] = array("I", self.search(words[i]) if length <= CACHE_LENGTH else self.encode_stream(words[i])).tobytes()
+                continue
+            for low in range(0, len(at), 4096):
+                some = at[low : low + 4096]
+                for i, ids in zip(some, self._search_equal([SIGN + words[i].replace(SIGN, LITERAL).replace(" ", SIGN) for i in some])):
+                    out[i] = ids
+        return out
+
+    def _search_equal(self, windows: list[str]) -> list[bytes]:
+        n, length = len(windows), len(windows[0])
+        codes = np.ascontiguousarray(np.frombuffer("".join(windows).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T)
+        best = np.full((length + 1, n), -np.inf)
+        best[0] = 0
+        start, piece = np.zeros((length + 1, n), np.int16), np.full((length + 1, n), -1, np.int32)
+        for s in range(length):
+            h, base = np.zeros(n, np.uint64), best[s]
+            for end in range(s + 1, min(length, s + self.longest) + 1):
+                h = self.step(h, codes[end - 1])
+                slot = self.find(h)
+                hit = np.flatnonzero(slot >= 0)
+                if end == s + 1:
+                    lone = np.flatnonzero(slot < 0)
+                    better = lone[base[lone] + self.unknown > best[end, lone]]
+                    best[end, better], start[end, better], piece[end, better] = base[better] + self.unknown, s, -1
+                if len(hit):
+                    score = base[hit] + self.slot_score[slot[hit]]
+                    up = score > best[end, hit]
+                    hit = hit[up]
+                    best[end, hit], start[end, hit], piece[end, hit] = score[up], s, self.slot_id[slot[hit]]
+        start, piece = start.T.tolist(), piece.T.tolist()
+        out = []
+        for w, to, ids in zip(windows, start, piece):
+            end, path = length, []
+            while end:
+                s = to[end]
+                if ids[end] >= 0:
+                    path.append(ids[end])
+                else:
+                    path += reversed(self.fallback(w[s]))
+                end = s
+            path.reverse()
+            out.append(array("I", path).tobytes())
+        return out
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (SIGN if char == LITERAL else char).encode("utf-8", "surrogatepass")]
@@ -120,33 +221,38 @@ class PieceModel:
         signed = SIGN + text.replace(SIGN, LITERAL).replace(" ", SIGN) if text else ""
         return [k for run in self.stream([signed]) for k in run]
 
+    def words_of(self, text: str) -> list[str]:
+        """The text's words, each with the spaces before it but for one."""
+        words = text.split(" ")
+        if "" not in words:
+            return words
+        out, run = [], 0
+        for w in words[:-1]:
+            if w:
+                out.append(" " * run + w)
+            run = 0 if w else run + 1
+        return [*out, " " * run + words[-1]]
+
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
         if not self.words:
-            return np.array(self.encode_stream(text), "<u4").tobytes()
-        cache, words = self.cache, text.split(" ")
-        if "" in words:  # a run of signs belongs to the word behind it
-            words, run, joined = [], 0, words
-            for w in joined[:-1]:
-                if w:
-                    words.append(" " * run + w)
-                run = 0 if w else run + 1
-            words.append(" " * run + joined[-1])
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for w in set(words) - cache.keys():
-            ids = self.search(w) if len(w) <= CACHE_LENGTH else self.encode_stream(w)
-            cache[w] = np.array(ids, "<u4").tobytes()
-        out = b"".join(map(cache.__getitem__, words))
-        for w in words:
+            return [array("I", self.encode_stream(t or "")).tobytes() for t in texts]
+        if len(self.cache) > CACHE_WORDS:
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
+        split = [self.words_of(t) if t else [] for t in texts]
+        missing = set().union(*split) - cache.keys()
+        again = missing & older.keys()
+        cache.update((w, older[w]) for w in again)
+        missing = list(missing - again)
+        cache.update(zip(missing, self.search_many(missing)))
+        out = [b"".join(map(cache.__getitem__, s)) for s in split]
+        for w in missing:
             if len(w) > CACHE_LENGTH:
-                cache.pop(w, None)
+                del cache[w]
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -187,7 +293,7 @@ def encode_column(df: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) -> (doc_id, text, ids binary)."""
 
     def f(r):
-        return {"doc_id": r["doc_id"], "text": r["text"], "ids": [model(path).encode(t) for t in r["text"]]}
+        return {"doc_id": r["doc_id"], "text": r["text"], "ids": model(path).encode_all(r["text"])}
 
     return map_arrow(df.select("doc_id", "text"), f, "doc_id long, text string, ids binary")
 
@@ -199,12 +305,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def f(r):
         m = model(path)
-        ids = [m.encode(t) for t in r["text"]]
+        ids = m.encode_all(r["text"])
         texts = [m.decode_array(i) for i in ids]
-        byte_ids = np.array(sorted(m.byte_of))
+        low, high = min(m.byte_of), max(m.byte_of)
         return {
             "doc_id": r["doc_id"], "n_ids": [len(i) // 4 for i in ids], "ids_crc32": [zlib.crc32(i) for i in ids],
-            "n_bytes": [int(np.isin(np.frombuffer(i, "<u4"), byte_ids).sum()) for i in ids],
+            "n_bytes": [int(((a >= low) & (a <= high)).sum()) for a in (np.frombuffer(i, "<u4") for i in ids)],
             "decoded_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts],
             "same": [t == (x or "") for t, x in zip(texts, r["text"])],
         }
