@@ -15,7 +15,8 @@ Reading verifies every chunk against its digest, every document against its root
 A document's CRC is put together from those of its chunks (appending by a matrix over GF(2)), so only digests, lengths and CRCs are
 shuffled back, not ids; ``reconstruct`` gives the ids themselves.
 
-Documents are tokenised once for recipes and once for chunks: that costs less than to store or shuffle ids twice.
+Documents are tokenised once, into a staged table that holds recipes and chunks by document; unique chunks are drawn from it, and it
+is removed.
 
 Defined cases: a null text is empty and has the end id alone; repeated rows each have a recipe, in an order of their own among
 equal doc_ids; a null doc_id sorts first; an empty table gives an empty store; other columns are ignored.
@@ -30,14 +31,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, map_arrow, mix64, partitions, shared_dir
+from .common import bounded_batches, documents, map_arrow, mix64, partitions, remove, shared_dir
 from .tokens import encoder, public_path
 
 END_ID = 0
-#: A chunk ends where so many low bits of the hash are zero: 256 ids in the mean.
-CUT_BITS = 8
-MIN_CHUNK = 64
-MAX_CHUNK = 2048
+#: A chunk ends where so many low bits of the hash are zero: 512 ids in the mean.
+CUT_BITS = 9
+MIN_CHUNK = 128
+MAX_CHUNK = 4096
 WINDOW_STEPS = 5
 
 
@@ -141,44 +142,44 @@ def crc_of_lists(crcs: list[list[int]], lengths: list[list[int]]) -> list[int]:
     return total.tolist()
 
 
-def _tokens(df: DataFrame, tokenizer: str, recipe: bool) -> DataFrame:
+def _tokens(df: DataFrame, tokenizer: str) -> DataFrame:
     end = np.array([END_ID], "<u4").tobytes()
 
     def f(r):
         made = [chunk_document(ids + end) for ids in encoder(tokenizer).encode(r["text"])]
-        if recipe:
-            lengths = [[len(d) // 2 for _, d in c] for c in made]
-            return {"doc_id": r["doc_id"], "n_tokens": list(map(sum, lengths)), "digests": [[h for h, _ in c] for c in made], "lengths": lengths, "root": [merkle([h for h, _ in c]) for c in made]}
-        unique = dict(x for c in made for x in c)  # a batch's copies go no further
-        return {"digest": list(unique), "n": [len(d) // 2 for d in unique.values()], "ids": list(unique.values())}
+        lengths = [[len(d) // 2 for _, d in c] for c in made]
+        digests = [[h for h, _ in c] for c in made]
+        seen: set[bytes] = set()
+        fresh = [[None if h in seen or seen.add(h) else d for h, d in c] for c in made]  # a batch's copies go no further
+        return {"doc_id": r["doc_id"], "n_tokens": list(map(sum, lengths)), "digests": digests, "lengths": lengths, "root": list(map(merkle, digests)), "chunks": fresh}
 
-    return map_arrow(df.select("doc_id", "text"), f, "doc_id long, n_tokens long, digests array<binary>, lengths array<int>, root binary" if recipe else "digest binary, n int, ids binary")
+    return map_arrow(df.select("doc_id", "text"), f, "doc_id long, n_tokens long, digests array<binary>, lengths array<int>, root binary, chunks array<binary>")
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str) -> None:
     """Write the three tables below path."""
-    n = partitions(docs.sparkSession)
-    chunks = _tokens(docs, tokenizer, recipe=False).groupBy("digest").agg(F.first("n").alias("n"), F.first("ids").alias("ids"))
-    chunks.sortWithinPartitions("digest").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/chunks")
-    spark = docs.sparkSession
-    ranged = _tokens(docs, tokenizer, recipe=True).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "root")
-    ranged.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(f"{path}/staged")
+    spark, n = docs.sparkSession, partitions(docs.sparkSession)
+    _tokens(docs, tokenizer).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/staged")
     staged = spark.read.parquet(f"{path}/staged")
-    parts = staged.groupBy("part").agg(F.sum("n_tokens").alias("ids")).orderBy("part").collect()  # a row for each part
+    chunks = staged.select(F.explode(F.arrays_zip("digests", "lengths", "chunks")).alias("c")).select(F.col("c.digests").alias("digest"), F.col("c.lengths").alias("n"), F.col("c.chunks").alias("ids"))
+    chunks = chunks.where("ids IS NOT NULL").dropDuplicates(["digest"]).sortWithinPartitions("digest")
+    chunks.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/chunks")
+    ranged = staged.drop("chunks").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "root")
+    ranged.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(f"{path}/ordered")
+    remove(spark, f"{path}/staged")
+    ordered = spark.read.parquet(f"{path}/ordered")
+    parts = ordered.groupBy("part").agg(F.sum("n_tokens").alias("ids")).orderBy("part").collect()  # a row for each part
     before, starts = 0, []
     for p in parts:
         starts.append((p["part"], before))
         before += p["ids"]
     here = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spark.createDataFrame(starts, "part int, before long")
-    recipes = staged.join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(here), F.lit(0)))
+    recipes = ordered.join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(here), F.lit(0)))
     recipes = recipes.select("doc_id", "start", "n_tokens", "digests", "lengths", "root", "part").repartitionByRange(n, "part").sortWithinPartitions("part", "start")
     recipes.write.mode("overwrite").parquet(f"{path}/recipes")
-    manifest = part_roots(spark.read.parquet(f"{path}/recipes"))
-    manifest.write.mode("overwrite").parquet(f"{path}/manifest")
-    from .common import remove
-
-    remove(spark, f"{path}/staged")
+    part_roots(spark.read.parquet(f"{path}/recipes")).write.mode("overwrite").parquet(f"{path}/manifest")
+    remove(spark, f"{path}/ordered")
 
 
 def part_roots(recipes: DataFrame) -> DataFrame:
