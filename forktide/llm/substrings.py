@@ -11,11 +11,11 @@ single place in the corpus needs no look at its words.  The steps:
 2. the super-k-mers of repeated minimisers, by document, fetch their words: each travels as one packed string to its
    minimiser's bucket;
 3. a bucket sorts its windows' words and counts them: runs of equal ones are repeats.  A bucket is at most HOT super-k-mers;
-4. minimisers with more are dealt out by the words of each single window instead, counted before the shuffle, and joined back: a
-   passage in a third of all documents is one row of the count;
+4. minimisers with more are dealt out by single windows instead, by a 128-bit digest of each window's words, counted before the
+   shuffle and joined back: a passage in a third of all documents is one row of the count;
 5. the documents' repeated spans are taken out.
 
-Documents are matched by doc_id (nulls match nulls) and a hash of the text.  Nothing is broadcast or collected.
+Documents are matched by doc_id (nulls match nulls) and, should rows share one, a hash of the text.  Nothing is broadcast or collected.
 
 Defined cases: a null or empty text has no words; a text shorter than a window loses nothing; repeated rows are repeats of
 each other and so lose their windows; an empty table gives an empty result; further columns stay in the stage and are
@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, gram_hashes, map_arrow, word_hashes, words_of
+from .common import bounded_batches, documents, gram_hashes, map_arrow, remove, shared_dir, word_hashes, words_of, written
 
 WINDOW = 35
 GRAM = 12
 #: Super-k-mers of one bucket at most.
-HOT = 2000
+HOT = 10_000
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
 
@@ -85,7 +85,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_key": F.xxhash64("text"), "_id": F.col("doc_id")})
+    return docs.withColumns({"_key": F.hash("text"), "_id": F.col("doc_id")})
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
@@ -98,40 +98,62 @@ def _places(docs: DataFrame) -> DataFrame:
         n = [len(x[0]) for x in found]
         join = (lambda i: np.concatenate([x[i] for x in found]))
         return {
-            "_id": pa.array(r["_id"], pa.int64()).take(pa.array(np.repeat(np.arange(len(n)), n))), "_key": np.repeat(np.array(r["_key"], np.int64), n),
+            "_id": pa.array(r["_id"], pa.int64()).take(pa.array(np.repeat(np.arange(len(n)), n))), "_key": np.repeat(np.array(r["_key"], np.int32), n),
             "minimiser": join(0), "start": join(1).astype(np.int32), "windows": join(2).astype(np.int32),
         }
 
-    return map_arrow(docs.select("_id", "_key", "text"), f, "_id long, _key long, minimiser long, start int, windows int")
+    return map_arrow(docs.select("_id", "_key", "text"), f, "_id long, _key int, minimiser long, start int, windows int")
+
+
+def _asked(docs: DataFrame, asked: DataFrame, part: str) -> DataFrame:
+    some = asked.select("_id", "_key", F.col(part).alias("asked")).where(F.size("asked") > 0)
+    return docs.join(some, _same(docs, some)).select(some["_id"], some["_key"], docs["text"], "asked")
 
 
 def _packed(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The words of the asked super-k-mers; of hot minimisers a row for each window."""
-    joined = docs.alias("d").join(asked, _same(docs, asked)).select(asked["_id"], asked["_key"], "text", "asked")
+    """The words of the super-k-mers of minimisers that are not hot."""
+
+    def f(r):
+        out = {k: [] for k in ("_id", "_key", "bucket", "start", "windows", "packed")}
+        for doc, key, text, rows in zip(r["_id"], r["_key"], r["text"], r["asked"]):
+            words = words_of(text)
+            for x in rows:
+                part = b" ".join(words[x["start"] : x["start"] + x["windows"] - 1 + WINDOW])
+                for name, value in zip(out, (doc, key, x["minimiser"], x["start"], x["windows"], part)):
+                    out[name].append(value)
+            if len(out["_id"]) >= 4096:
+                yield out
+                out = {k: [] for k in out}
+        yield out
+
+    return map_arrow(_asked(docs, asked, "cold"), f, "_id long, _key int, bucket long, start int, windows int, packed binary")
+
+
+def _single(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Each window of hot minimisers with a digest of its words."""
 
     def f(r):
-        out = {k: [] for k in ("_id", "_key", "bucket", "start", "windows", "packed", "hot")}
+        out = {k: [] for k in ("_id", "_key", "first", "digest")}
         for doc, key, text, rows in zip(r["_id"], r["_key"], r["text"], r["asked"]):
             words = words_of(text)
             for x in rows:
-                one = x["hot"]
-                for start, n in [(x["start"] + i, 1) for i in range(x["windows"])] if one else [(x["start"], x["windows"])]:
-                    part = b" ".join(words[start : start + n - 1 + WINDOW])
-                    for name, value in zip(out, (doc, key, x["minimiser"], start, n, part, one)):
+                for start in range(x["start"], x["start"] + x["windows"]):
+                    digest = hashlib.blake2b(b" ".join(words[start : start + WINDOW]), digest_size=16).digest()
+                    for name, value in zip(out, (doc, key, start, digest)):
                         out[name].append(value)
             if len(out["_id"]) >= 4096:
                 yield out
                 out = {k: [] for k in out}
         yield out
 
-    return map_arrow(joined, f, "_id long, _key long, bucket long, start int, windows int, packed binary, hot boolean")
+    return map_arrow(_asked(docs, asked, "hot"), f, "_id long, _key int, first int, digest binary")
 
 
 def _bucket_spans(packed: DataFrame) -> DataFrame:
     """Spans under repeated windows, bucket by bucket."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = "_id long, _key long, first int, last int"
+    schema = "_id long, _key int, first int, last int"
     arrow = to_arrow_schema(packed.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches):
@@ -158,25 +180,26 @@ def _bucket_spans(packed: DataFrame) -> DataFrame:
         count()
         yield out()
 
-    ordered = packed.where("NOT hot").select("bucket", "_id", "_key", "start", "windows", "packed").repartition("bucket").sortWithinPartitions("bucket")
+    ordered = packed.select("bucket", "_id", "_key", "start", "windows", "packed").repartition("bucket").sortWithinPartitions("bucket")
     return ordered.mapInArrow(run, schema)
 
 
-def _hot_spans(packed: DataFrame) -> DataFrame:
-    """The same for windows that travel alone, by their words."""
-    hot = packed.where("hot").select("_id", "_key", "start", "packed")
-    often = hot.groupBy("packed").count().where("count > 1").select("packed")
-    return hot.join(often, "packed").select("_id", "_key", F.col("start").alias("first"), (F.col("start") + WINDOW).alias("last"))
+def _hot_spans(single: DataFrame) -> DataFrame:
+    """The same for windows that travel alone."""
+    often = single.groupBy("digest").count().where("count > 1").select("digest")
+    return single.join(often, "digest").select("_id", "_key", "first", (F.col("first") + WINDOW).alias("last"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(_id, _key, spans array<struct<first, last>>) of each document with repeated windows; docs have _id and _key."""
-    places = _places(docs)
+    spark, path = docs.sparkSession, shared_dir(docs.sparkSession)
+    places = written(_places(docs), path)
     counts = places.groupBy("minimiser").count().where("count > 1")
-    repeated = places.join(counts, "minimiser").select("_id", "_key", F.struct("minimiser", "start", "windows", (F.col("count") > HOT).alias("hot")).alias("x"))
-    asked = repeated.groupBy("_id", "_key").agg(F.collect_list("x").alias("asked"))  # a document's own
-    packed = _packed(docs, asked)
-    spans = _bucket_spans(packed).unionByName(_hot_spans(packed))
+    repeated = places.join(counts, "minimiser").select("_id", "_key", F.col("count") > HOT, F.struct("minimiser", "start", "windows").alias("x")).toDF("_id", "_key", "hot", "x")
+    lists = (F.collect_list(F.when(c, F.col("x"))).alias(n) for n, c in (("hot", F.col("hot")), ("cold", ~F.col("hot"))))
+    asked = written(repeated.groupBy("_id", "_key").agg(*lists))  # a document's own
+    remove(spark, path)
+    spans = _bucket_spans(_packed(docs, asked)).unionByName(_hot_spans(_single(docs, asked)))
     return spans.groupBy("_id", "_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
