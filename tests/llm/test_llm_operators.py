@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 import corpus_pipeline
 from forktide.llm import chat, language_id, near_dedup, ogg, quality, registry, sharding, substrings

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 from tokenizers import Tokenizer
 
 from forktide.llm import chunk_store, packing, pieces
