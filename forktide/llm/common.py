@@ -105,6 +105,19 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tables_made() -> int:
+    """A mark for discard()."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int) -> None:
+    """Remove the tables written since a mark; nothing that is still to run may read them."""
+    for owner, path in _made[since:]:
+        if owner is spark:
+            remove(spark, path)
+    del _made[since:]
+
+
 @atexit.register
 def _remove_all() -> None:
     for spark, path in _made:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, gram_hashes, map_arrow, mix64, word_hashes, words_of, written
+from .common import bounded_batches, discard, documents, gram_hashes, map_arrow, mix64, shared_dir, tables_made, word_hashes, words_of, written
 from .components import components
 
 SHINGLE = 5
@@ -283,7 +283,9 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the least doc_id; of repeated rows of it one."""
     bounded_batches(spark)
-    kept = groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    path, mark = shared_dir(spark), tables_made()
+    kept = written(groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), path)
+    discard(spark, mark)
     named = docs.join(kept, docs["doc_id"] == kept["_kept"]).drop("_kept").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))
 

@@ -121,17 +121,22 @@ def posterior(pattern: np.ndarray, count: np.ndarray, rules: int, rounds: int =
     return p
 
 
-def judge(docs: DataFrame, keep: list[str] = ("doc_id",)) -> DataFrame:
-    """The kept columns, the counts, base_failed, quality (posterior) and kept."""
-    spark, kept = docs.sparkSession, list(keep)
+def counted(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The kept columns, the counts and the votes."""
+    kept = list(keep)
 
     def f(r):
         counts = [base_counts(t) for t in r["_text"]]
         return {n: r[n] for n in kept} | {c: [x[c] for x in counts] for c in COUNTS}
 
     fields = ", ".join([*(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in kept), *(f"{c} long" for c in COUNTS)])
-    rows = votes(written(map_arrow(docs.select(*(F.col(f"`{n}`") for n in kept), F.col("text").alias("_text")), f, fields)))
-    found = rows.groupBy("pattern").count().collect()  # 3 ** rules rows at most
+    return votes(map_arrow(docs.select(*(F.col(f"`{n}`") for n in kept), F.col("text").alias("_text")), f, fields))
+
+
+def judged(rows: DataFrame, all_rows: DataFrame) -> DataFrame:
+    """rows with base_failed, quality (posterior) and kept; the votes of all_rows are what is learned from."""
+    spark = rows.sparkSession
+    found = all_rows.groupBy("pattern").count().collect()  # 3 ** rules rows at most
     pattern, count = np.array([r[0] for r in found], np.int64), np.array([r[1] for r in found], float)
     table = spark.createDataFrame([(int(k), float(p)) for k, p in zip(pattern, posterior(pattern, count, len(RULES)))], "pattern int, quality double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -141,7 +146,8 @@ def judge(docs: DataFrame, keep: list[str] = ("doc_id",)) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    return judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+    rows = written(counted(documents(spark, sf_dir), ["doc_id"]))
+    return judged(rows, rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -149,4 +155,5 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     bounded_batches(spark)
     renamed = docs.toDF(*(f"_in_{i}" for i in range(len(docs.columns)))).withColumn("text", F.col(f"_in_{docs.columns.index('text')}"))
     carried = [c for c in renamed.columns if c != "text"]
-    return judge(renamed, carried).where("kept").select(*carried).toDF(*docs.columns)
+    # counted twice: that spares a table of all texts
+    return judged(counted(renamed, carried), counted(renamed, [])).where("kept").select(*carried).toDF(*docs.columns)
