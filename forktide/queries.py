@@ -219,17 +219,26 @@ OLD_DECODE = "old AS (SELECT *, CASE WHEN log_index % 2 = 0 THEN '{\"v\":1}' END
 NEW_DECODE = "new AS (SELECT * REPLACE (CASE WHEN log_index = 1 THEN 'ff' ELSE data END AS data), CASE WHEN block_number % 3 > 0 THEN '{\"v\":2}' END AS decoded_event, CASE WHEN block_number % 3 > 0 THEN 'v2' END AS decoder_version FROM logs_fx WHERE block_number >= 400 AND block_number < 1300)"
 
 
-def old_logs(spark, d):
+#: The same over the whole table: of every 13 heights four are old only, five both and four new only.
+WHOLE_OLD, WHOLE_NEW = "block_number % 13 < 9", "block_number % 13 >= 4"
+OLD_WHOLE = OLD_DECODE.replace("block_number < 900", WHOLE_OLD)
+NEW_WHOLE = NEW_DECODE.replace("block_number >= 400 AND block_number < 1300", WHOLE_NEW)
+
+
+def old_logs(spark, d, condition="block_number < 900"):
     even = F.col("log_index") % 2 == 0
-    return fx.logs(spark, d).where("block_number < 900").withColumns({"decoded_event": F.when(even, '{"v":1}'), "decoder_version": F.when(even, "v1")})
+    return fx.logs(spark, d).where(condition).withColumns({"decoded_event": F.when(even, '{"v":1}'), "decoder_version": F.when(even, "v1")})
 
 
-def new_logs(spark, d):
+def new_logs(spark, d, condition="block_number >= 400 AND block_number < 1300"):
     some = F.col("block_number") % 3 > 0
-    return fx.logs(spark, d).where("block_number >= 400 AND block_number < 1300").withColumns({"data": F.when(F.col("log_index") == 1, "ff").otherwise(F.col("data")), "decoded_event": F.when(some, '{"v":2}'), "decoder_version": F.when(some, "v2")})
+    return fx.logs(spark, d).where(condition).withColumns({"data": F.when(F.col("log_index") == 1, "ff").otherwise(F.col("data")), "decoded_event": F.when(some, '{"v":2}'), "decoder_version": F.when(some, "v2")})
+
 
+MERGED = "SELECT coalesce(o.block_hash, n.block_hash) AS block_hash, coalesce(o.log_index, n.log_index) AS log_index, CASE WHEN o.block_hash IS NULL THEN n.data ELSE o.data END AS data, CASE WHEN o.block_hash IS NULL THEN n.decoded_event WHEN n.data = o.data THEN coalesce(n.decoded_event, o.decoded_event) ELSE o.decoded_event END AS decoded_event, CASE WHEN o.block_hash IS NULL THEN n.decoder_version WHEN n.data = o.data THEN coalesce(n.decoder_version, o.decoder_version) ELSE o.decoder_version END AS decoder_version FROM old o FULL JOIN new n ON o.block_hash = n.block_hash AND o.log_index = n.log_index"
 
-@query("q25_log_conflict_merge", "logs_fx", sql=f"WITH {OLD_DECODE}, {NEW_DECODE} SELECT coalesce(o.block_hash, n.block_hash) AS block_hash, coalesce(o.log_index, n.log_index) AS log_index, CASE WHEN o.block_hash IS NULL THEN n.data ELSE o.data END AS data, CASE WHEN o.block_hash IS NULL THEN n.decoded_event WHEN n.data = o.data THEN coalesce(n.decoded_event, o.decoded_event) ELSE o.decoded_event END AS decoded_event, CASE WHEN o.block_hash IS NULL THEN n.decoder_version WHEN n.data = o.data THEN coalesce(n.decoder_version, o.decoder_version) ELSE o.decoder_version END AS decoder_version FROM old o FULL JOIN new n ON o.block_hash = n.block_hash AND o.log_index = n.log_index")
+
+@query("q25_log_conflict_merge", "logs_fx", sql=f"WITH {OLD_DECODE}, {NEW_DECODE} {MERGED}")
 def q25(spark, d):
     return merge.merge_logs(old_logs(spark, d), new_logs(spark, d)).select("block_hash", "log_index", "data", "decoded_event", "decoder_version")
 
@@ -249,7 +258,10 @@ def q26(spark, d):
     return merge.merge_blocks(fx.blocks(spark, d), flip_batch(spark, d)).select("height", "block_hash", "is_canonical")
 
 
-@query("q27_redecode_changed_only", "logs_fx", sql=f"WITH {OLD_DECODE}, {NEW_DECODE} SELECT o.block_hash, o.log_index, o.decoded_event, n.decoded_event AS new_event, n.decoder_version AS new_version FROM old o JOIN new n ON o.block_hash = n.block_hash AND o.log_index = n.log_index WHERE o.decoded_event IS DISTINCT FROM n.decoded_event OR o.decoder_version IS DISTINCT FROM n.decoder_version")
+CHANGED = "SELECT o.block_hash, o.log_index, o.decoded_event, n.decoded_event AS new_event, n.decoder_version AS new_version FROM old o JOIN new n ON o.block_hash = n.block_hash AND o.log_index = n.log_index WHERE o.decoded_event IS DISTINCT FROM n.decoded_event OR o.decoder_version IS DISTINCT FROM n.decoder_version"
+
+
+@query("q27_redecode_changed_only", "logs_fx", sql=f"WITH {OLD_DECODE}, {NEW_DECODE} {CHANGED}")
 def q27(spark, d):
     return merge.changed_decodes(old_logs(spark, d), new_logs(spark, d)).select("block_hash", "log_index", "decoded_event", "new_event", "new_version")
 
@@ -310,5 +322,15 @@ def q36(spark, d):
     return readiness(spark.createDataFrame(rows, "reconnect_ready boolean, gaps int, disagreements int"))
 
 
+@query("q37_log_merge_whole", "logs_fx", sql=f"WITH {OLD_WHOLE}, {NEW_WHOLE} {MERGED}")
+def q37(spark, d):
+    return merge.merge_logs(old_logs(spark, d, WHOLE_OLD), new_logs(spark, d, WHOLE_NEW)).select("block_hash", "log_index", "data", "decoded_event", "decoder_version")
+
+
+@query("q38_redecode_changed_whole", "logs_fx", sql=f"WITH {OLD_WHOLE}, {NEW_WHOLE} {CHANGED}")
+def q38(spark, d):
+    return merge.changed_decodes(old_logs(spark, d, WHOLE_OLD), new_logs(spark, d, WHOLE_NEW)).select("block_hash", "log_index", "decoded_event", "new_event", "new_version")
+
+
 QUERIES["stream_outbox_dispatch"] = lambda spark, d: streams.dispatch_once(spark, fx.outbox(spark, d))
 QUERIES["stream_dedup"] = lambda spark, d: streams.dedup_once(spark, fx.deliveries(spark, d))
