@@ -185,7 +185,10 @@ def q21(spark, d):
     return got.select("height", "block_hash", F.size("logs").cast("long").alias("n_logs"), order.alias("log_order"))
 
 
-@query("q22_apply_payload_mismatch", "blocks_fx", sql="WITH e AS (SELECT block_hash FROM blocks_fx WHERE is_canonical AND height <= 500), p AS (SELECT block_hash FROM blocks_fx WHERE (is_canonical AND height <= 500 AND height % 37 <> 0) OR (NOT is_canonical AND height <= 200)) SELECT coalesce(e.block_hash, p.block_hash) AS block_hash, CASE WHEN p.block_hash IS NULL THEN 'missing' ELSE 'surplus' END AS problem FROM e FULL JOIN p ON e.block_hash = p.block_hash WHERE e.block_hash IS NULL OR p.block_hash IS NULL")
+PAYLOADS = "WITH e AS (SELECT block_hash FROM blocks_fx WHERE is_canonical AND height <= 500), p AS (SELECT block_hash FROM blocks_fx WHERE (is_canonical AND height <= 500 AND height % 37 <> 0) OR (NOT is_canonical AND height <= 200)) SELECT coalesce(e.block_hash, p.block_hash) AS block_hash, CASE WHEN p.block_hash IS NULL THEN 'missing' ELSE 'surplus' END AS problem FROM e FULL JOIN p ON e.block_hash = p.block_hash WHERE e.block_hash IS NULL OR p.block_hash IS NULL"
+
+
+@query("q22_apply_payload_mismatch", "blocks_fx", sql=PAYLOADS)
 def q22(spark, d):
     b = fx.blocks(spark, d)
     return compare.payload_mismatches(b.where("is_canonical AND height <= 500"), b.where("(is_canonical AND height <= 500 AND height % 37 <> 0) OR (NOT is_canonical AND height <= 200)"))
@@ -332,5 +335,11 @@ def q38(spark, d):
     return merge.changed_decodes(old_logs(spark, d, WHOLE_OLD), new_logs(spark, d, WHOLE_NEW)).select("block_hash", "log_index", "decoded_event", "new_event", "new_version")
 
 
+@query("q39_payload_mismatch_whole", "blocks_fx", sql=PAYLOADS.replace(" AND height <= 500", "").replace(" AND height <= 200", ""))
+def q39(spark, d):
+    b = fx.blocks(spark, d)
+    return compare.payload_mismatches(b.where("is_canonical"), b.where("(is_canonical AND height % 37 <> 0) OR NOT is_canonical"))
+
+
 QUERIES["stream_outbox_dispatch"] = lambda spark, d: streams.dispatch_once(spark, fx.outbox(spark, d))
 QUERIES["stream_dedup"] = lambda spark, d: streams.dedup_once(spark, fx.deliveries(spark, d))
