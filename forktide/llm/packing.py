@@ -10,7 +10,8 @@ is redone alone; a sequence's id holds its partition.  Text longer than a sequen
 at the end of a partition goes to sequences whose lengths are powers of two, which need no padding.
 
 Defined cases: a null text counts as empty and still has its end id; repeated rows are packed each on its own; a null doc_id
-is carried; an empty table gives an empty result; other columns are ignored.
+is carried; an empty table gives an empty result; other columns are ignored.  Without a column of loss-bearing spans, and where
+it is null, every token bears loss, so with LOSS = LENGTH the token limit implies the loss limit.
 """
 
 from __future__ import annotations
@@ -50,21 +51,39 @@ Sequence = list[Piece]
 class Packer:
     """Packs pieces as they come; ``add`` and ``finish`` yield complete sequences.
 
-    cut: pieces may be cut anywhere; every token but the first of a piece then bears loss.
+    cut: pieces may be cut anywhere.  The first token of a piece bears no loss; of the others all do, or those that ``bearing`` tells.
     """
 
     def __init__(self, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, cut: bool = True, waiting: int = WAITING):
         self.limits, self.cut, self.waiting = np.array([length, segments, loss], float), cut, waiting
         self.pieces: list[Piece] = []
+        #: Of each waiting item with spans, how many of its first k tokens bear loss, for k from 0.
+        self.bearing: dict[int, np.ndarray] = {}
 
     def piece(self, item: int, start: int, length: int, loss: int | None = None) -> Piece:
+        if loss is None and (before := self.bearing.get(item)) is not None:
+            loss = int(before[start + length] - before[start + 1])
         return Piece(item, start, length, max(0, length - 1) if loss is None else loss)
 
-    def add(self, item: int, length: int, loss: int | None = None) -> Iterator[Sequence]:
+    def most(self, item: int, start: int, length: int, loss: int) -> int:
+        """The largest length up to the given one of a piece that begins at start and has no more loss than given."""
+        before = self.bearing.get(item)
+        if before is None:
+            return min(length, loss + 1)
+        return min(length, int(np.searchsorted(before, before[start + 1] + loss, "right")) - 1 - start)
+
+    def add(self, item: int, length: int, loss: int | None = None, bearing: np.ndarray | None = None) -> Iterator[Sequence]:
+        """loss: a count for an item that is not cut; bearing: for each token of one that may be, whether it bears loss."""
         top, start = int(self.limits[0]), 0
+        if loss is not None and self.cut or bearing is not None and not self.cut:
+            raise ValueError("items that may be cut take bearing, others loss")
+        if bearing is not None:
+            self.bearing[item] = np.concatenate(([0], np.cumsum(bearing)))
         if self.cut:
-            whole = int(min(top, self.limits[2] + 1))
-            while length - start >= whole:
+            while length > start:
+                whole = self.most(item, start, min(top, length - start), int(self.limits[2]))
+                if whole == length - start < top:
+                    break
                 yield [self.piece(item, start, whole)]
                 start += whole
         elif length > top or (loss or 0) > self.limits[2]:
@@ -85,7 +104,7 @@ class Packer:
         free, left = np.ones(n, bool), n
         total = demand.sum(0)
         while left > keep:
-            if keep == 0 and self.cut and total[0] * self.limits[0] < self.limits[0]:
+            if keep == 0 and self.cut and total[0] * self.limits[0] < self.limits[0] and total[2] < 1 + 1e-9:
                 break
             room, sequence = np.ones(3), []
             while left:
@@ -99,10 +118,10 @@ class Packer:
                     free[best], left = False, left - 1
                     continue
                 gap = round(float(room[0] * self.limits[0]))
-                gap = min(gap, round(float(room[2] * self.limits[2])) + 1)
                 if self.cut and gap >= 1 and room[1] * self.limits[1] >= 0.5:
                     best = int(np.argmax(value))
                     p = pieces[best]
+                    gap = self.most(p.item, p.start, gap, round(float(room[2] * self.limits[2])))
                     if p.length > gap:
                         sequence.append(self.piece(p.item, p.start, gap))
                         pieces[best] = self.piece(p.item, p.start + gap, p.length - gap)
@@ -112,6 +131,9 @@ class Packer:
                 break
             yield sequence
         self.pieces = [p for p, f in zip(pieces, free) if f]
+        if self.bearing:
+            waits = {p.item for p in self.pieces}
+            self.bearing = {k: v for k, v in self.bearing.items() if k in waits}
         if keep == 0 and self.pieces:
             yield from self.tail()
 
@@ -131,11 +153,22 @@ class Packer:
             yield sequence
 
 
+def in_spans(spans: list[dict], n: int) -> np.ndarray:
+    """For each of n tokens whether it lies in a span."""
+    out = np.zeros(n, bool)
+    for s in spans:
+        out[max(0, s["start"]) : max(0, s["end"])] = True
+    return out
+
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, with_ids: bool = False) -> DataFrame:
-    """A row for each piece; with_ids adds the piece's ids as binary (little-endian unsigned 32-bit)."""
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, with_ids: bool = False, loss_spans: str | None = None) -> DataFrame:
+    """A row for each piece; with_ids adds the piece's ids as binary (little-endian unsigned 32-bit).
+
+    loss_spans: a column array<struct<start, end>> of the tokens that bear loss, ends excluded; spans are cut with the pieces.
+    """
     schema = SCHEMA + ", ids binary" * with_ids
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -167,9 +200,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length
 
         for b in batches:
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for doc, ids in zip(keys, encoder(tokenizer).encode(texts)):
+            spans = b.column(2).to_pylist() if loss_spans else [None] * len(keys)
+            for doc, ids, some in zip(keys, encoder(tokenizer).encode(texts), spans):
                 held[number] = (doc, ids + end)
-                place(packer.add(number, len(ids) // 4 + 1))
+                n = len(ids) // 4 + 1
+                place(packer.add(number, n, bearing=None if some is None else in_spans(some, n)))
                 number += 1
             waits = {p.item for p in packer.pieces}
             held = {k: held[k] for k in waits}
@@ -177,7 +212,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length
         place(packer.finish())
         yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", *[loss_spans] * bool(loss_spans)).mapInArrow(run, schema)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
