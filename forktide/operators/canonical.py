@@ -115,10 +115,16 @@ def broken_links(blocks: DataFrame) -> DataFrame:
 
 
 def lag_parent_check(blocks: DataFrame) -> DataFrame:
-    """Canonical blocks whose parent hash is not that of the canonical block one below, by a join on heights."""
-    chain = canonical(blocks)
-    below = chain.select((F.col("height") + 1).alias("height"), F.col("block_hash").alias("below_hash"))
-    return chain.join(below, "height").where("parent_hash <> below_hash").select("height", "block_hash", "parent_hash", "below_hash")
+    """Canonical blocks whose parent hash is not that of the next lower canonical block, also where heights between are missing.
+
+    The block below is found within buckets of heights, and by each bucket's last block for the first one of the next bucket.
+    """
+    chain = canonical(blocks).withColumn("bucket", F.floor(F.col("height") / 65536))
+    ends = chain.groupBy("bucket").agg(F.max_by("block_hash", "height").alias("last"))  # a row for 65,536 heights
+    carried = ends.withColumn("carried", F.lag("last").over(Window.orderBy("bucket"))).select("bucket", "carried")
+    inner = F.lag("block_hash").over(Window.partitionBy("bucket").orderBy("height"))
+    lined = chain.withColumn("inner", inner).join(carried, "bucket").withColumn("below_hash", F.coalesce("inner", "carried"))
+    return lined.where("parent_hash <> below_hash").select("height", "block_hash", "parent_hash", "below_hash")
 
 
 def attached_logs(blocks: DataFrame, logs: DataFrame) -> DataFrame:

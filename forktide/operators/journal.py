@@ -34,19 +34,27 @@ def totals(outbox: DataFrame) -> DataFrame:
 def reorg_runs(outbox: DataFrame) -> DataFrame:
     """Each run of rollbacks with the run of applies behind it: first event id, both lengths, depth = the greater.
 
-    Ids have no gaps, so a run begins where the row one id below is of the other kind.  Run starts are then lined up within
-    buckets of ids, and across buckets by each bucket's first start: no window spans the table.
+    A run begins where the next lower row is of the other kind; ids may have gaps, so lengths are differences of rows' places, not of
+    ids.  Places and run starts are found within buckets of ids, and across buckets by each bucket's size, last row and
+    first start: no window spans the table.
     """
-    e = outbox.select("event_id", "event_kind")
-    below = e.select((F.col("event_id") + 1).alias("event_id"), F.col("event_kind").alias("below"))
-    starts = e.join(below, "event_id", "left").where("below IS NULL OR below <> event_kind").select("event_id", "event_kind", F.floor(F.col("event_id") / 65536).alias("bucket"))
-    firsts = starts.groupBy("bucket").agg(F.min(F.struct("event_id", "event_kind")).alias("m"))  # a row for 65,536 ids
-    after = firsts.withColumn("after", F.lead("m.event_id").over(Window.orderBy("bucket"))).select("bucket", "after")
-    end = e.agg((F.max("event_id") + 1).alias("end_id"))
-    following = F.lead("event_id").over(Window.partitionBy("bucket").orderBy("event_id"))
-    lined = starts.join(after, "bucket").crossJoin(F.broadcast(end)).withColumn("stop", F.coalesce(following, "after", "end_id"))
-    rolled = lined.where("event_kind = 'rollback'").select(F.col("event_id").alias("first_id"), "stop", (F.col("stop") - F.col("event_id")).alias("n_rollback"))
-    applied = lined.where("event_kind = 'apply'").select(F.col("event_id").alias("stop"), (F.col("stop") - F.col("event_id")).alias("n_apply"))
+    e = outbox.select("event_id", "event_kind", F.floor(F.col("event_id") / 65536).alias("bucket"))
+    sizes = e.groupBy("bucket").agg(F.count("*").alias("n"), F.max_by("event_kind", "event_id").alias("last"))  # a row for 65,536 ids
+    before = sizes.withColumns({
+        "before": F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "carried": F.lag("last").over(Window.orderBy("bucket")),
+        "end": F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+    inner = Window.partitionBy("bucket").orderBy("event_id")
+    placed = e.withColumns({"rank": F.row_number().over(inner) - 1, "inner": F.lag("event_kind").over(inner)}).join(before, "bucket")
+    changed = ~F.coalesce("inner", "carried").eqNullSafe(F.col("event_kind"))
+    starts = placed.where(changed).select("event_id", "event_kind", "bucket", (F.col("before") + F.col("rank")).alias("place"), "end")
+    firsts = starts.groupBy("bucket").agg(F.min("place").alias("first"))
+    after = firsts.withColumn("after", F.lead("first").over(Window.orderBy("bucket"))).select("bucket", "after")
+    following = F.lead("place").over(Window.partitionBy("bucket").orderBy("place"))
+    lined = starts.join(after, "bucket").withColumn("stop", F.coalesce(following, "after", "end"))
+    rolled = lined.where("event_kind = 'rollback'").select(F.col("event_id").alias("first_id"), "stop", (F.col("stop") - F.col("place")).alias("n_rollback"))
+    applied = lined.where("event_kind = 'apply'").select(F.col("place").alias("stop"), (F.col("stop") - F.col("place")).alias("n_apply"))
     out = rolled.join(applied, "stop", "left").withColumn("n_apply", F.coalesce("n_apply", F.lit(0)))
     return out.select("first_id", "n_rollback", "n_apply", F.greatest("n_rollback", "n_apply").alias("depth"))
 
