@@ -65,11 +65,7 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
 
 def map_arrow(df: DataFrame, f: Callable[[dict[str, list]], Iterator[dict] | dict], schema: str) -> DataFrame:
     """mapInArrow over Python columns: f gets a batch as {column: list} and returns {column: list} of the schema."""
-    names = df.columns
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out_schema = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+    names, out_schema = df.columns, arrow_schema(schema)
 
     def run(batches):
         for b in batches:
@@ -81,6 +77,19 @@ def map_arrow(df: DataFrame, f: Callable[[dict[str, list]], Iterator[dict] | dic
     return df.mapInArrow(run, schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with columns of names that clash with none, and text beside them; the new names, in the old order."""
+    names = [f"_in_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")])), names
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
 
