@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 ROWS_PER_BATCH = 256
 #: Words kept in a worker's hash cache before it is emptied.
 CACHE_WORDS = 400_000
+#: Of the bitmap that spares rows without a partner a shuffle: 2 ** 26 bits are 8 MB.
+FILTER_BITS = 26
 
 
 def bounded_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
@@ -24,9 +26,9 @@ def bounded_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    r"""Maximal runs of ``[^\x20\x09-\x0D]`` as UTF-8; ``bytes.split`` cuts at exactly these six bytes."""
-    return [] if text is None else text.encode("utf-8", "surrogatepass").split()
+def words_of(text: str | bytes | None) -> list[bytes]:
+    r"""Maximal runs of ``[^\x20\x09-\x0D]`` as UTF-8, of a text or its UTF-8; ``bytes.split`` cuts at exactly these six bytes."""
+    return [] if text is None else (text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")).split()
 
 
 class WordHashes(dict):
@@ -54,12 +56,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """One 64-bit hash for each run of n consecutive word hashes (Horner's rule by an odd base, then mixed)."""
+    """One 64-bit hash for each run of n consecutive word hashes: a polynomial in an odd base, by doubling the run, then mixed."""
     if len(h) < n:
         return np.empty(0, np.uint64)
-    base, out = np.uint64(0x9E3779B97F4A7C15), np.zeros(len(h) - n + 1, np.uint64)
-    for i in range(n):
-        out = out * base + mix64(h[i : len(h) - n + 1 + i] + np.uint64(i + 1))
+    base, runs, out, done = 0x9E3779B97F4A7C15, {1: h}, None, 0
+    while 2 * (k := max(runs)) <= n:
+        runs[2 * k] = runs[k][:-k] * np.uint64(pow(base, k, 1 << 64)) + runs[k][k:]
+    for k in sorted(runs, reverse=True):
+        if n & k:
+            size = len(h) - done - k + 1
+            out = runs[k] if out is None else out[:size] * np.uint64(pow(base, k, 1 << 64)) + runs[k][done : done + size]
+            done += k
     return mix64(out)
 
 
@@ -145,6 +152,22 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def likely(rows: DataFrame, key: str, ids: DataFrame, yes: bool) -> DataFrame:
+    """The rows whose key may be in the first column of ids, or (yes false) the others, which are surely not in it.
+
+    A bitmap of FILTER_BITS hashed ids, at most 8 MB, is broadcast to the scan, so that a shuffle gets few other rows; past
+    some ten million ids it lets more and more pass, and the join that follows decides.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+    bits = ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(1 << FILTER_BITS)).alias("_bit"))
+    maps = bits.groupBy(F.floor(F.col("_bit") / 32768).alias("_block")).agg(F.bitmap_construct_agg(F.col("_bit") % 32768).alias("_bits"))
+    found = rows.withColumn("_place", place).join(F.broadcast(maps), F.floor(F.col("_place") / 32768) == F.col("_block"), "left")
+    at = (F.col("_place") % 32768).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))
+    return found.where(hit if yes else ~hit).select(*(F.col(f"`{c}`") for c in rows.columns))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discard, documents, gram_hashes, map_arrow, mix64, shared_dir, tables_made, word_hashes, words_of, written
+from .common import bounded_batches, discard, documents, gram_hashes, likely, map_arrow, mix64, shared_dir, tables_made, word_hashes, words_of, written
 from .components import components
 
 SHINGLE = 5
@@ -44,8 +44,6 @@ PERCENT = 75
 #: Shingles and members of one block, about.
 BLOCK_SHINGLES = 120_000
 BLOCK_MEMBERS = 192
-#: Of the bitmap that spares documents without candidates a shuffle: 2 ** 26 bits are 8 MB.
-FILTER_BITS = 26
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -106,21 +104,6 @@ def inverted_lists(reps: DataFrame) -> DataFrame:
     return shared.select("rep", F.explode(rare["value"]).alias("value"))
 
 
-def likely_members(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows whose key may be among ids: a bitmap of FILTER_BITS hashed ids, at most 8 MB, is broadcast to the scan.
-
-    A filter before a join, so that the shuffle gets few other rows; past some ten million ids it lets more and more
-    pass, and the join alone decides.
-    """
-    place = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
-    bits = ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(1 << FILTER_BITS)).alias("p"))
-    maps = bits.groupBy(F.floor(F.col("p") / 32768).alias("_block")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("_bits"))
-    found = rows.withColumn("_place", place).join(F.broadcast(maps), F.floor(F.col("_place") / 32768) == F.col("_block"))
-    at = (F.col("_place") % 32768).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return found.where(F.getbit(byte, at % 8) == 1).select(*rows.columns)
-
-
 def pivot_pairs(lists: DataFrame) -> DataFrame:
     """Distinct (pivot, member): members of a list with its least document."""
     pivots = lists.groupBy("value").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("value", "pivot")
@@ -261,7 +244,7 @@ def groups(docs: DataFrame) -> DataFrame:
     lists = inverted_lists(first)
     pairs = written(pivot_pairs(lists))
     asked = pairs.select(F.col("pivot").alias("rep")).unionAll(pairs.select(F.col("member").alias("rep"))).distinct()
-    named = likely_members(named, "doc_id", asked)
+    named = likely(named, "doc_id", asked, True)
     sides = named.join(asked, named["doc_id"] == asked["rep"]).select("rep", "text").dropDuplicates(["rep"])
     sides = written(first.join(sides, "rep").dropDuplicates(["rep"]))
     star = written(confirmed(pairs.select(F.col("pivot").alias("a"), F.col("member").alias("b")), sides))

@@ -7,37 +7,45 @@ A window's minimiser is the smallest hash of the GRAM-word runs in it, the leftm
 their minimiser at one place are a super-k-mer.  Equal windows have equal minimisers, at places of their own, so a minimiser with a
 single place in the corpus needs no look at its words.  The steps:
 
-1. each document's super-k-mers by minimiser and position alone; counts of minimisers, summed before the shuffle;
-2. the super-k-mers of repeated minimisers, by document, fetch their words: each travels as one packed string to its
-   minimiser's bucket;
-3. a bucket sorts its windows' words and counts them: runs of equal ones are repeats.  A bucket is at most HOT super-k-mers;
-4. minimisers with more are dealt out by single windows instead, by a 128-bit digest of each window's words, counted before the
-   shuffle and joined back: a passage in a third of all documents is one row of the count;
-5. the documents' repeated spans are taken out.
-
-Documents are matched by doc_id (nulls match nulls) and, should rows share one, a hash of the text.  Nothing is broadcast or collected.
-
-Defined cases: a null or empty text has no words; a text shorter than a window loses nothing; repeated rows are repeats of
-each other and so lose their windows; an empty table gives an empty result; further columns stay in the stage and are
-ignored by the query.
+1. each row's text is known by its 128-bit digest from here on.  A text of several rows goes on once; as all its windows are
+   repeated, all of it goes, and copies neither travel nor multiply;
+2. the minimisers' places are counted, summed before the shuffle; each text is told which of its minimisers are repeated;
+3. the super-k-mers of those travel as one packed string each to their minimiser's bucket.  A task sends a string's words
+   twice at most, however often it meets it: twice is enough to know that it is repeated;
+4. a bucket sorts the windows of its distinct strings and counts them: runs of equal ones are repeats.  A minimiser with more
+   than BUCKET distinct strings is salted: its bucket becomes several, a string is cut into its windows, and equal windows go to
+   the same one by a hash of their words, again twice a task at most.  So a bucket is bounded, and what is sorted and
+   compared is whole words everywhere;
+5. each distinct string's repeated windows are a mask, which is joined to the string's places, and by text to the rows.
+
+Strings and windows are matched with the bucket's answers by 128-bit digests.  What is broadcast is a bitmap of 8 MB, which spares the
+texts without candidates a shuffle (``likely``); nothing is collected.
+
+Defined cases: a null or empty text has no words; a text shorter than a window loses nothing; repeated rows, and rows of one
+text under several or null doc_ids, are repeats of each other and so lose their windows; an empty table gives an empty
+result; further columns, whatever their names, stay in the stage and are ignored by the query.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, gram_hashes, map_arrow, remove, shared_dir, word_hashes, words_of, written
+from .common import arrow_schema, bounded_batches, documents, gram_hashes, likely, map_arrow, numbered, word_hashes, words_of, written
 
 WINDOW = 35
 GRAM = 12
-#: Super-k-mers of one bucket at most.
-HOT = 10_000
+#: Distinct strings of one bucket, about; a minimiser with more is salted.
+BUCKET = 1024
+#: Digests that a task remembers to have sent, before it begins anew.
+REMEMBERED = 200_000
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
 
@@ -53,25 +61,46 @@ def first_minima(h: np.ndarray, width: int) -> np.ndarray:
     return index
 
 
-def super_kmers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, number of windows) of each super-k-mer of a document."""
-    if len(words) < WINDOW:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    grams = gram_hashes(word_hashes(words), GRAM)
+def super_kmers(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, minimiser, first window, number of windows) of each super-k-mer of some texts, given as words, in order."""
+    long = [i for i, w in enumerate(texts) if len(w) >= WINDOW]
+    if not long:
+        return (np.empty(0, np.int64),) * 4
+    sizes = np.array([len(texts[i]) for i in long])
+    begins = np.cumsum(sizes) - sizes
+    hashes = np.concatenate([word_hashes(texts[i]) for i in long])
+    grams = gram_hashes(hashes, GRAM)
     place = first_minima(grams, WINDOW - GRAM + 1)
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
-    return grams[place[starts]].view(np.int64), starts, np.diff(np.concatenate((starts, [len(place)])))
-
-
-def repeated_windows(packed: list[tuple[list[bytes], int]]) -> list[list[tuple[int, int]]]:
-    """packed: (words, windows) of a bucket's super-k-mers.  For each the spans of words under repeated windows."""
-    windows = sorted((b" ".join(words[j : j + WINDOW]), i, j) for i, (words, n) in enumerate(packed) for j in range(n))
-    hits: list[list[int]] = [[] for _ in packed]
-    for k, (text, i, j) in enumerate(windows):
-        if k and windows[k - 1][0] == text or k + 1 < len(windows) and windows[k + 1][0] == text:
-            hits[i].append(j)
-    return [merged([(j, j + WINDOW) for j in sorted(h)]) for h in hits]
+    inside = np.ones(len(place), bool)  # windows that lie in one text
+    for b in begins[1:]:
+        inside[b - WINDOW + 1 : b] = False
+    same = inside[1:] & inside[:-1] & (place[1:] == place[:-1])
+    first = np.flatnonzero(inside & np.concatenate(([True], ~same)))
+    last = np.flatnonzero(inside & np.concatenate((~same, [True])))
+    text = np.searchsorted(begins, first, "right") - 1
+    return np.array(long)[text], grams[place[first]].view(np.int64), first - begins[text], last - first + 1
+
+
+def windows_of(packed: bytes) -> list[bytes]:
+    """The windows of a packed string of words."""
+    words = packed.split(b" ")
+    if len(words) == WINDOW:
+        return [packed]
+    ends = np.cumsum([len(w) + 1 for w in words])
+    return [packed[a : b - 1] for a, b in zip([0, *ends.tolist()], ends[WINDOW - 1 :].tolist())]
+
+
+def repeated_windows(packed: list[tuple[bytes, bool]]) -> list[int]:
+    """packed: (string, whether it occurs again) of a bucket's distinct strings.  For each a mask of its repeated windows."""
+    every = [windows_of(p) for p, _ in packed]
+    masks = [(1 << len(w)) - 1 if again else 0 for w, (_, again) in zip(every, packed)]
+    if len(packed) > 1:
+        ordered = sorted((text, i, j) for i, w in enumerate(every) for j, text in enumerate(w))
+        for (a, i, j), (b, k, m) in zip(ordered, ordered[1:]):
+            if a == b:
+                masks[i] |= 1 << j
+                masks[k] |= 1 << m
+    return masks
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -84,144 +113,195 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_key": F.hash("text"), "_id": F.col("doc_id")})
+def masked_spans(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """hits: (first window, mask).  Spans of words under the masks' windows."""
+    return merged([(start + j, start + j + WINDOW) for start, mask in hits for j in range(mask.bit_length()) if mask >> j & 1])
 
 
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["_id"].eqNullSafe(b["_id"]) & (a["_key"] == b["_key"])
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _places(docs: DataFrame) -> DataFrame:
-    def f(r):
-        found = [super_kmers(words_of(t)) for t in r["text"]]
-        n = [len(x[0]) for x in found]
-        join = (lambda i: np.concatenate([x[i] for x in found]))
-        return {
-            "_id": pa.array(r["_id"], pa.int64()).take(pa.array(np.repeat(np.arange(len(n)), n))), "_key": np.repeat(np.array(r["_key"], np.int32), n),
-            "minimiser": join(0), "start": join(1).astype(np.int32), "windows": join(2).astype(np.int32),
-        }
+class Sent:
+    """Tells whether a task should send what has this digest: twice, no more."""
 
-    return map_arrow(docs.select("_id", "_key", "text"), f, "_id long, _key int, minimiser long, start int, windows int")
+    def __init__(self):
+        self.times: Counter[bytes] = Counter()
 
+    def wanted(self, key: bytes) -> bool:
+        if len(self.times) >= REMEMBERED:
+            self.times.clear()
+        self.times[key] += 1
+        return self.times[key] <= 2
 
-def _asked(docs: DataFrame, asked: DataFrame, part: str) -> DataFrame:
-    some = asked.select("_id", "_key", F.col(part).alias("asked")).where(F.size("asked") > 0)
-    return docs.join(some, _same(docs, some)).select(some["_id"], some["_key"], docs["text"], "asked")
 
+def _task(df: DataFrame, f, schema: str) -> DataFrame:
+    """mapInArrow: f gets an iterator of a task's rows, batch by batch, and gives lists of tuples."""
+    arrow = arrow_schema(schema)
 
-def _packed(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The words of the super-k-mers of minimisers that are not hot."""
-
-    def f(r):
-        out = {k: [] for k in ("_id", "_key", "bucket", "start", "windows", "packed")}
-        for doc, key, text, rows in zip(r["_id"], r["_key"], r["text"], r["asked"]):
-            words = words_of(text)
-            for x in rows:
-                part = b" ".join(words[x["start"] : x["start"] + x["windows"] - 1 + WINDOW])
-                for name, value in zip(out, (doc, key, x["minimiser"], x["start"], x["windows"], part)):
-                    out[name].append(value)
-            if len(out["_id"]) >= 4096:
-                yield out
-                out = {k: [] for k in out}
-        yield out
+    def run(batches):
+        for rows in f(list(zip(*(c.to_pylist() for c in b.columns))) for b in batches):
+            columns = list(zip(*rows)) or [()] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, arrow)], schema=arrow)
 
-    return map_arrow(_asked(docs, asked, "cold"), f, "_id long, _key int, bucket long, start int, windows int, packed binary")
+    return df.mapInArrow(run, schema)
 
 
-def _single(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """Each window of hot minimisers with a digest of its words."""
+def distinct_texts(keyed: DataFrame) -> DataFrame:
+    """text_id, minimisers (one for each place), again (whether several rows have the text); texts shorter than a window are left out."""
 
     def f(r):
-        out = {k: [] for k in ("_id", "_key", "first", "digest")}
-        for doc, key, text, rows in zip(r["_id"], r["_key"], r["text"], r["asked"]):
-            words = words_of(text)
-            for x in rows:
-                for start in range(x["start"], x["start"] + x["windows"]):
-                    digest = hashlib.blake2b(b" ".join(words[start : start + WINDOW]), digest_size=16).digest()
-                    for name, value in zip(out, (doc, key, start, digest)):
-                        out[name].append(value)
-            if len(out["_id"]) >= 4096:
-                yield out
-                out = {k: [] for k in out}
-        yield out
-
-    return map_arrow(_asked(docs, asked, "hot"), f, "_id long, _key int, first int, digest binary")
-
-
-def _bucket_spans(packed: DataFrame) -> DataFrame:
-    """Spans under repeated windows, bucket by bucket."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = "_id long, _key int, first int, last int"
-    arrow = to_arrow_schema(packed.sparkSession.createDataFrame([], schema).schema)
-
-    def run(batches):
-        rows, held, bucket = [], [], None
-
-        def count():
-            if len(held) > 1:
-                for (doc, key, start, *_), spans in zip(held, repeated_windows([(h[4].split(b" "), h[3]) for h in held])):
-                    rows.extend((doc, key, start + a, start + b) for a, b in spans)
-            held.clear()
-
-        def out():
-            columns = list(zip(*rows)) or [()] * len(arrow)
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, arrow)], schema=arrow)
-
-        for b in batches:
-            for h in zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4, 5, 0))):
-                if h[5] != bucket:
-                    count()
-                    bucket = h[5]
-                held.append(h[:5])
-            yield out()
-        count()
-        yield out()
-
-    ordered = packed.select("bucket", "_id", "_key", "start", "windows", "packed").repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(run, schema)
-
-
-def _hot_spans(single: DataFrame) -> DataFrame:
-    """The same for windows that travel alone."""
-    often = single.groupBy("digest").count().where("count > 1").select("digest")
-    return single.join(often, "digest").select("_id", "_key", "first", (F.col("first") + WINDOW).alias("last"))
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(_id, _key, spans array<struct<first, last>>) of each document with repeated windows; docs have _id and _key."""
-    spark, path = docs.sparkSession, shared_dir(docs.sparkSession)
-    places = written(_places(docs), path)
-    counts = places.groupBy("minimiser").count().where("count > 1")
-    repeated = places.join(counts, "minimiser").select("_id", "_key", F.col("count") > HOT, F.struct("minimiser", "start", "windows").alias("x")).toDF("_id", "_key", "hot", "x")
-    lists = (F.collect_list(F.when(c, F.col("x"))).alias(n) for n, c in (("hot", F.col("hot")), ("cold", ~F.col("hot"))))
-    asked = written(repeated.groupBy("_id", "_key").agg(*lists))  # a document's own
-    remove(spark, path)
-    spans = _bucket_spans(_packed(docs, asked)).unionByName(_hot_spans(_single(docs, asked)))
-    return spans.groupBy("_id", "_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-
-
-def _with_spans(docs: DataFrame) -> DataFrame:
-    keyed = _keyed(docs)
-    spans = repeated_spans(keyed)
-    return keyed.join(spans, _same(keyed, spans), "left").select(*(keyed[c] for c in docs.columns), "spans")
-
-
-def kept_words(text: str | None, spans) -> tuple[list[bytes], list[bytes]]:
-    """(all words, words outside the spans)."""
+        words = list(map(words_of, r["text"]))
+        text, minimiser, *_ = super_kmers(words)
+        at = np.searchsorted(text, np.arange(len(words) + 1))
+        keep = np.flatnonzero(np.diff(at))
+        edges = pa.array(np.concatenate((at[keep], at[-1:])).astype(np.int32))
+        return {"text_id": [r["text_id"][i] for i in keep], "minimisers": pa.ListArray.from_arrays(edges, pa.array(minimiser, pa.int64()))}
+
+    rows = map_arrow(keyed.where("text_id IS NOT NULL").select("text_id", F.col("text").cast("binary").alias("text")), f, "text_id binary, minimisers array<long>")
+    return written(rows.groupBy("text_id").agg(F.any_value("minimisers").alias("minimisers"), (F.count("*") > 1).alias("again")))
+
+
+def repeated_minimisers(texts: DataFrame) -> DataFrame:
+    """text_id, asked array<struct<minimiser, places>>: of each text its minimisers with more than one place."""
+    places = texts.select("text_id", F.explode("minimisers").alias("minimiser"))
+    counts = places.groupBy("minimiser").agg(F.count("*").alias("places")).where("places > 1")
+    found = places.distinct().join(counts, "minimiser")
+    return written(found.groupBy("text_id").agg(F.collect_list(F.struct("minimiser", "places")).alias("asked")))  # a text's own
+
+
+FETCHED = "text_id binary, start int, minimiser long, places long, string_id binary, packed binary"
+
+
+def fetched(keyed: DataFrame, asked: DataFrame) -> DataFrame:
+    """The super-k-mers of repeated minimisers: their place, the digest of their words, and for two of a task the words."""
+    some = likely(keyed.select("text_id", "text"), "text_id", asked, True)
+
+    def f(batches):
+        sent, last = Sent(), None
+        for rows in batches:
+            fresh = []
+            for text_id, text, wanted in rows:
+                if text_id != last:  # a text's other rows, which come after it, add nothing
+                    last = text_id
+                    fresh.append((text_id, words_of(text), {x["minimiser"]: x["places"] for x in wanted}))
+            out, at, ends = [], -1, []
+            for i, minimiser, start, n in zip(*(x.tolist() for x in super_kmers([w for _, w, _ in fresh]))):
+                text_id, words, wanted = fresh[i]
+                places = wanted.get(minimiser)
+                if places is None:
+                    continue
+                if i != at:
+                    at, joined = i, b" ".join(words)
+                    ends = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]
+                packed = joined[ends[start] : ends[start + n - 1 + WINDOW] - 1]
+                string_id = digest(packed)
+                out.append((text_id, start, minimiser, places, string_id, packed if sent.wanted(string_id) else None))
+                if len(out) >= 8192:
+                    yield out
+                    out = []
+            yield out
+
+    joined = some.join(asked, "text_id").select("text_id", F.col("text").cast("binary"), "asked")
+    return written(_task(joined, f, FETCHED))
+
+
+PIECES = "string_id binary, window int, minimiser long, salt int, piece_id binary, words binary"
+
+
+def salted(strings: DataFrame) -> DataFrame:
+    """Pieces of the strings of minimisers with more than BUCKET distinct ones: single windows; of the others the strings themselves."""
+    sizes = strings.select("minimiser", "string_id").distinct().groupBy("minimiser").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("salts"))
+
+    def f(batches):
+        sent = Sent()
+        for rows in batches:
+            out = []
+            for minimiser, string_id, packed, salts in rows:
+                if salts == 1:
+                    out.append((string_id, None, minimiser, 0, string_id, packed))
+                    continue
+                for j, words in enumerate(windows_of(packed)):
+                    piece = digest(words)
+                    out.append((string_id, j, minimiser, int.from_bytes(piece[:4], "little") % salts, piece, words if sent.wanted(piece) else None))
+                if len(out) >= 8192:
+                    yield out
+                    out = []
+            yield out
+
+    return written(_task(strings.join(sizes, "minimiser").select("minimiser", "string_id", "packed", "salts"), f, PIECES))
+
+
+def bucket_masks(pieces: DataFrame) -> DataFrame:
+    """piece_id, mask of its repeated windows, 0 left out, of (minimiser, salt, piece_id, words): a bucket is a minimiser and a salt."""
+    ordered = pieces.select("minimiser", "salt", "piece_id", "words").repartition("minimiser", "salt").sortWithinPartitions("minimiser", "salt", "piece_id")
+
+    def f(batches):
+        bucket, ids, held = None, [], []
+
+        def masks() -> Iterator[tuple[bytes, int]]:
+            return ((i, m) for i, m in zip(ids, repeated_windows(held)) if m)
+
+        for rows in batches:
+            out = []
+            for minimiser, salt, piece_id, words in rows:
+                if bucket != (minimiser, salt):
+                    out.extend(masks())
+                    bucket, ids, held = (minimiser, salt), [], []
+                if ids and ids[-1] == piece_id:
+                    held[-1] = (words, True)
+                else:
+                    ids.append(piece_id)
+                    held.append((words, False))
+            yield out
+        yield list(masks())
+
+    return _task(ordered, f, "piece_id binary, mask int")
+
+
+def repeated_spans(keyed: DataFrame) -> DataFrame:
+    """text_id, hits array<struct<start, mask>> of each text with repeated windows; a start of -1 stands for the whole text.  keyed: text_id, text."""
+    texts = distinct_texts(keyed)
+    found = fetched(keyed, repeated_minimisers(texts))
+    strings = found.where("packed IS NOT NULL")
+    few = strings.where(F.col("places") <= BUCKET).select(F.col("string_id").alias("piece_id"), "minimiser", F.lit(0).alias("salt"), F.col("packed").alias("words"))
+    many = salted(strings.where(F.col("places") > BUCKET))
+    masks = written(bucket_masks(few.unionByName(many.where("words IS NOT NULL").select("piece_id", "minimiser", "salt", "words"))))
+    single = many.where("window IS NOT NULL").join(masks, "piece_id").groupBy("string_id").agg(F.bit_or(F.expr("shiftleft(1, window)")).alias("mask"))
+    of_strings = masks.withColumnRenamed("piece_id", "string_id").unionByName(single)  # a window's own digest is no string's of more windows
+    hits = found.join(of_strings, "string_id").select("text_id", F.struct("start", "mask").alias("hit"))
+    whole = texts.where("again").select("text_id", F.struct(F.lit(-1).alias("start"), F.lit(0).alias("mask")).alias("hit"))
+    return written(hits.unionByName(whole).groupBy("text_id").agg(F.collect_list("hit").alias("hits")))
+
+
+def with_hits(docs: DataFrame) -> DataFrame:
+    """docs, which have a column text, with hits (null: none)."""
+    keyed = docs.withColumn("text_id", F.unhex(F.md5("text")))
+    hits = repeated_spans(keyed)
+    apart = likely(keyed, "text_id", hits, False).withColumn("hits", F.lit(None).cast(hits.schema["hits"].dataType))
+    return likely(keyed, "text_id", hits, True).join(hits, "text_id", "left").select(*docs.columns, "hits").unionByName(apart.select(*docs.columns, "hits"))
+
+
+def spans_of(hits: list[dict] | None, n_words: int) -> list[tuple[int, int]]:
+    if not hits:
+        return []
+    pairs = [(h["start"], h["mask"]) for h in hits]
+    return [(0, n_words)] if min(pairs)[0] < 0 else masked_spans(pairs)
+
+
+def kept_words(text: str | bytes | None, hits) -> tuple[list[bytes], list[bytes]]:
+    """(all words, words outside the hits)."""
     words, kept, at = words_of(text), [], 0
-    for a, b in merged([tuple(s.values()) if isinstance(s, dict) else s for s in spans or ()]):
+    for a, b in spans_of(hits, len(words)):
         kept += words[at:a]
         at = b
     return words, kept + words[at:]
 
 
-def cut_text(text: str, spans) -> str:
-    """The text without the spans' words and the white space behind each; all other characters stay."""
+def cut_text(text: str, hits) -> str:
+    """The text without the hits' words and the white space behind each; all other characters stay."""
     words, out, at = [m.span() for m in WORD.finditer(text)], [], 0
-    for a, b in merged([tuple(s.values()) if isinstance(s, dict) else s for s in spans]):
+    for a, b in spans_of(hits, len(words)):
         out.append(text[at : words[a][0]])
         at = words[b][0] if b < len(words) else len(text)
     return "".join([*out, text[at:]])
@@ -231,30 +311,29 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
 
     def f(r):
-        both = [kept_words(t, s) for t, s in zip(r["text"], r["spans"])]
+        both = [kept_words(t, h) for t, h in zip(r["text"], r["hits"])]
         return {
             "doc_id": r["doc_id"], "n_words": [len(w) for w, _ in both], "n_removed": [len(w) - len(k) for w, k in both],
             "kept_sha256": [hashlib.sha256(b" ".join(k)).hexdigest() for _, k in both],
         }
 
-    return map_arrow(_with_spans(documents(spark, sf_dir).select("doc_id", "text")), f, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = with_hits(documents(spark, sf_dir).select("doc_id", "text"))
+    return map_arrow(found.withColumn("text", F.col("text").cast("binary")), f, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays, without its repeated windows; a text with none is unchanged.  n_chars follows the text."""
     bounded_batches(spark)
-    names = docs.columns
-    plain = docs.toDF(*(f"_in_{i}" for i in range(len(names)))).withColumns({"doc_id": F.col(f"_in_{names.index('doc_id')}"), "text": F.col(f"_in_{names.index('text')}")})
-    found = _with_spans(plain)
-    kept = [c for c in found.columns if c.startswith("_in_")]
+    plain, carried = numbered(docs)
+    found = with_hits(plain)
 
     def f(r):
-        return {c: r[c] for c in kept} | {"cut": [t if not s else cut_text(t, s) for t, s in zip(r["text"], r["spans"])]}
+        return {c: r[c] for c in carried} | {"cut": [t if not h else cut_text(t, h) for t, h in zip(r["text"], r["hits"])]}
 
-    fields = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in kept)
+    fields = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in carried)
     done = map_arrow(found, f, f"{fields}, cut string")
     new = {"text": F.col("cut"), "n_chars": F.char_length("cut").cast("long")}
-    return done.select(*(new[n].alias(n) if n in new else F.col(f"_in_{i}").alias(n) for i, n in enumerate(names)))
+    return done.select(*(new[n].alias(n) if n in new else F.col(c).alias(n) for c, n in zip(carried, docs.columns)))
 
 
 ORACLE_SQL = f"""

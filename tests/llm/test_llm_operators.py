@@ -280,9 +280,9 @@ def plain_removal(texts):
     return {d: (len(w), sum((d, i) in gone for i in range(len(w))), " ".join(x for i, x in enumerate(w) if (d, i) not in gone)) for d, w in words.items()}
 
 
-@pytest.mark.parametrize("hot", [substrings.HOT, 1])
-def test_substring_dedup(spark, table_dir, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT", hot)
+@pytest.mark.parametrize("bucket", [substrings.BUCKET, 3, 1])
+def test_substring_dedup(spark, table_dir, monkeypatch, bucket):
+    monkeypatch.setattr(substrings, "BUCKET", bucket)
     rnd = random.Random(6)
     passage = " ".join(f"p{i}" for i in range(60))
     fill = lambda n: " ".join(f"f{rnd.randint(0, 10**6)}" for _ in range(n))
