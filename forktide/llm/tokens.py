@@ -22,9 +22,18 @@ import re
 import sys
 from array import array
 
+import numpy as np
+
 CACHE_CHUNKS = 700_000
 #: Longer chunks are encoded each time they come.
 CACHE_LENGTH = 64
+#: Signs behind letters, but for the apostrophe, which byte BPE may join with letters after it; kept are CACHE_ENDS of them.
+SIGNS = re.compile(r"[!-&(-/:-@\[-`{-~\n]+\Z")
+CACHE_ENDS = 10_000
+#: New chunks that are encoded as one text.
+TOGETHER = 4096
+#: Stands between chunks that word BPE encodes as one text: a sign that no pattern joins with a neighbour across spaces.
+SEPARATOR = b"|"
 SPACE_BEFORE_SPACE = re.compile(r" (?=\s|\Z)")
 
 
@@ -37,8 +46,14 @@ class Encoder:
             raise RuntimeError("ids are written as the machine holds them: little-endian, four bytes")
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = self.tokenizer.normalizer is None
+        if self.byte_level:
+            self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith("\u0120")]] = True
+        else:
+            self.separator = int(np.frombuffer(self._alone([SEPARATOR.decode()])[0], "<u4")[0])
         self.cache: dict[bytes | str, bytes] = {}
         self.older: dict[bytes | str, bytes] = {}
+        self.ends: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list:
         """The text's chunks; of byte BPE, all but the first stand without their leading space."""
@@ -70,27 +85,72 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
             self.older, self.cache = self.cache, {}
-        cache, older = self.cache, self.older
-        split = [self.chunks(t) for t in texts]
-        begun = [b""] * len(texts)
+        split, begun = [self.chunks(t) for t in texts], [b""] * len(texts)
         if self.byte_level:
-            begun, split = self._fresh([s[0] for s in split]), [s[1:] for s in split]
-        missing = set().union(*split) - cache.keys()
-        if older:
-            again = missing & older.keys()
-            cache.update((m, older[m]) for m in again)
-            missing -= again
-        missing = list(missing)
-        cache.update(zip(missing, self._fresh([" " + m for m in missing] if self.byte_level else [m.decode("utf-8", "replace") for m in missing])))
-        join, get = b"".join, cache.__getitem__
-        out = [head + join(map(get, s)) for head, s in zip(begun, split)]
-        for m in missing:
-            if len(m) > CACHE_LENGTH:
-                del cache[m]
+            begun, split = self._alone([s[0] for s in split]), [s[1:] for s in split]
+        get = self.cache.get
+        found = [list(map(get, s)) for s in split]
+        new = {c: self.older.get(c) for s, f in zip(split, found) if None in f for c, ids in zip(s, f) if ids is None}
+        names = [c for c, ids in new.items() if ids is None]
+        new.update(self._words(names) if self.byte_level else zip(names, self._fresh(names)))
+        out = [head + b"".join([new[c] if ids is None else ids for c, ids in zip(s, f)] if None in f else f) for head, s, f in zip(begun, split, found)]
+        self.cache.update((c, ids) for c, ids in new.items() if len(c) <= CACHE_LENGTH)
         return out
 
-    def _fresh(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _words(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks, letters and the signs behind them apart: byte BPE never joins the two, and letters come again sooner."""
+        parts, bare, ends = {}, {}, {}
+        for c in chunks:
+            m = SIGNS.search(c)
+            if m and (letters := c[: m.start()]).isalpha():
+                parts[c] = letters, m[0]
+                ends[m[0]] = self.ends.get(m[0])
+                bare[letters] = self.cache.get(letters) or self.older.get(letters)
+            else:
+                bare[c] = None
+        names = [c for c, ids in bare.items() if ids is None]
+        bare.update(zip(names, self._fresh(names)))
+        names = [e for e, ids in ends.items() if ids is None]
+        ends.update(zip(names, self._alone(names)))
+        if len(self.ends) < CACHE_ENDS:
+            self.ends.update(ends)
+        bare.update((c, bare[letters] + ends[signs]) for c, (letters, signs) in parts.items())
+        return bare
+
+    def _fresh(self, chunks: list) -> list[bytes]:
+        """The ids of chunks: of most as one text that is cut where a chunk begins, of those that could blur the cuts alone."""
+        blurs = " " if self.byte_level else SEPARATOR
+        odd = [c for c in chunks if blurs in c or not self.byte_level and b"<|" in c]
+        out = dict(zip(odd, self._alone([self._text(c) for c in odd])))
+        rest = [c for c in chunks if c not in out] if odd else chunks
+        for low in range(0, len(rest), TOGETHER):
+            some = rest[low : low + TOGETHER]
+            out.update(zip(some, self._together(some) or self._alone([self._text(c) for c in some])))
+        return [out[c] for c in chunks]
+
+    def _text(self, chunk) -> str:
+        return " " + chunk if self.byte_level else chunk.decode("utf-8", "replace")
+
+    def _together(self, chunks: list) -> list[bytes] | None:
+        """None if the chunks' ids can't be told apart in the ids of all."""
+        if self.byte_level:
+            text = "".join([" " + c for c in chunks])
+        else:
+            text = (b" " + SEPARATOR + b" ").join(chunks).decode("utf-8", "replace")
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        if self.byte_level:  # a space is the first byte of each chunk's first id and stands nowhere else
+            ends = np.append(np.flatnonzero(self.spaced[ids]), len(ids))
+            begins, ends = ends[:-1], ends[1:]
+        else:
+            marks = np.flatnonzero(ids == self.separator)
+            begins, ends = np.append(0, marks + 1), np.append(marks, len(ids))
+        if len(begins) != len(chunks) or self.byte_level and begins[0]:
+            return None
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist())]
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _encoders: dict[str, Encoder] = {}
