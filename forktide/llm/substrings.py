@@ -13,7 +13,7 @@ single place in the corpus needs no look at its words.  The steps:
 3. the super-k-mers of those travel as one packed string each to their minimiser's bucket.  A task sends a string's words
    twice at most, however often it meets it: twice is enough to know that it is repeated;
 4. a bucket sorts the windows of its distinct strings and counts them: runs of equal ones are repeats.  A minimiser with more
-   than BUCKET distinct strings is salted: its bucket becomes several, a string is cut into its windows, and equal windows go to
+   than BUCKET distinct strings is salted: its bucket becomes as many as BUCKET windows each need, a string is cut into its windows, and equal windows go to
    the same one by a hash of their words, again twice a task at most.  So a bucket is bounded, and what is sorted and
    compared is whole words everywhere;
 5. each distinct string's repeated windows are a mask, which is joined to the string's places, and by text to the rows.
@@ -211,7 +211,8 @@ PIECES = "string_id binary, window int, minimiser long, salt int, piece_id binar
 
 def salted(strings: DataFrame) -> DataFrame:
     """Pieces of the strings of minimisers with more than BUCKET distinct ones: single windows; of the others the strings themselves."""
-    sizes = strings.select("minimiser", "string_id").distinct().groupBy("minimiser").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("salts"))
+    distinct = strings.select("minimiser", "string_id").distinct().groupBy("minimiser").agg(F.count("*").alias("n"))
+    sizes = distinct.select("minimiser", F.when(F.col("n") <= BUCKET, 1).otherwise(F.ceil(F.col("n") * (WINDOW - GRAM + 1) / BUCKET)).cast("int").alias("salts"))  # a string has so many windows at most
 
     def f(batches):
         sent = Sent()
