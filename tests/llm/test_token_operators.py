@@ -1,5 +1,6 @@
 """Packing, the chunk store and the piece model against brute force."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -124,9 +125,52 @@ def test_a_damaged_chunk_is_noticed(spark, tmp_path):
 
 def test_appended_crcs():
     rnd = random.Random(1)
-    lists = [[rnd.randbytes(4 * rnd.randint(1, 50)) for _ in range(rnd.randint(1, 6))] for _ in range(20)]
-    got = chunk_store.crc_of_lists([[zlib.crc32(x) for x in p] for p in lists], [[len(x) // 4 for x in p] for p in lists])
-    assert got == [zlib.crc32(b"".join(p)) for p in lists]
+    lists = [[rnd.randbytes(4 * rnd.choice([1, 2, 50, chunk_store.MAX_CHUNK])) for _ in range(rnd.randint(1, 6))] for _ in range(20)]
+    flat = [x for p in lists for x in p]
+    got = chunk_store.crc_of_lists(np.cumsum([len(p) for p in lists]), np.array([zlib.crc32(x) for x in flat]), np.array([len(x) // 4 for x in flat]))
+    assert got.tolist() == [zlib.crc32(b"".join(p)) for p in lists]
+
+
+def test_chunks_of_a_batch_are_those_of_each_document():
+    rnd = np.random.default_rng(3)
+    docs = [rnd.integers(0, 40000, n).astype("<u4").tobytes() for n in (1, 127, 5000, 3, 20000, 1)]
+    docs.append(docs[2])
+    docs.append(np.zeros(9000, "<u4").tobytes())
+    together = chunk_store.chunk_documents(docs, 2)
+    assert together == [chunk_store.chunk_documents([d], 2)[0] for d in docs] and together[6] == together[2]
+    for d, c in zip(docs, together):
+        assert np.concatenate([np.frombuffer(x, "<u2") for _, x in c]).tolist() == np.frombuffer(d, "<u4").tolist()
+        assert all(chunk_store.MIN_CHUNK <= len(x) // 2 for _, x in c[:-1]) and all(len(x) // 2 <= chunk_store.MAX_CHUNK for _, x in c)
+    assert [len(x) for c in chunk_store.chunk_documents(docs, 4) for _, x in c] == [2 * len(x) for c in together for _, x in c]
+
+
+def plain_tree(nodes):
+    if len(nodes) == 1:
+        return nodes[0]
+    half = 1
+    while 2 * half < len(nodes):
+        half *= 2
+    return hashlib.sha256(b"\1" + plain_tree(nodes[:half]) + plain_tree(nodes[half:])).digest()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 8, 21])
+def test_merkle_paths(n):
+    nodes = [hashlib.sha256(bytes([i])).digest() for i in range(n)]
+    root = chunk_store.tree(nodes)
+    assert root == plain_tree(nodes)
+    assert all(chunk_store.follow(x, chunk_store.path_to(nodes, i)) == root for i, x in enumerate(nodes))
+
+
+def test_a_document_is_proved(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chunk_store, "BLOCK", 4)
+    path = str(tmp_path / "store")
+    rows = [(i, f"text number {i} " * (i % 5)) for i in range(50)] + [(None, "a"), (None, "a"), (7, "text again"), (7, "text again")]
+    chunk_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, public_path(BYTE))
+    assert chunk_store.read_store(spark, path).count() == len(rows)
+    for d in (0, 7, 23, 49):
+        root, way = chunk_store.document_proof(spark, path, d)
+        assert chunk_store.follow(chunk_store._leaf(root), way).hex() == chunk_store.store_root(spark, path)
+        assert chunk_store.follow(chunk_store._leaf(root[::-1]), way).hex() != chunk_store.store_root(spark, path)
 
 
 @pytest.fixture(scope="module")
