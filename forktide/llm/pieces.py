@@ -5,14 +5,16 @@ runs over the text once.  It keeps best paths to the last ``longest`` positions
 them meet at one boundary, the ids up to that boundary are final, are given out, and the window's tail is forgotten.  So a
 text of any length takes memory for its undecided part only.
 
-If no piece has the sign behind another character, every path passes the boundary before each run of signs: there the
-stream always commits, and a word's ids depend on nothing around it.  A worker then keeps the ids of words it has met, and
-searches new words of one length together, position by position, with pieces found in a table of hashes.
+If no piece has the sign behind another character, every path passes the boundary before each run of signs, so the stream
+commits there whatever stands around, and the stretch from one such commit to the next always gives the same ids.  A worker
+remembers the ids of short stretches behind their commits; the streams of new ones run in step, those of one length together, with
+pieces found in a table of hashes.
 
 Characters without a piece become their UTF-8 bytes' pieces, at the lowest score less 10, as does U+2581 itself where the
 text has it; so decoding gives every text back.  Of equal sums the path whose last piece is longest wins.
 
-Defined cases: a null or empty text has no ids; repeated rows get the same ids; other columns are ignored.
+Defined cases: a null or empty text has no ids; repeated rows get the same ids; a null doc_id is carried; an empty table gives
+an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ SIGN = "▁"
 LITERAL = "\ud800"
 PENALTY = 10.0
 CACHE_WORDS = 700_000
+#: Longer stretches are streamed each time they come.
 CACHE_LENGTH = 64
 TABLE_BITS = 17
 
@@ -102,58 +105,92 @@ class PieceModel:
             open_ = open_[(there != h[open_]) & (there != 0)]
         return out
 
-    def search_many(self, words: list[str]) -> list[bytes]:
-        """search() of many words: those of one length go through the same steps at once."""
-        out: list[bytes] = [b""] * len(words)
+    def stream_many(self, stretches: list[str]) -> list[bytes]:
+        """The streams' ids of stretches of text, each from one boundary that all paths pass to the next; those of one length run in step."""
+        out: list[bytes] = [b""] * len(stretches)
         by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
+        for i, w in enumerate(stretches):
             by_length.setdefault(len(w), []).append(i)
-        for length, at in by_length.items():
-            if length > CACHE_LENGTH or len(at) < 8:
+        for at in by_length.values():
+            if len(at) < 8:
                 for i in at:
-                    out[i] = array("I", self.search(words[i]) if length <= CACHE_LENGTH else self.encode_stream(words[i])).tobytes()
+                    out[i] = array("I", [k for run in self.stream([self.signed(stretches[i])]) for k in run]).tobytes()
                 continue
             for low in range(0, len(at), 4096):
                 some = at[low : low + 4096]
-                for i, ids in zip(some, self._search_equal([SIGN + words[i].replace(SIGN, LITERAL).replace(" ", SIGN) for i in some])):
+                for i, ids in zip(some, self._in_step([self.signed(stretches[i]) for i in some])):
                     out[i] = ids
         return out
 
-    def _search_equal(self, windows: list[str]) -> list[bytes]:
-        n, length = len(windows), len(windows[0])
-        codes = np.ascontiguousarray(np.frombuffer("".join(windows).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T)
-        best = np.full((length + 1, n), -np.inf)
-        best[0] = 0
-        start, piece = np.zeros((length + 1, n), np.int16), np.full((length + 1, n), -1, np.int32)
+    def _in_step(self, lanes: list[str]) -> list[bytes]:
+        """``stream`` for texts of one length at once.  A column holds all lanes' best paths to one position.
+
+        After every ``longest`` positions the lanes' surviving paths are followed back to where they meet; the ids up to there are
+        given out, and columns that no lane needs any more are forgotten.
+        """
+        n, length, reach = len(lanes), len(lanes[0]), self.longest
+        codes = np.ascontiguousarray(np.frombuffer("".join(lanes).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T)
+        best, back, piece = {0: np.zeros(n)}, {}, {}
+        given = np.zeros(n, np.int64)
+        out: list[list[int]] = [[] for _ in lanes]
         for s in range(length):
-            h, base = np.zeros(n, np.uint64), best[s]
-            for end in range(s + 1, min(length, s + self.longest) + 1):
+            h, base = np.zeros(n, np.uint64), best.pop(s)
+            for end in range(s + 1, min(length, s + reach) + 1):
+                if end not in best:
+                    best[end], back[end], piece[end] = np.full(n, -np.inf), np.zeros(n, np.int32), np.full(n, -1, np.int32)
                 h = self.step(h, codes[end - 1])
                 slot = self.find(h)
                 hit = np.flatnonzero(slot >= 0)
                 if end == s + 1:
                     lone = np.flatnonzero(slot < 0)
-                    better = lone[base[lone] + self.unknown > best[end, lone]]
-                    best[end, better], start[end, better], piece[end, better] = base[better] + self.unknown, s, -1
+                    better = lone[base[lone] + self.unknown > best[end][lone]]
+                    best[end][better], back[end][better], piece[end][better] = base[better] + self.unknown, s, -1
                 if len(hit):
                     score = base[hit] + self.slot_score[slot[hit]]
-                    up = score > best[end, hit]
+                    up = score > best[end][hit]
                     hit = hit[up]
-                    best[end, hit], start[end, hit], piece[end, hit] = score[up], s, self.slot_id[slot[hit]]
-        start, piece = start.T.tolist(), piece.T.tolist()
-        out = []
-        for w, to, ids in zip(windows, start, piece):
-            end, path = length, []
-            while end:
-                s = to[end]
-                if ids[end] >= 0:
-                    path.append(ids[end])
+                    best[end][hit], back[end][hit], piece[end][hit] = score[up], s, self.slot_id[slot[hit]]
+            if s + 1 == length:
+                self._give(lanes, out, given, np.full(n, length), back, piece)
+            elif (s + 1) % reach == 0:
+                meet = self._meeting(best, back, given)
+                self._give(lanes, out, given, meet, back, piece)
+                given = meet
+                for k in [k for k in back if k <= given.min()]:
+                    del back[k], piece[k]
+        return [array("I", ids).tobytes() for ids in out]
+
+    @staticmethod
+    def _meeting(best: dict[int, np.ndarray], back: dict[int, np.ndarray], given: np.ndarray) -> np.ndarray:
+        """For each lane the last position that every surviving path passes: of the live ends the furthest steps back until one is left."""
+        low, high = int(given.min()), max(best)
+        alive = np.zeros((high - low + 1, len(given)), bool)
+        for k, score in best.items():
+            alive[k - low] = score > -np.inf
+        left = alive.sum(0)
+        for k in range(high, low, -1):
+            lane = np.flatnonzero(alive[k - low] & (left > 1))
+            to = back[k][lane] - low
+            left[lane] -= alive[to, lane]
+            alive[k - low, lane] = False
+            alive[to, lane] = True
+        return low + alive.argmax(0)
+
+    def _give(self, lanes: list[str], out: list[list[int]], given: np.ndarray, meet: np.ndarray, back: dict[int, np.ndarray], piece: dict[int, np.ndarray]) -> None:
+        """Add the ids between what each lane has given out and where its paths meet."""
+        low = int(given.min())
+        columns = range(low + 1, int(meet.max()) + 1)
+        to, ids = (np.array([x[k] for k in columns]).reshape(len(columns), -1).T.tolist() for x in (back, piece))
+        for i, (begin, end) in enumerate(zip(given.tolist(), meet.tolist())):
+            path = []
+            while end > begin:
+                k, start = ids[i][end - low - 1], to[i][end - low - 1]
+                if k >= 0:
+                    path.append(k)
                 else:
-                    path += reversed(self.fallback(w[s]))
-                end = s
-            path.reverse()
-            out.append(array("I", path).tobytes())
-        return out
+                    path += reversed(self.fallback(lanes[i][start]))
+                end = start
+            out[i] += reversed(path)
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (SIGN if char == LITERAL else char).encode("utf-8", "surrogatepass")]
@@ -202,12 +239,10 @@ class PieceModel:
             alive.add(back[last][0])
         return alive.pop()
 
-    def search(self, text: str) -> list[int]:
-        """The ids of one sign and a text in which every space is a sign, in one window."""
-        window = SIGN + text.replace(SIGN, LITERAL).replace(" ", SIGN)
-        best, back = [0.0] + [float("-inf")] * len(window), [(0, -1)] * (len(window) + 1)
-        self.advance(window, best, back, 0, len(window))
-        return self.path(window, back, len(window))
+    @staticmethod
+    def signed(text: str) -> str:
+        """A sign and the text, in which every space is one."""
+        return SIGN + text.replace(SIGN, LITERAL).replace(" ", SIGN)
 
     def path(self, window: str, back: list[tuple[int, int]], end: int) -> list[int]:
         out = []
@@ -218,8 +253,7 @@ class PieceModel:
         return out[::-1]
 
     def encode_stream(self, text: str) -> list[int]:
-        signed = SIGN + text.replace(SIGN, LITERAL).replace(" ", SIGN) if text else ""
-        return [k for run in self.stream([signed]) for k in run]
+        return [k for run in self.stream([self.signed(text) if text else ""]) for k in run]
 
     def words_of(self, text: str) -> list[str]:
         """The text's words, each with the spaces before it but for one."""
@@ -248,7 +282,7 @@ class PieceModel:
         again = missing & older.keys()
         cache.update((w, older[w]) for w in again)
         missing = list(missing - again)
-        cache.update(zip(missing, self.search_many(missing)))
+        cache.update(zip(missing, self.stream_many(missing)))
         out = [b"".join(map(cache.__getitem__, s)) for s in split]
         for w in missing:
             if len(w) > CACHE_LENGTH:
