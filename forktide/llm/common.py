@@ -144,11 +144,11 @@ def _remove_all() -> None:
             return
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
+def written(df: DataFrame, path: str | None = None, compression: str = "snappy") -> DataFrame:
     """The rows as a Parquet table in the shared folder: a cut in the lineage that outlives lost executors."""
     spark = df.sparkSession
     path = path or shared_dir(spark)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,9 @@ Mapping, one header packet for each stream: ``FT8\\0``, version, stream's index,
 size and sample rate (unsigned 32-bit).  A granule position is the number of the payload's samples up to the end of the
 last packet that ends on the page, -1 if none does.
 
-Defined cases: a null text is an empty payload, padded to 64 zero bytes like every other; equal payloads give equal files;
-very long texts span many pages; a damaged file raises OggError.  Columns beside doc_id and text are ignored.
+Defined cases: a null text is an empty payload, padded to 64 zero bytes like every other; equal payloads, those of repeated rows
+too, give equal files; very long texts span many pages; a damaged file raises OggError; a null doc_id is carried; an empty table
+gives an empty result.  Columns beside doc_id and text, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import bounded_batches, documents, map_arrow
+from .common import bounded_batches, documents, map_arrow, written
 
 RATE = 8000
 BLOCK = 4096
@@ -224,4 +225,4 @@ def decode_column(df: DataFrame) -> DataFrame:
 
 def op3_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    return decode_column(encode_column(documents(spark, sf_dir)))
+    return decode_column(written(encode_column(documents(spark, sf_dir)), compression="zstd"))
