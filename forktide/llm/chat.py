@@ -1,9 +1,14 @@
 r"""Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, that reply alone is trainable.  The
-context of an example is always a prefix of the formatted conversation.  So the output holds the formatted conversation
-once, a segment for each turn with its offset, and an example as offsets into it: context 0 to ``start``, reply
-``reply_start`` to ``reply_end``.  The output is linear in the input; ``example_texts`` writes examples out in full.
+context of an example is always a prefix of the formatted conversation.  So the output, a folder of two Parquet tables, is linear in
+the input:
+
+* ``segments``: conv_id, position, start, formatted: each turn once, formatted, and its first character's place in the conversation;
+* ``examples``: conv_id, position, context_end, reply_start, reply_end: an example is the conversation from 0 to reply_end, of
+  which 0 to context_end is context and reply_start to reply_end alone is trainable; position is the reply's turn.
+
+``example_texts`` writes examples out in full.
 
 Template: ``[INST] text [/INST]`` for a user, ``text</s>`` for an assistant, ``[SYS] text [/SYS]`` for a system, and
 ``[ROLE] role [TEXT] text [/ROLE]`` for any other role.  In a text (and such a role) each of the characters ``\ [ <`` has a
@@ -26,9 +31,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bounded_batches, partitions
+from .common import arrow_schema, bounded_batches, partitions, remove, shared_dir, written
 
 MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": ("", "</s>"), "system": ("[SYS] ", " [/SYS]")}
 OTHER = ("[ROLE] ", " [TEXT] ", " [/ROLE]")
@@ -72,15 +76,16 @@ def parse(formatted: str) -> Iterator[tuple[str, str, int, int]]:
         at = m.end()
 
 
-SEGMENTS = "conv_id long, position long, start long, formatted string, is_example boolean, reply_start long, reply_end long"
+FORMATTED = "conv_id long, position long, start long, formatted string, reply_start long, reply_end long"
+SEGMENTS = ("conv_id", "position", "start", "formatted")
+EXAMPLES = ("conv_id", "position", "context_end", "reply_start", "reply_end")
 
 
-def format_turns(turns: DataFrame) -> DataFrame:
-    """The segments of every conversation, in order within a partition; a row with is_example is also an example."""
-    n = partitions(turns.sparkSession)
+def _formatted(turns: DataFrame) -> DataFrame:
+    """A row for each turn, in order within a partition; an assistant's turn has its reply's place in the conversation."""
     ordered = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = ordered.repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    schema = to_arrow_schema(turns.sparkSession.createDataFrame([], SEGMENTS).schema)
+    ordered = ordered.repartition(partitions(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    schema = arrow_schema(FORMATTED)
 
     def run(batches):
         last, position, at = (None,), 0, 0
@@ -92,11 +97,21 @@ def format_turns(turns: DataFrame) -> DataFrame:
                 formatted, lead = segment(role, text)
                 reply = role == "assistant"
                 end = at + len(formatted) - len(MARKS["assistant"][1])
-                rows.append((conv, position, at, formatted, reply, at + lead if reply else None, end if reply else None))
+                rows.append((conv, position, at, formatted, at + lead if reply else None, end if reply else None))
                 position, at = position + 1, at + len(formatted)
             yield _batch(rows, schema)
 
-    return ordered.mapInArrow(run, SEGMENTS)
+    return ordered.mapInArrow(run, FORMATTED)
+
+
+def write_examples(turns: DataFrame, path: str) -> None:
+    """Write the two tables below path: segments, and an example for every assistant turn."""
+    spark = turns.sparkSession
+    rows = written(_formatted(turns), f"{path}/formatted")
+    rows.select(*SEGMENTS).write.mode("overwrite").parquet(f"{path}/segments")
+    examples = rows.where("reply_start IS NOT NULL").withColumn("context_end", F.col("start")).select(*EXAMPLES)
+    examples.write.mode("overwrite").parquet(f"{path}/examples")
+    remove(spark, f"{path}/formatted")
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -104,9 +119,19 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def example_texts(segments: DataFrame) -> DataFrame:
-    """conv_id, position, text, reply_start, reply_end: the examples in full, from segments in the order of format_turns."""
-    schema = to_arrow_schema(segments.sparkSession.createDataFrame([], "conv_id long, position long, text string, reply_start long, reply_end long").schema)
+def _side_by_side(spark: SparkSession, path: str) -> DataFrame:
+    """Segments and examples of a conversation in one order: an example follows the segment of its reply."""
+    empty = [F.lit(None).cast("long").alias(n) for n in EXAMPLES[2:]]
+    segments = spark.read.parquet(f"{path}/segments").select(*SEGMENTS, *empty)
+    examples = spark.read.parquet(f"{path}/examples").select("conv_id", "position", F.lit(None).cast("long").alias("start"), F.lit(None).cast("string").alias("formatted"), *EXAMPLES[2:])
+    both = segments.unionByName(examples).withColumn("kind", F.col("formatted").isNull().cast("int"))
+    return both.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "position", "kind")
+
+
+def example_texts(spark: SparkSession, path: str) -> DataFrame:
+    """conv_id, position, text, reply_start, reply_end: the examples in full, context before the reply."""
+    ddl = "conv_id long, position long, text string, reply_start long, reply_end long"
+    schema = arrow_schema(ddl)
 
     def run(batches):
         last, parts = (None,), []
@@ -114,59 +139,75 @@ def example_texts(segments: DataFrame) -> DataFrame:
             for r in b.to_pylist():
                 if last != (r["conv_id"], 1):
                     last, parts = (r["conv_id"], 1), []
-                parts.append(r["formatted"])
-                if r["is_example"]:
+                if r["kind"] == 0:
+                    parts.append(r["formatted"])
+                else:
                     yield _batch([(r["conv_id"], r["position"], "".join(parts), r["reply_start"], r["reply_end"])], schema)
 
-    return segments.mapInArrow(run, "conv_id long, position long, text string, reply_start long, reply_end long")
+    return _side_by_side(spark, path).mapInArrow(run, ddl)
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long, example_chars long"
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """Turns and masked text of each conversation from its formatted segments and loss spans alone."""
-    schema = to_arrow_schema(segments.sparkSession.createDataFrame([], DIGEST).schema)
+class _Digest:
+    """What is read back of one conversation, segment by segment and example by example."""
 
-    def run(batches):
-        open_, state = (None,), None
-        rows: list[tuple] = []
+    def __init__(self):
+        self.turns, self.loss, self.segment = hashlib.sha256(), hashlib.sha256(), None
+        self.n = self.chars = self.at = self.examples = self.example_chars = 0
 
-        def close():
-            if state:
-                rows.append((open_[0], state["n"], state["turns"].hexdigest(), state["chars"], state["loss"].hexdigest(), state["at"], state["examples"], state["example_chars"]))
+    def add(self, r: dict) -> None:
+        if r["kind"]:
+            return self.example(r)
+        if r["position"] != self.n or r["start"] != self.at:
+            raise ValueError("a segment is missing or out of order")
+        self.segment, turns = r, 0
+        for role, text, *_ in parse(r["formatted"]):
+            turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        self.n, self.at = self.n + turns, self.at + len(r["formatted"])
 
+    def example(self, r: dict) -> None:
+        s = self.segment
+        if s is None or s["position"] != r["position"] or not r["context_end"] == s["start"] <= r["reply_start"] <= r["reply_end"] <= self.at:
+            raise ValueError("an example has no reply behind its context")
+        reply = unescape(s["formatted"][r["reply_start"] - s["start"] : r["reply_end"] - s["start"]])
+        self.loss.update(reply.encode("utf-8", "surrogatepass"))
+        self.chars, self.examples, self.example_chars = self.chars + len(reply), self.examples + 1, self.example_chars + self.at
+
+    def row(self, conv_id: int | None) -> tuple:
+        return conv_id, self.n, self.turns.hexdigest(), self.chars, self.loss.hexdigest(), self.at, self.examples, self.example_chars
+
+
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """Turns of each conversation from its segments, and the text under the loss mask from its examples, as they are in the files."""
+    schema = arrow_schema(DIGEST)
+
+    def run(batches):
+        last, digest = (None,), None
         for b in batches:
+            rows = []
             for r in b.to_pylist():
-                if open_ != (r["conv_id"], 1):
-                    close()
-                    open_ = (r["conv_id"], 1)
-                    state = {"n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "at": 0, "examples": 0, "example_chars": 0}
-                if r["position"] != state["n"] or r["start"] != state["at"]:
-                    raise ValueError("a segment is missing or out of order")
-                for role, text, *_ in parse(r["formatted"]):
-                    state["n"] += 1
-                    state["turns"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                state["at"] += len(r["formatted"])
-                if r["is_example"]:
-                    masked = unescape(r["formatted"][r["reply_start"] - r["start"] : r["reply_end"] - r["start"]])
-                    state["chars"] += len(masked)
-                    state["loss"].update(masked.encode("utf-8", "surrogatepass"))
-                    state["examples"] += 1
-                    state["example_chars"] += state["at"]
+                if last != (r["conv_id"], 1):
+                    if digest:
+                        rows.append(digest.row(last[0]))
+                    last, digest = (r["conv_id"], 1), _Digest()
+                digest.add(r)
             yield _batch(rows, schema)
-            rows.clear()
-        close()
-        yield _batch(rows, schema)
+        if digest:
+            yield _batch([digest.row(last[0])], schema)
 
-    return segments.mapInArrow(run, DIGEST)
+    return _side_by_side(spark, path).mapInArrow(run, DIGEST)
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounded_batches(spark, 4096)
+    bounded_batches(spark, 1024)
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(PROBE, 0, "user", PROBE_TEXT), (PROBE, 1, "assistant", PROBE_TEXT)], "conv_id long, turn long, role string, text string")
-    return read_back(format_turns(turns.unionByName(probe)))
+    path = shared_dir(spark)
+    write_examples(turns.unionByName(probe), path)
+    return read_back(spark, path)
 
 
 ORACLE_SQL = """

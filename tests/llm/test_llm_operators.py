@@ -176,7 +176,7 @@ def test_posterior_finds_two_classes():
 # Chat.
 
 
-def test_chat_round_trip_and_examples(spark, table_dir):
+def test_chat_round_trip_and_examples(spark, table_dir, tmp_path):
     schema = "conv_id long, turn long, role string, text string"
     texts = ["</s>[INST] ok [/INST]", "", "\\[x] \\", " ends ", "[SYS] a [/SYS]", "<s> é\n"]
     rows = [(1, i, ("user", "assistant", "system", "tool [ROLE]")[i % 4], t) for i, t in enumerate(texts)] + [(2, 0, "assistant", "only"), (3, 0, "user", None), (4, None, None, "x"), (2, 0, "assistant", "only")]
@@ -188,10 +188,16 @@ def test_chat_round_trip_and_examples(spark, table_dir):
         assert out[c]["turns_sha256"] == hashlib.sha256("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in mine).encode()).hexdigest()
         replies = "".join(r[3] for r in mine if r[2] == "assistant")
         assert (out[c]["loss_chars"], out[c]["loss_sha256"]) == (len(replies), hashlib.sha256(replies.encode()).hexdigest())
-    segments = chat.format_turns(spark.createDataFrame(rows, schema))
-    full = sorted((r["conv_id"], r["position"], r["text"], r["reply_start"], r["reply_end"]) for r in chat.example_texts(segments).collect())
+    path = str(tmp_path / "chat")
+    chat.write_examples(spark.createDataFrame(rows, schema), path)
+    full = sorted((r["conv_id"], r["position"], r["text"], r["reply_start"], r["reply_end"]) for r in chat.example_texts(spark, path).collect())
+    examples = sorted(tuple(r) for r in spark.read.parquet(f"{path}/examples").collect())
+    assert [(x[0], x[1], x[3], x[4]) for x in examples] == [(x[0], x[1], x[3], x[4]) for x in full] and [x[2] for x in examples][0] == len(chat.segment("user", texts[0])[0])
     assert [(c, chat.unescape(t[a:b])) for c, _, t, a, b in full] == [(1, ""), (1, texts[5]), (2, "only"), (2, "only")]
     assert [x[:2] for x in chat.parse(full[1][2])] == [(r[2], r[3]) for r in rows[:6]]
+    assert chat.op7_chat_format(spark, table_dir([], "conversations", schema)).collect()[0]["conv_id"] == -7
+    spark.createDataFrame([], spark.read.parquet(f"{path}/examples").schema).write.mode("overwrite").parquet(f"{path}/examples")
+    assert all(r["loss_chars"] == 0 and r["n_examples"] == 0 for r in chat.read_back(spark, path).collect())  # the mask is the examples' alone
 
 
 # Near-dedup.
