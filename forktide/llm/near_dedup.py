@@ -19,9 +19,10 @@ similarity is 0.75 or more, and a component of links is a group of copies.
 5. Components of all links.
 
 Defined cases: fewer than five words are one shingle of the whole sequence; a document without words has an empty set, no
-links, and itself as its component; repeated rows of a doc_id are one document; a document without a doc_id is in no group
-(component null, kept false in the query; the stage keeps it); an empty table gives an empty result; other columns are ignored by the query and
-kept by the stage.
+links, and itself as its component; repeated rows are one document; rows of one doc_id with different texts are each a component of
+its own, the doc_id itself, and the stage keeps them all, as nothing tells which text is meant; a document without a doc_id is in no
+group (component null, kept false in the query; the stage keeps it); an empty table gives an empty result; other columns, whatever
+their names, are ignored by the query and kept by the stage.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discard, documents, gram_hashes, likely, map_arrow, mix64, shared_dir, tables_made, word_hashes, words_of, written
+from .common import bounded_batches, discard, documents, gram_hashes, likely, map_arrow, mix64, numbered, shared_dir, tables_made, word_hashes, words_of, written
 from .components import components
 
 SHINGLE = 5
@@ -234,43 +235,67 @@ def rest_links(pairs: DataFrame, found: DataFrame, sides: DataFrame) -> DataFram
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def classes(drawn: DataFrame) -> DataFrame:
+    """drawn with rep, the least doc_id with the same set, and first, whether the row stands for the class.
+
+    Rows whose doc_id stands with different sets are classes of their own, as nothing tells which text the id means.  The
+    classes of several rows are a table of their own, so that Spark may split a large one's rows when they are joined.
+    """
+    drawn = written(drawn.withColumn("number", F.monotonically_increasing_id()))
+    sets = drawn.groupBy("doc_id").agg(F.min(F.coalesce("digest", F.lit(b""))).alias("low"), F.max(F.coalesce("digest", F.lit(b""))).alias("high"))
+    doubtful = written(sets.where("low <> high").select("doc_id"))
+    plain = drawn.where("digest IS NOT NULL").join(doubtful, "doc_id", "left_anti")
+    several = plain.groupBy("digest").agg(F.min(F.struct("doc_id", "number")).alias("least_row"), F.count("*").alias("rows")).where("rows > 1")
+    several = written(several.select("digest", F.col("least_row.doc_id").alias("rep"), F.col("least_row.number").alias("rep_number")))
+    found = plain.join(several, "digest", "left").withColumn("first", F.coalesce(F.col("number") == F.col("rep_number"), F.lit(True)))
+    found = found.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"), "first", F.when(F.col("first"), F.col("sketch")).alias("sketch"), "least")
+    apart = drawn.where("digest IS NOT NULL").join(doubtful, "doc_id", "left_semi").withColumn("doubtful", F.lit(True))
+    apart = apart.unionByName(drawn.where("digest IS NULL").withColumn("doubtful", F.lit(False)))
+    apart = apart.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("rep"), F.lit(False).alias("first"), F.lit(None).cast("array<long>").alias("sketch"), "least", "doubtful")
+    return found.withColumn("doubtful", F.lit(False)).unionByName(apart)
+
+
 def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row with a doc_id."""
+    """doc_id, n_shingles, component_id, doubtful (whether its doc_id has other texts too) of each row with a doc_id."""
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    drawn = written(sketches(named))
-    classes = drawn.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member_of = drawn.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    first = written(drawn.join(classes, (drawn["digest"] == classes["digest"]) & (drawn["doc_id"] == classes["rep"])).select("rep", "n_shingles", "sketch", "least"))
+    member_of = written(classes(sketches(named)))
+    first = member_of.where("first").select("rep", "n_shingles", "sketch", "least")
     lists = inverted_lists(first)
     pairs = written(pivot_pairs(lists))
     asked = pairs.select(F.col("pivot").alias("rep")).unionAll(pairs.select(F.col("member").alias("rep"))).distinct()
-    named = likely(named, "doc_id", asked, True)
-    sides = named.join(asked, named["doc_id"] == asked["rep"]).select("rep", "text").dropDuplicates(["rep"])
-    sides = written(first.join(sides, "rep").dropDuplicates(["rep"]))
+    likely_named = likely(named, "doc_id", asked, True)
+    sides = likely_named.join(asked, likely_named["doc_id"] == asked["rep"]).select("rep", "text").dropDuplicates(["rep"])
+    sides = written(first.join(sides, "rep"))
     star = written(confirmed(pairs.select(F.col("pivot").alias("a"), F.col("member").alias("b")), sides))
     found = components(star)
     rest = written(rest_links(pairs, found, sides))
     if not rest.isEmpty():
         found = components(star.unionAll(rest))
     found = found.select(F.col("node").alias("rep"), "component")
-    return member_of.join(found, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    joined = member_of.where("rep IS NOT NULL").select("doc_id", "n_shingles", "rep").join(found, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.lit(False).alias("doubtful"))
+    return joined.unionAll(member_of.where("rep IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "doubtful"))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = documents(spark, sf_dir)
     without = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return groups(docs).unionAll(without).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return groups(docs).drop("doubtful").unionAll(without).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least doc_id; of repeated rows of it one."""
+    """One document of each group stays, the one with the least doc_id, and one row of it."""
     bounded_batches(spark)
+    plain, carried = numbered(docs)
+    plain = plain.withColumn("doc_id", F.col(carried[docs.columns.index("doc_id")]))
     path, mark = shared_dir(spark), tables_made()
-    kept = written(groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), path)
+    found = groups(plain).where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.bool_or("doubtful").alias("doubtful"))
+    kept = written(found, path)
     discard(spark, mark)
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"]).drop("_kept").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    rows = plain.withColumn("row", F.monotonically_increasing_id())
+    named = rows.join(kept, rows["doc_id"] == kept["kept_id"]).withColumn("row", F.when(F.col("doubtful"), F.col("row")))
+    one = named.dropDuplicates(["kept_id", "row"])
+    return one.select(*carried).unionAll(plain.where("doc_id IS NULL").select(*carried)).toDF(*docs.columns)
 
 
 ORACLE_SQL = f"""
