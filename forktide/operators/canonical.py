@@ -74,7 +74,8 @@ def missing_heights(blocks: DataFrame) -> DataFrame:
     ends = heights.groupBy("bucket").agg(F.min("height").alias("lo"), F.max("height").alias("hi"))  # a row for 65,536 heights
     across = ends.withColumn("next", F.lead("lo").over(Window.orderBy("bucket"))).where("next IS NOT NULL").select(F.col("hi").alias("height"), "next")
     gaps = inner.unionAll(across).where("next > height + 1")
-    return gaps.select(F.explode(F.sequence(F.col("height") + 1, F.col("next") - 1)).alias("height"))
+    steps = gaps.select(F.explode(F.sequence(F.col("height") + 1, F.col("next") - 1, F.lit(65536))).alias("low"), (F.col("next") - 1).alias("high"))  # a wide gap is no one row's array
+    return steps.select(F.explode(F.sequence("low", F.least(F.col("low") + 65535, "high"))).alias("height"))
 
 
 def first_missing(blocks: DataFrame, n: int = 20) -> DataFrame:
@@ -130,10 +131,14 @@ def lag_parent_check(blocks: DataFrame) -> DataFrame:
 def attached_logs(blocks: DataFrame, logs: DataFrame) -> DataFrame:
     """Each block with its logs, sorted, in an array; blocks without logs have an empty one.
 
-    A log whose height is a block's but whose hash is another's is an error of the source and fails the query.
+    A log whose height is a block's but whose hash is none of the blocks' there is an error of the source and fails the query; one
+    at a height without a block is left out.
     """
     order = F.struct("transaction_index", "log_index", "tx_hash", "address")
     grouped = logs.groupBy(F.col("block_number").alias("height"), "block_hash").agg(F.array_sort(F.collect_list(order)).alias("logs"))
+    hashes = blocks.groupBy("height").agg(F.collect_set("block_hash").alias("hashes"))  # a height's forks
+    wrong = F.raise_error(F.concat(F.lit("a log at height "), F.col("height"), F.lit(" names block "), F.col("block_hash"), F.lit(", which is not there")))
+    grouped = grouped.join(hashes, "height").where(F.when(F.array_contains("hashes", F.col("block_hash")), True).otherwise(wrong.cast("boolean"))).drop("hashes")
     return blocks.join(grouped, ["height", "block_hash"], "left").withColumn("logs", F.coalesce("logs", F.array().cast(grouped.schema["logs"].dataType)))
 
 

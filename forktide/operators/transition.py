@@ -152,28 +152,39 @@ def state_of(blocks: DataFrame, last_height: int, depth: int = MAX_DEPTH, finali
 
 
 def ancestor_walk(spark: SparkSession, blocks: DataFrame, start_hash: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """step, height, block_hash, is_canonical from a block down to the first canonical one."""
+    """step, height, block_hash, is_canonical from a block down to the first canonical one, max_depth steps at most.
+
+    The start is looked up first, so that each step reads the heights from max_depth below it alone.
+    """
+    start = blocks.where(blocks["block_hash"] == start_hash).select("height").first()
+    top = start["height"] if start else -1
+    near = blocks.where(blocks["height"].between(top - max_depth, top)).select("height", "block_hash", "parent_hash", "is_canonical")
     return spark.sql(
         f"""
-        WITH RECURSIVE walk (step, height, block_hash, parent_hash, is_canonical) MAX RECURSION LEVEL {max_depth + 2} AS (
-          SELECT 0, height, block_hash, parent_hash, is_canonical FROM {{b}} WHERE block_hash = '{start_hash}'
+        WITH RECURSIVE walk (step, height, block_hash, parent_hash, is_canonical) MAX RECURSION LEVEL {int(max_depth) + 2} AS (
+          SELECT 0, height, block_hash, parent_hash, is_canonical FROM {{b}} WHERE block_hash = :start
           UNION ALL
           SELECT w.step + 1, p.height, p.block_hash, p.parent_hash, p.is_canonical
           FROM walk w JOIN {{b}} p ON p.block_hash = w.parent_hash AND p.height = w.height - 1 WHERE NOT w.is_canonical)
         SELECT step, height, block_hash, is_canonical FROM walk""",
-        b=blocks,
-    )
+        args={"start": start_hash}, b=near,
+    )
 
 
 def reorg_plan(spark: SparkSession, blocks: DataFrame, head_hash: str, tip_height: int, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """seq, event_kind, height, block_hash of the switch from the canonical tip to a stored branch's head."""
+    """seq, event_kind, height, block_hash of the switch from the canonical tip to a stored branch's head.
+
+    The query fails if the walk meets no canonical block within max_depth, or if more than max_depth blocks would be rolled back.
+    """
     walk = ancestor_walk(spark, blocks, head_hash, max_depth)
+    blocks = blocks.where(blocks["height"] <= tip_height).where(blocks["height"] >= tip_height - max_depth)
     return spark.sql(
         """
-        WITH w AS (SELECT * FROM {walk}), a AS (SELECT max(height) AS h FROM w WHERE is_canonical),
+        WITH w AS (SELECT * FROM {walk}), found AS (SELECT max(height) AS h FROM w WHERE is_canonical),
+        a AS (SELECT CASE WHEN h IS NULL THEN raise_error('no canonical ancestor within the depth allowed') WHEN {tip} - h > {depth} THEN raise_error('more blocks to roll back than the depth allows') ELSE h END AS h FROM found),
         r AS (SELECT 'rollback' AS event_kind, b.height, b.block_hash, b.height - {tip} AS o FROM {b} b JOIN a ON b.height > a.h WHERE b.is_canonical AND b.height <= {tip}),
-        p AS (SELECT 'apply' AS event_kind, height, block_hash, height AS o FROM w WHERE NOT is_canonical)
+        p AS (SELECT 'apply' AS event_kind, height, block_hash, height AS o FROM w CROSS JOIN a WHERE NOT is_canonical AND w.height > a.h)
         SELECT CAST(row_number() OVER (ORDER BY event_kind DESC, CASE event_kind WHEN 'rollback' THEN -o ELSE o END) - 1 AS BIGINT) AS seq, event_kind, height, block_hash
         FROM (SELECT * FROM r UNION ALL SELECT * FROM p)""",
-        walk=walk, b=blocks, tip=tip_height,
+        walk=walk, b=blocks, tip=tip_height, depth=max_depth,
     )

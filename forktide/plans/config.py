@@ -26,7 +26,6 @@ class Indexer:
     max_reorg_depth: int = 2048
     safe_depth: int = 12
     finalized_depth: int = 64
-    header_cache_size: int = 256
     poll_seconds: float = 12.0
 
 

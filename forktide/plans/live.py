@@ -57,7 +57,7 @@ class Tracker:
             if self.start > 0:
                 return Report("halted", "a start above 0 needs a stored anchor")
             first = self.source.header_at(0)
-            self._commit(Batch("bootstrap", None, (Event("apply", first),)), report)
+            self.commit(Batch("bootstrap", None, (Event("apply", first),)), report)
             at = first
         if head.height < at.height and (same := self.source.header_at(head.height)) and self._stored(head.height) == same:
             report.state, report.reason = "degraded", "the source lags behind on the same fork"
@@ -67,7 +67,7 @@ class Tracker:
                 following = self.source.header_at(at.height + 1)
                 if following is None or following.parent_hash != at.block_hash:
                     break
-                self._commit(Batch("extend", at, (Event("apply", following),)), report)
+                self.commit(Batch("extend", at, (Event("apply", following),)), report)
                 at = following
             if at.block_hash != head.block_hash:
                 head = self.source.head()
@@ -76,7 +76,7 @@ class Tracker:
                 batch = plan_transition(state, head, self.source.header_by_hash, self.max_depth)
                 if any(e.kind == "rollback" for e in batch.events):
                     report.applied.clear()
-                self._commit(batch, report)
+                self.commit(batch, report)
         except (DepthExceeded, CrossesFinalized, MissingParent) as e:
             report.state, report.reason = "unavailable", f"{type(e).__name__}: {e}"
         return report
@@ -85,7 +85,9 @@ class Tracker:
         row = self.store.blocks().where("is_canonical").where(f"height = {height}").select("block_hash", "parent_hash", "height").first()
         return Header(*row) if row else None
 
-    def _commit(self, batch: Batch, report: Report) -> None:
+    def commit(self, batch: Batch, report: Report) -> None:
+        if not batch.events:
+            return
         applied = [e.header for e in batch.events if e.kind == "apply"]
         blocks, logs = self.source.payload(applied)
         self.store.commit(batch, blocks, logs)

@@ -10,6 +10,7 @@ The manifest's rename is atomic on HDFS and on local disks; on an object store w
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -102,6 +103,9 @@ class Store:
         marks = self._read(m.published, "event_id bigint, published_at timestamp").groupBy("event_id").agg(F.min("published_at").alias("published_at"))
         return self._read(m.journal, JOURNAL).join(marks, "event_id", "left")
 
+    def now(self) -> datetime.datetime:
+        return self.spark.range(1).select(F.current_timestamp()).first()[0]
+
     def checkpoint(self) -> Header | None:
         c = self.manifest().checkpoint
         return Header(c["block_hash"], c["parent_hash"], c["height"]) if c else None
@@ -121,7 +125,8 @@ class Store:
     def commit(self, batch: Batch, blocks: DataFrame, logs: DataFrame, before_publish=lambda: None) -> None:
         """Commit a transition with the rows of its applied blocks and their logs; no event, no change.
 
-        blocks and logs must match the applied headers exactly.  A batch that was committed already changes nothing.
+        blocks and logs must match the applied headers exactly.  A batch of which every event is in the store already changes nothing,
+        not the checkpoint either; one whose ancestor is not canonical is refused.
         """
         if not batch.events:
             return
@@ -138,6 +143,9 @@ class Store:
             stored = self.blocks(buckets)
             full = events.join(blocks.select("block_hash", "ts", "status", "status_source"), "block_hash", "left")
             flips = merge.effective_events(full, stored)
+            if not flips.take(1):
+                return
+            self._check_ancestor(batch.ancestor, m)
             version, base = m.version + 1, f"v{m.version + 1}-{uuid.uuid4().hex[:8]}"
             merged = merge.merge_blocks(stored, full)
             merged_logs = merge.merge_logs(self.logs(buckets), logs)
@@ -158,6 +166,15 @@ class Store:
             before_publish()
             self._publish(m)
 
+    def _check_ancestor(self, ancestor: Header | None, m: Manifest) -> None:
+        if ancestor is None:
+            if m.checkpoint:
+                raise StoreError("a batch without an ancestor begins a store, but this one has a checkpoint")
+            return
+        at = self.blocks([ancestor.height // BUCKET]).where((F.col("height") == ancestor.height) & (F.col("block_hash") == ancestor.block_hash) & F.col("is_canonical"))
+        if not at.take(1):
+            raise StoreError(f"the batch's ancestor at {ancestor.height} is not a canonical block of the store")
+
     def _write(self, df: DataFrame, folder: str, into: dict, bucket: int, *order: str) -> None:
         df.sortWithinPartitions(*order).write.parquet(f"{self.path}/{folder}")
         into[str(bucket)] = folder
@@ -178,6 +195,12 @@ class Store:
         bad = now.where((F.length("block_hash") != 64) | (F.length("parent_hash") != 64) | (F.col("height") < 0) | ~F.col("status").isin("unsafe", "safe", "finalized"))
         if bad.take(1):
             raise StoreError("a block is out of its domain")
+        sizes = (F.length("tx_hash") != 64) | (F.length("block_hash") != 64) | (F.length("address") != 40) | (F.length("data") % 2 != 0)
+        places = (F.col("block_number") < 0) | (F.col("transaction_index") < 0) | (F.col("log_index") < 0)
+        topics = (F.length("topic0") != 64) | (F.length("topic1") != 64) | (F.col("topic0").isNull() & F.col("topic1").isNotNull())
+        decodes = F.col("decoded_event").isNotNull() != F.col("decoder_version").isNotNull()
+        if logs.where(F.coalesce(sizes, F.lit(False)) | F.coalesce(places, F.lit(False)) | F.coalesce(topics, F.lit(False)) | decodes).take(1):
+            raise StoreError("a log is out of its domain")
 
     def mark_published(self, event_ids: DataFrame) -> None:
         """After the sink has taken them; ids that are marked already keep their first time."""

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import datetime
 import json
+import re
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
@@ -25,7 +27,7 @@ from pyspark.sql.datasource import (
 )
 
 from forktide.operators.transition import Header
-from forktide.plans.ranges import Retry, plan_ranges
+from forktide.plans.ranges import COST, LifetimeBudget, Retry, WindowBudget, plan_ranges
 
 BLOCKS = "height bigint, block_hash string, parent_hash string, ts timestamp"
 LOGS = "block_number bigint, block_hash string, transaction_index int, log_index int, tx_hash string, address string, topics array<string>, data string"
@@ -66,6 +68,11 @@ class Client:
     url: str
     timeout: float = 30.0
     retry: Retry = Retry()
+    #: Both are paid before each attempt, so they hold for one process; a backfill keeps its own for all tasks.
+    lifetime: LifetimeBudget | None = None
+    window: WindowBudget | None = None
+    requests: int = 0
+    cost: int = 0
 
     def __post_init__(self):
         if not self.url.startswith(("http://", "https://")):
@@ -75,17 +82,30 @@ class Client:
         """The results of a batch, in the order of its calls."""
         body = json.dumps([{"jsonrpc": "2.0", "id": i, "method": m, "params": p} for i, (m, p) in enumerate(calls)]).encode()
 
+        costs = ["logs" if m == "eth_getLogs" else "block" for m, _ in calls]
+
         def once():
+            if self.window is not None and (wait := self.window.wait(sum(COST[c] for c in costs))):
+                time.sleep(wait)
+            for c in costs:
+                if self.lifetime is not None:
+                    self.lifetime.spend(c)
+                self.requests, self.cost = self.requests + 1, self.cost + COST[c]
             request = urllib.request.Request(self.url, body, {"Content-Type": "application/json"})
-            with urllib.request.urlopen(request, timeout=self.timeout) as r:
-                answers = json.loads(r.read())
+            try:
+                with urllib.request.urlopen(request, timeout=self.timeout) as r:
+                    answers = json.loads(r.read())
+            except urllib.error.HTTPError as e:
+                asked = e.headers.get("Retry-After", "")
+                e.retry_after = float(asked) if asked.isdigit() else None
+                raise
             by = {a["id"]: a for a in answers}
             for a in answers:
                 if a.get("error"):
                     raise RpcError(a["error"].get("message", "error"))
             return [by[i]["result"] for i in range(len(calls))]
 
-        return self.retry.run(once, error_class)
+        return self.retry.run(once, error_class, who=f"{self.url} {calls[0]}")
 
     def call(self, method: str, *params):
         return self.send([(method, list(params))])[0]
@@ -98,6 +118,11 @@ class Client:
     def block_at(self, height: int) -> tuple:
         return self.blocks(height, height)[0]
 
+    def find_block(self, height: int) -> tuple | None:
+        """The block at a height, None if the node has none."""
+        b = self.call("eth_getBlockByNumber", hex(height), False)
+        return b and block_row(b)
+
     def blocks(self, low: int, high: int) -> list[tuple]:
         """(height, hash, parent, seconds) of an inclusive range in one batch, checked as a chain."""
         found = self.send([("eth_getBlockByNumber", [hex(h), False]) for h in range(low, high + 1)])
@@ -110,14 +135,21 @@ class Client:
                 raise RpcError(f"the block at {h} does not follow its predecessor")
         return rows
 
-    def header_by_hash(self, block_hash: str) -> Header | None:
+    def block_by_hash(self, block_hash: str) -> list[tuple]:
+        """The block's row, or none."""
         b = self.call("eth_getBlockByHash", "0x" + hexed(block_hash, 32), False)
-        if b is None:
-            return None
-        height, found, parent, _ = block_row(b)
-        if found != hexed(block_hash):
+        rows = [] if b is None else [block_row(b)]
+        if any(r[1] != hexed(block_hash) for r in rows):
             raise RpcError("the node answered with another block")
-        return Header(found, parent, height)
+        return rows
+
+    def header_by_hash(self, block_hash: str) -> Header | None:
+        return next((Header(found, parent, height) for height, found, parent, _ in self.block_by_hash(block_hash)), None)
+
+    def block_with_logs(self, block_hash: str) -> tuple[Header, list[tuple]] | None:
+        """A block by its hash with the logs of that very block."""
+        header = self.header_by_hash(block_hash)
+        return header and (header, self.logs_of(header))
 
     def logs(self, low: int, high: int, address: str | None = None) -> list[tuple]:
         query = {"fromBlock": hex(low), "toBlock": hex(high)} | ({"address": "0x" + hexed(address, 20)} if address else {})
@@ -162,7 +194,7 @@ class _Ranges:
     column = "height"
 
     def __init__(self, options: dict):
-        self.options, self.address = options, options.get("address")
+        self.options, self.address, self.block_hash = options, options.get("address"), None
         self.low, self.high = int(options.get("low", 0)), None if options.get("high") is None else int(options["high"])
 
     def client(self) -> Client:
@@ -171,6 +203,9 @@ class _Ranges:
     def split(self, low: int, high: int) -> list[Heights]:
         return [Heights(r.low, r.high) for r in plan_ranges(low, high, int(self.options.get("span", 100)))] or [Heights(0, -1)]
 
+    def inside(self, rows: list[tuple]) -> list[tuple]:
+        return [r for r in rows if self.low <= r[0] and (self.high is None or r[0] <= self.high)]
+
     def read(self, partition: Heights) -> Iterator[tuple]:
         if partition.low <= partition.high:
             yield from self.rows(partition)
@@ -178,7 +213,8 @@ class _Ranges:
 
 class _Blocks(_Ranges):
     def rows(self, p: Heights) -> Iterator[tuple]:
-        for height, block_hash, parent, seconds in self.client().blocks(p.low, p.high):
+        client = self.client()
+        for height, block_hash, parent, seconds in client.blocks(p.low, p.high) if self.block_hash is None else self.inside(client.block_by_hash(self.block_hash)):
             yield height, block_hash, parent, datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc)
 
 
@@ -186,17 +222,22 @@ class _Logs(_Ranges):
     column = "block_number"
 
     def rows(self, p: Heights) -> Iterator[tuple]:
-        yield from self.client().logs(p.low, p.high, self.address)
+        client = self.client()
+        if self.block_hash is None:
+            yield from client.logs(p.low, p.high, self.address)
+        elif header := client.header_by_hash(self.block_hash):
+            yield from (r for r in self.inside(client.logs_of(header)) if self.address is None or r[5] == hexed(self.address))
 
 
 class _Batch(DataSourceReader):
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Bounds are taken as hints, and Spark filters again; an address is left to the node."""
+        """Bounds and an address are taken as hints, and Spark filters again.  An address that is not written as rows have it is no hint."""
         for f in filters:
             name = getattr(f, "attribute", ("",))[-1]
-            if name == "address" and isinstance(f, EqualTo) and self.column == "block_number":
+            if name == "address" and isinstance(f, EqualTo) and self.column == "block_number" and self.address is None and re.fullmatch("[0-9a-f]{40}", str(f.value)):
                 self.address = f.value
-                continue
+            if name == "block_hash" and isinstance(f, EqualTo) and re.fullmatch("[0-9a-f]{64}", str(f.value)):
+                self.block_hash = f.value
             if name == self.column:
                 low = {GreaterThan: 1, GreaterThanOrEqual: 0, EqualTo: 0}.get(type(f))
                 high = {LessThan: -1, LessThanOrEqual: 0, EqualTo: 0}.get(type(f))
@@ -207,6 +248,8 @@ class _Batch(DataSourceReader):
             yield f
 
     def partitions(self) -> list[Heights]:
+        if self.block_hash is not None:
+            return [Heights(0, 0)]  # one request by hash; Spark filters heights and address
         return self.split(self.low, self.high if self.high is not None else self.client().head()["height"])
 
 
