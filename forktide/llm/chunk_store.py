@@ -44,6 +44,8 @@ MAX_CHUNK = 4096
 WINDOW_STEPS = 5
 #: Documents of a part whose roots are one block; a power of two, so that a block's root is a node of the part's tree.
 BLOCK = 4096
+#: Digests of chunks that a task remembers to have stored, before it begins anew.
+REMEMBERED = 200_000
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:
@@ -198,8 +200,11 @@ def crc_of_lists(ends: np.ndarray, crcs: np.ndarray, lengths: np.ndarray) -> np.
 
 def _tokens(df: DataFrame, tokenizer: str) -> DataFrame:
     end = np.array([END_ID], "<u4").tobytes()
+    seen: set[bytes] = set()  # each task has its own
 
     def f(r):
+        if len(seen) > REMEMBERED:
+            seen.clear()
         e = encoder(tokenizer)
         width = 2 if e.tokenizer.get_vocab_size() <= 1 << 16 else 4
         made = chunk_documents([ids + end for ids in e.encode(r["text"])], width)
@@ -207,8 +212,7 @@ def _tokens(df: DataFrame, tokenizer: str) -> DataFrame:
         ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
         stored = [x for c in made for x in c]
         sizes = np.array([len(d) for _, d in stored], np.int32)
-        seen: set[bytes] = set()
-        fresh = pa.array([None if h in seen or seen.add(h) else d for h, d in stored], pa.binary())  # a batch's copies go no further
+        fresh = pa.array([None if h in seen or seen.add(h) else d for h, d in stored], pa.binary())  # a task's copies go no further
         lists = (lambda values: pa.ListArray.from_arrays(ends, values))
         return {
             "doc_id": r["doc_id"], "n_tokens": np.add.reduceat(sizes, ends[:-1]).astype(np.int64) // width, "digests": lists(pa.array([h for h, _ in stored], pa.binary())),
@@ -225,7 +229,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str) -> None:
     rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/staged")
     staged = spark.read.parquet(f"{path}/staged")
     chunks = staged.select(F.explode(F.arrays_zip("digests", "lengths", "chunks")).alias("c")).select(F.col("c.digests").alias("digest"), F.col("c.lengths").alias("n"), F.col("c.chunks").alias("ids"))
-    chunks = chunks.where("ids IS NOT NULL").dropDuplicates(["digest"]).sortWithinPartitions("digest")
+    chunks = chunks.where("ids IS NOT NULL").repartition("digest").dropDuplicates(["digest"]).sortWithinPartitions("digest")
     chunks.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/chunks")
     order = ("doc_id", "root", "number")  # number is unique, so rows of one (or null) doc_id part like others
     ranged = staged.drop("chunks").repartitionByRange(n, *order).sortWithinPartitions(*order)

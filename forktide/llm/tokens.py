@@ -28,7 +28,7 @@ CACHE_CHUNKS = 700_000
 #: Longer chunks are encoded each time they come.
 CACHE_LENGTH = 64
 #: Signs behind letters, but for the apostrophe, which byte BPE may join with letters after it; kept are CACHE_ENDS of them.
-SIGNS = re.compile(r"[!-&(-/:-@\[-`{-~\n]+\Z")
+SIGNS = "".join(map(chr, [*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "\n"
 CACHE_ENDS = 10_000
 #: New chunks that are encoded as one text.
 TOGETHER = 4096
@@ -37,6 +37,19 @@ SEPARATOR = b"|"
 SPACE_BEFORE_SPACE = re.compile(r" (?=\s|\Z)")
 
 
+class _Known(dict):
+    """chunk -> ids.  A chunk that is not there gets an empty gap, the same each time, which is filled once its ids are known."""
+
+    def __init__(self):
+        self.new: dict[bytes | str, bytearray] = {}
+
+    def __missing__(self, chunk) -> bytearray:
+        gap = self.new.get(chunk)
+        if gap is None:
+            gap = self.new[chunk] = bytearray()
+        return gap
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
@@ -46,12 +59,13 @@ class Encoder:
             raise RuntimeError("ids are written as the machine holds them: little-endian, four bytes")
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = self.tokenizer.normalizer is None
+        self.tokenizer.model._resize_cache(0)  # what comes here is new each time
         if self.byte_level:
             self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith("\u0120")]] = True
         else:
             self.separator = int(np.frombuffer(self._alone([SEPARATOR.decode()])[0], "<u4")[0])
-        self.cache: dict[bytes | str, bytes] = {}
+        self.cache = _Known()
         self.older: dict[bytes | str, bytes] = {}
         self.ends: dict[str, bytes] = {}
 
@@ -84,30 +98,37 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
-            self.older, self.cache = self.cache, {}
+            self.older, self.cache = self.cache, _Known()
         split, begun = [self.chunks(t) for t in texts], [b""] * len(texts)
         if self.byte_level:
             begun, split = self._alone([s[0] for s in split]), [s[1:] for s in split]
-        get = self.cache.get
-        found = [list(map(get, s)) for s in split]
-        new = {c: self.older.get(c) for s, f in zip(split, found) if None in f for c, ids in zip(s, f) if ids is None}
-        names = [c for c, ids in new.items() if ids is None]
-        new.update(self._words(names) if self.byte_level else zip(names, self._fresh(names)))
-        out = [head + b"".join([new[c] if ids is None else ids for c, ids in zip(s, f)] if None in f else f) for head, s, f in zip(begun, split, found)]
-        self.cache.update((c, ids) for c, ids in new.items() if len(c) <= CACHE_LENGTH)
-        return out
+        look = self.cache.__getitem__
+        found = [list(map(look, s)) for s in split]
+        new, self.cache.new = self.cache.new, {}
+        known = {c: ids for c in new if (ids := self.older.get(c)) is not None} if self.older else {}
+        names = [c for c in new if c not in known] if known else list(new)
+        known.update(self._words(names) if self.byte_level else zip(names, self._fresh(names)))
+        for c, gap in new.items():
+            gap += known[c]
+        self.cache.update(known)
+        for c in known:
+            if len(c) > CACHE_LENGTH:
+                del self.cache[c]
+        return [head + b"".join(f) for head, f in zip(begun, found)]
 
     def _words(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks, letters and the signs behind them apart: byte BPE never joins the two, and letters come again sooner."""
-        parts, bare, ends = {}, {}, {}
+        parts, bare, ends, known = {}, {}, {}, self.cache.get
         for c in chunks:
-            m = SIGNS.search(c)
-            if m and (letters := c[: m.start()]).isalpha():
-                parts[c] = letters, m[0]
-                ends[m[0]] = self.ends.get(m[0])
-                bare[letters] = self.cache.get(letters) or self.older.get(letters)
+            letters = c.rstrip(SIGNS)
+            if letters != c and letters.isalpha():
+                parts[c] = letters, (signs := c[len(letters) :])
+                ends[signs] = None
+                bare[letters] = known(letters)
             else:
                 bare[c] = None
+        ends = {signs: self.ends.get(signs) for signs in ends}
+        bare = {c: ids if ids is not None else self.older.get(c) for c, ids in bare.items()} if self.older else bare
         names = [c for c, ids in bare.items() if ids is None]
         bare.update(zip(names, self._fresh(names)))
         names = [e for e, ids in ends.items() if ids is None]
