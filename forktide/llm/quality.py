@@ -5,8 +5,9 @@ patterns estimates how often each rule votes either way on good and on bad docum
 probability of a good document, not a demand that all rules pass, is the verdict.  There are at most 3 ** rules patterns,
 so their counts, and the table of posteriors that is joined back, have a fixed bound.
 
-Defined cases: a null or empty text has no words and all counts 0, and fails the base check; equal texts get equal
-verdicts; an empty table gives an empty result; columns of the input other than doc_id and text have no influence.
+Defined cases: a null or empty text has no words and all counts 0, and fails the base check; equal texts, those of repeated rows
+too, get equal verdicts; a posterior of exactly KEEP_FROM is kept; a null doc_id is carried; an empty table gives an empty result;
+columns of the input other than doc_id and text, whatever their names, have no influence and stay in the stage.
 """
 
 from __future__ import annotations
@@ -155,5 +156,5 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     bounded_batches(spark)
     renamed = docs.toDF(*(f"_in_{i}" for i in range(len(docs.columns)))).withColumn("text", F.col(f"_in_{docs.columns.index('text')}"))
     carried = [c for c in renamed.columns if c != "text"]
-    # counted twice: that spares a table of all texts
-    return judged(counted(renamed, carried), counted(renamed, [])).where("kept").select(*carried).toDF(*docs.columns)
+    rows = written(counted(renamed, carried), compression="zstd")
+    return judged(rows, rows).where("kept").select(*carried).toDF(*docs.columns)
