@@ -23,8 +23,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents
+from .common import bounded_batches, documents, map_arrow
 from .tokens import encoder, public_path
 
 LENGTH = 4096
@@ -215,6 +216,31 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length
     return docs.select("doc_id", "text", *[loss_spans] * bool(loss_spans)).mapInArrow(run, schema)
 
 
+def conversation_documents(turns: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id (the conv_id), text and spans of each conversation of (conv_id, turn, role, text): an assistant's tokens bear loss.
+
+    Turns stand one under the other; the tokenizer joins nothing across a line's end, so a turn's tokens are those of its text.
+    """
+
+    def count(r):
+        return {"conv_id": r["conv_id"], "turn": r["turn"], "role": r["role"], "text": r["text"], "n": [len(x) // 4 for x in encoder(tokenizer).encode(r["text"])]}
+
+    def spans(r):
+        out = []
+        for turns_ in r["turns"]:
+            at, mine = 0, []
+            for t in turns_:
+                if t["role"] == "assistant" and t["n"]:
+                    mine.append({"start": at, "end": at + t["n"]})
+                at += t["n"]
+            out.append(mine)
+        return {"doc_id": r["conv_id"], "text": ["\n".join(t["text"] or "" for t in x) for x in r["turns"]], "spans": out}
+
+    counted = map_arrow(turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text"), count, "conv_id long, turn long, role string, text string, n long")
+    whole = counted.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "n"))).alias("turns"))  # a conversation's own
+    return map_arrow(whole, spans, "doc_id long, text string, spans array<struct<start: long, end: long>>")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return pack_documents(documents(spark, sf_dir), public_path("word_bpe_49k.json"))
