@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch; a batch of very long texts stays small.
 ROWS_PER_BATCH = 256
+#: Bytes after which a batch is closed; one longer text is a batch of its own.
+BYTES_PER_BATCH = 16 << 20
 #: Words kept in a worker's hash cache before it is emptied.
 CACHE_WORDS = 400_000
 #: Of the bitmap that spares rows without a partner a shuffle: 2 ** 26 bits are 8 MB.
@@ -22,8 +24,9 @@ FILTER_BITS = 26
 
 
 def bounded_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Keep the Arrow batches of this session small, so that long texts don't fill a worker."""
+    """Keep the Arrow batches of this session small, in rows and in bytes, so that long texts don't fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -108,6 +111,8 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir; only where that is unset (tests on one machine) a temporary one."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         top = f"file://{tempfile.gettempdir()}/forktide-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", top)
     path = f"{top.rstrip('/')}/forktide/{uuid.uuid4().hex}"
@@ -128,10 +133,11 @@ def tables_made() -> int:
 
 def discard(spark: SparkSession, since: int) -> None:
     """Remove the tables written since a mark; nothing that is still to run may read them."""
-    for owner, path in _made[since:]:
+    late = _made[since:]
+    _made[since:] = [x for x in late if x[0] is not spark]
+    for owner, path in late:
         if owner is spark:
             remove(spark, path)
-    del _made[since:]
 
 
 @atexit.register

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import remove, shared_dir, written
 
 
 def _towards_minimum(edges: DataFrame, small: bool) -> DataFrame:
@@ -33,10 +33,13 @@ def _mark(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) -> (node, component): the least node of each node's component; nodes without edges are absent."""
-    stars = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark, path = edges.sparkSession, shared_dir(edges.sparkSession)
+    stars = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), path)
     mark = _mark(stars)
     while mark[0]:
-        stars = written(_towards_minimum(_towards_minimum(stars, small=False), small=True))
+        last, path = path, shared_dir(spark)
+        stars = written(_towards_minimum(_towards_minimum(stars, small=False), small=True), path)
+        remove(spark, last)
         before, mark = mark, _mark(stars)
         if mark == before:
             break

@@ -256,7 +256,9 @@ def classes(drawn: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, doubtful (whether its doc_id has other texts too) of each row with a doc_id."""
+    """doc_id, n_shingles, component_id, doubtful (whether its doc_id has other texts too) of each row with a doc_id, as a table; no other is left."""
+    spark = docs.sparkSession
+    path, mark = shared_dir(spark), tables_made()
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     member_of = written(classes(sketches(named)))
     first = member_of.where("first").select("rep", "n_shingles", "sketch", "least")
@@ -273,7 +275,9 @@ def groups(docs: DataFrame) -> DataFrame:
         found = components(star.unionAll(rest))
     found = found.select(F.col("node").alias("rep"), "component")
     joined = member_of.where("rep IS NOT NULL").select("doc_id", "n_shingles", "rep").join(found, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.lit(False).alias("doubtful"))
-    return joined.unionAll(member_of.where("rep IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "doubtful"))
+    out = written(joined.unionAll(member_of.where("rep IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "doubtful")), path)
+    discard(spark, mark)
+    return out
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,10 +292,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     bounded_batches(spark)
     plain, carried = numbered(docs)
     plain = plain.withColumn("doc_id", F.col(carried[docs.columns.index("doc_id")]))
-    path, mark = shared_dir(spark), tables_made()
     found = groups(plain).where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.bool_or("doubtful").alias("doubtful"))
-    kept = written(found, path)
-    discard(spark, mark)
+    kept = written(found)
     rows = plain.withColumn("row", F.monotonically_increasing_id())
     named = rows.join(kept, rows["doc_id"] == kept["kept_id"]).withColumn("row", F.when(F.col("doubtful"), F.col("row")))
     one = named.dropDuplicates(["kept_id", "row"])
