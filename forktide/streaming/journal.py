@@ -20,6 +20,8 @@ from forktide.operators.journal import messages
 def scratch(spark: SparkSession) -> str:
     """A folder in the shared checkpoint folder; on one machine without that setting, a temporary one."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{top.rstrip('/') if top else 'file://' + os.path.join(tempfile.gettempdir(), 'forktide')}/stream-{uuid.uuid4().hex}"
 
 
