@@ -334,7 +334,7 @@ def encode_column(df: DataFrame, path: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32, n_bytes (UTF-8 bytes of the fallback), decoded_sha256 and same (decoded text = text)."""
-    bounded_batches(spark)
+    bounded_batches(spark, 1024)  # more new stretches of one length run in step
     path = public_path("piece_bpe_32k.model")
 
     def f(r):
