@@ -142,6 +142,12 @@ def attached_logs(blocks: DataFrame, logs: DataFrame) -> DataFrame:
     return blocks.join(grouped, ["height", "block_hash"], "left").withColumn("logs", F.coalesce("logs", F.array().cast(grouped.schema["logs"].dataType)))
 
 
+def stray_logs(blocks: DataFrame, logs: DataFrame) -> DataFrame:
+    """Logs at a height with blocks, of none of those blocks: what a node returns that has changed branches between two answers."""
+    off = logs.join(blocks.select(F.col("height").alias("block_number"), "block_hash"), ["block_number", "block_hash"], "left_anti")
+    return off.join(blocks.select(F.col("height").alias("block_number")), "block_number", "left_semi")
+
+
 def normalised(logs: DataFrame) -> DataFrame:
     """The six fields by which logs of two sources are compared, as prefixed hex."""
     from forktide.functions.scalars import prefixed

@@ -1,13 +1,15 @@
 """Decoding of contract logs: a registry of addresses, a table of events, native slicing of 32-byte words.
 
 A log's address picks the standard, its first topic the event; the same topic means different events for different
-standards.  Topics and data are hex without a prefix.  Integers of up to 64 bits are read by Spark itself; wider ones, as decimal
-text, by an Arrow function, which sees only rows that need it.  Nothing fails: what cannot be decoded has a status and no
+standards.  Topics and data are hex without a prefix.  Integers of up to 38 digits are read by Spark itself; larger ones, as decimal
+text, by an Arrow function, which sees only rows that need it, and so are arrays.  Nothing fails: what cannot be decoded has a status and no
 decode.  Addresses are rendered in lower case; ``checksummed`` gives the mixed-case form.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +74,29 @@ def small_signed(w: Column, hex_digits: int) -> Column:
     return F.when(value >= F.lit(1 << (4 * hex_digits - 1)), value - F.lit(1 << (4 * hex_digits))).otherwise(value)
 
 
+#: 2 ** 64, and how many of it have 38 digits at most.
+HALF, HALVES = 1 << 64, (10**38 - 1) // (1 << 64)
+
+
+def _half(w: Column, at: int) -> Column:
+    return F.conv(F.substring(w, at, 16), 16, 10).cast("decimal(20,0)")
+
+
+def middle_unsigned(w: Column) -> Column:
+    """A word as decimal text; null if it has more than 38 digits."""
+    high, low = _half(w, 33), _half(w, 49)
+    whole = high * F.lit(Decimal(HALF)) + low
+    return F.when(F.substring(w, 1, 32).eqNullSafe("0" * 32) & (high < F.lit(Decimal(HALVES))), whole.cast("string"))
+
+
+def middle_negative(w: Column) -> Column:
+    """The same for a word that is negative in two's complement; its size is that of the inverted bits, and one."""
+    high = F.lit(Decimal(HALF - 1)) - _half(w, 33)
+    low = F.lit(Decimal(HALF)) - _half(w, 49)
+    whole = high * F.lit(Decimal(HALF)) + low
+    return F.when(F.lower(F.substring(w, 1, 32)).eqNullSafe("f" * 32) & (high < F.lit(Decimal(HALVES))), F.concat(F.lit("-"), whole.cast("string")))
+
+
 @F.pandas_udf(StringType())
 def wide_unsigned(words: pd.Series) -> pd.Series:
     return words.map(lambda w: None if not w else str(int(w, 16)))
@@ -88,13 +113,69 @@ def rendered(w: Column, kind: str) -> Column:
         return F.concat(F.lit("0x"), F.lower(F.right(w, F.lit(40))))
     if kind == "bool":
         return F.when(F.right(w, F.lit(1)) == "1", "true").otherwise("false")
+    if kind.startswith("bytes"):
+        return F.concat(F.lit("0x"), F.lower(F.substring(w, 1, 2 * int(kind[5:]))))
     if kind.startswith("uint"):
-        small = small_unsigned(w).cast("string")
-        return F.coalesce(small, wide_unsigned(F.when(small.isNull(), w)))
+        known = F.coalesce(small_unsigned(w).cast("string"), middle_unsigned(w))
+        return F.coalesce(known, wide_unsigned(F.when(known.isNull(), w)))
     bits = int(kind[3:])
     if bits <= 56:
         return small_signed(w, bits // 4).cast("string")
-    return F.coalesce(small_unsigned(w).cast("string"), wide_signed(F.when(small_unsigned(w).isNull(), w)))
+    known = F.coalesce(small_unsigned(w).cast("string"), middle_unsigned(w), middle_negative(w))
+    return F.coalesce(known, wide_signed(F.when(known.isNull(), w)))
+
+
+def dynamic(kind: str) -> bool:
+    """Whether a value stands behind the words, at the place that its word names."""
+    return kind in ("bytes", "string") or kind.endswith("[]")
+
+
+def _tail(data: Column, w: Column, kind: str) -> tuple[Column, Column, Column]:
+    """Of a dynamic value: its length, its hex, and whether both lie within the data."""
+    # no log has 16 MB of data, so larger places and lengths are outside
+    near = (lambda c: F.when(small_unsigned(c) < 1 << 24, small_unsigned(c)))
+    at = near(w)
+    length = near(F.substring(data, (1 + 2 * at).cast("int"), F.lit(WORD)))
+    digits = length * (WORD if kind.endswith("[]") else 2)
+    inside = (at % 32 == 0) & (2 * at + WORD <= F.length(data)) & (digits <= F.length(data) - 2 * at - WORD)
+    return length, F.substring(data, (1 + WORD + 2 * at).cast("int"), digits.cast("int")), F.coalesce(inside, F.lit(False))
+
+
+def array_text(body: str, kind: str) -> str | None:
+    """The words of an array of a fixed-size type as a JSON list of texts; null if a word is no value of the type."""
+    out = []
+    for i in range(0, len(body), WORD):
+        w = body[i : i + WORD].lower()
+        if kind == "address":
+            text, good = "0x" + w[24:], w[:24] == "0" * 24
+        elif kind == "bool":
+            text, good = ("true" if w[-1] == "1" else "false"), w[:-1] == "0" * 63 and w[-1] in "01"
+        elif kind.startswith("bytes"):
+            text, good = "0x" + w[: 2 * int(kind[5:])], not w[2 * int(kind[5:]) :].strip("0")
+        else:
+            bits, signed = int(kind.lstrip("uint")), kind.startswith("int")
+            value = int(w, 16) - ((1 << 256) if signed and w[0] >= "8" else 0)
+            text, good = str(value), (-(1 << bits - 1) <= value < 1 << bits - 1) if signed else value < 1 << bits
+        if not good:
+            return None
+        out.append(f'"{text}"')
+    return f"[{','.join(out)}]"
+
+
+def rendered_tail(data: Column, w: Column, kind: str) -> Column:
+    """A dynamic value as text: bytes as hex, a string as it is, an array as a JSON list; null if it doesn't lie within the data."""
+    _, body, inside = _tail(data, w, kind)
+    body = F.when(inside & body.rlike("^[0-9a-fA-F]*$"), body)
+    if kind == "bytes":
+        return F.concat(F.lit("0x"), F.lower(body))
+    if kind == "string":
+        return F.try_validate_utf8(F.unhex(body).cast("string"))
+
+    @F.pandas_udf(StringType())
+    def listed(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda b: None if b is None else array_text(b, kind[:-2]))
+
+    return listed(body)
 
 
 def fits(w: Column, kind: str) -> Column:
@@ -102,6 +183,8 @@ def fits(w: Column, kind: str) -> Column:
     whole = (F.length(w) == WORD) & w.rlike("^[0-9a-fA-F]{64}$")
     if kind == "bool":
         return whole & w.rlike("^0{63}[01]$")
+    if kind.startswith("bytes"):
+        return whole & F.substring(w, 1 + 2 * int(kind[5:]), WORD).rlike("^0*$")
     used = 40 if kind == "address" else int(kind.lstrip("uint")) // 4
     if used == WORD:
         return whole
@@ -131,8 +214,14 @@ def decode(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> Data
         for arg, kind, indexed in args:
             w = F.get("topics", F.lit(topic)) if indexed else word(F.col("data"), slot)
             topic, slot = topic + indexed, slot + (not indexed)
-            ok = ok & F.coalesce(fits(w, kind), F.lit(False))
-            values.append((arg, kind, F.when(here, rendered(F.when(here, w), kind))))
+            if dynamic(kind) and not indexed:
+                value = rendered_tail(F.when(here, F.col("data")), F.when(here, w), kind)
+                ok = ok & value.isNotNull()
+            else:
+                plain = "bytes32" if dynamic(kind) else kind  # a topic has the hash of a dynamic value
+                value = F.when(here, rendered(F.when(here, w), plain))
+                ok = ok & F.coalesce(fits(w, plain), F.lit(False))
+            values.append((arg, kind, value))
         signature = f"{name}({','.join(k for _, k, _ in args)})"
         body = F.struct(
             F.lit(1).alias("schema_version"), F.col("standard").alias("standard"), F.col("version").alias("decoder_version"), F.lit(name).alias("event"), F.lit(signature).alias("signature"),

@@ -60,12 +60,14 @@ def reorg_runs(outbox: DataFrame) -> DataFrame:
 
 
 def messages(outbox: DataFrame, chain_id: int) -> DataFrame:
-    """key and value of each row for a broker: one key for the chain keeps the order; ids are the journal's."""
+    """key, value and headers of each row for a broker: one key for the chain keeps the order; ids are the journal's."""
     body = F.struct(
         F.lit(PAYLOAD_VERSION).alias("schema_version"), "event_id", F.lit(str(chain_id)).alias("chain_id"), F.col("event_kind").alias("transition_kind"),
         "block_height", F.col("event_id").alias("ordering"), "payload",
     )
-    return outbox.select("event_id", F.lit(f"chain:{chain_id}").alias("key"), F.to_json(body).alias("value"))
+    header = (lambda name, value: F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value")))
+    headers = F.array(header("event_id", F.col("event_id")), header("schema_version", F.lit(PAYLOAD_VERSION)))
+    return outbox.select("event_id", F.lit(f"chain:{chain_id}").alias("key"), F.to_json(body).alias("value"), headers.alias("headers"))
 
 
 def payloads(events: DataFrame, logs: DataFrame) -> DataFrame:

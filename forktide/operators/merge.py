@@ -7,7 +7,7 @@ the stored one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,35 @@ def changed_decodes(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.where(~F.col("decoded_event").eqNullSafe(F.col("new_event")) | ~F.col("decoder_version").eqNullSafe(F.col("new_version")))
 
 
+def _first_fault(rules: dict[str, Column]) -> Column:
+    """The name of the first rule that holds; a rule that is null does not."""
+    out = None
+    for name, rule in rules.items():
+        out = F.when(rule, name) if out is None else out.when(rule, name)
+    return out
+
+
+def block_faults(blocks: DataFrame) -> DataFrame:
+    """Blocks out of their domain, with the fault."""
+    rules = {
+        "block_hash": F.length("block_hash") != 64, "parent_hash": F.length("parent_hash") != 64, "height": F.col("height") < 0,
+        "status": ~F.col("status").isin("unsafe", "safe", "finalized"),
+    }
+    return blocks.withColumn("fault", _first_fault(rules)).where("fault IS NOT NULL")
+
+
+def log_faults(logs: DataFrame) -> DataFrame:
+    """Logs out of their domain, with the fault: sizes of hashes and addresses, signs of places, order of topics, decodes without a version."""
+    rules = {
+        "block_hash": F.length("block_hash") != 64, "tx_hash": F.length("tx_hash") != 64, "address": F.length("address") != 40, "data": F.length("data") % 2 != 0,
+        "place": (F.col("block_number") < 0) | (F.col("transaction_index") < 0) | (F.col("log_index") < 0),
+        "topics": F.coalesce(F.length("topic0") != 64, F.lit(False)) | F.coalesce(F.length("topic1") != 64, F.lit(False)) | (F.col("topic0").isNull() & F.col("topic1").isNotNull()),
+    }
+    if "decoded_event" in logs.columns:
+        rules["decode"] = F.col("decoded_event").isNotNull() != F.col("decoder_version").isNotNull()
+    return logs.withColumn("fault", _first_fault(rules)).where("fault IS NOT NULL")
+
+
 def check_unique(blocks: DataFrame) -> DataFrame:
     """Heights with more than one canonical block: must be empty before a snapshot is published."""
     return blocks.where("is_canonical").groupBy("height").count().where("count > 1")

@@ -192,14 +192,9 @@ class Store:
         logs = self._read([m.logs[str(b)] for b in buckets], LOGS)
         if logs.join(now.select("block_hash", F.col("height").alias("block_number")), ["block_hash", "block_number"], "left_anti").take(1):
             raise StoreError("a log lacks its block")
-        bad = now.where((F.length("block_hash") != 64) | (F.length("parent_hash") != 64) | (F.col("height") < 0) | ~F.col("status").isin("unsafe", "safe", "finalized"))
-        if bad.take(1):
+        if merge.block_faults(now).take(1):
             raise StoreError("a block is out of its domain")
-        sizes = (F.length("tx_hash") != 64) | (F.length("block_hash") != 64) | (F.length("address") != 40) | (F.length("data") % 2 != 0)
-        places = (F.col("block_number") < 0) | (F.col("transaction_index") < 0) | (F.col("log_index") < 0)
-        topics = (F.length("topic0") != 64) | (F.length("topic1") != 64) | (F.col("topic0").isNull() & F.col("topic1").isNotNull())
-        decodes = F.col("decoded_event").isNotNull() != F.col("decoder_version").isNotNull()
-        if logs.where(F.coalesce(sizes, F.lit(False)) | F.coalesce(places, F.lit(False)) | F.coalesce(topics, F.lit(False)) | decodes).take(1):
+        if merge.log_faults(logs).take(1):
             raise StoreError("a log is out of its domain")
 
     def mark_published(self, event_ids: DataFrame) -> None:

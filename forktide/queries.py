@@ -341,5 +341,108 @@ def q39(spark, d):
     return compare.payload_mismatches(b.where("is_canonical"), b.where("(is_canonical AND height % 37 <> 0) OR NOT is_canonical"))
 
 
-QUERIES["stream_outbox_dispatch"] = lambda spark, d: streams.dispatch_once(spark, fx.outbox(spark, d))
-QUERIES["stream_dedup"] = lambda spark, d: streams.dedup_once(spark, fx.deliveries(spark, d))
+@query("q40_payload_with_logs", "blocks_fx", "logs_fx", sql="SELECT b.block_hash, b.height, CASE WHEN b.is_canonical THEN 'apply' ELSE 'rollback' END AS transition_kind, CASE WHEN b.is_canonical THEN b.status END AS status, coalesce(string_agg(CAST(l.transaction_index AS VARCHAR) || ':' || CAST(l.log_index AS VARCHAR) || ':' || l.tx_hash || ':' || l.data, ',' ORDER BY l.transaction_index, l.log_index) FILTER (b.is_canonical), '') AS logs FROM blocks_fx b LEFT JOIN logs_fx l USING (block_hash) GROUP BY b.block_hash, b.height, b.is_canonical, b.status")
+def q40(spark, d):
+    events = fx.blocks(spark, d).select((F.col("height") * 2 + F.col("is_canonical").cast("long")).alias("seq"), F.when(F.col("is_canonical"), "apply").otherwise("rollback").alias("event_kind"), "block_hash", "height", "status")
+    schema = "schema_version int, transition_kind string, block_hash string, height long, status string, logs array<struct<transaction_index int, log_index int, tx_hash string, data string>>"
+    read = journal.payloads(events, fx.logs(spark, d)).select(F.from_json("payload", schema).alias("p")).select("p.*")
+    one = (lambda x: F.concat_ws(":", x["transaction_index"].cast("string"), x["log_index"].cast("string"), x["tx_hash"], x["data"]))
+    return read.select("block_hash", "height", "transition_kind", "status", F.concat_ws(",", F.transform("logs", one)).alias("logs"))
+
+
+# The seven bundled events over all logs.  A log's place in its block chooses the event; its words are made of its numbers: small, beyond
+# 64 bits, and negative ones in two's complement.  The SQL has the numbers themselves.
+EVENT_NAMES = [(standard, name) for standard, name, _ in decoder.EVENTS]
+TOKEN = {s: sha(f"contract:{s}")[:40] for s, _ in EVENT_NAMES}
+WORDS_FX = """numbered AS (SELECT block_hash, log_index, log_index % 8 AS k, block_number AS n, CAST('0x' || right(data, 16) AS BIGINT) AS v FROM logs_fx)"""
+_PAD, _WIDE = "0x" + "0" * 24, 1 << 64
+
+
+@query("q41_decode_bundled_events", "logs_fx", sql=f"""WITH {WORDS_FX},
+named AS (SELECT *, '0x' || right('{'0' * 40}' || lower(to_hex(n)), 40) AS a, '0x' || right('{'0' * 40}' || lower(to_hex(n + 1)), 40) AS b, CAST(v AS VARCHAR) AS small,
+  CAST(CAST(v AS HUGEINT) * {_WIDE} + n AS VARCHAR) AS wide, CAST(-v AS VARCHAR) AS minus, CAST(-CAST(v AS HUGEINT) * {_WIDE} AS VARCHAR) AS deep, CAST(-(n % 887272) AS VARCHAR) AS tick FROM numbered)
+SELECT block_hash, log_index, CASE k WHEN 7 THEN 'DecodeFailure' ELSE 'Decoded' END AS status,
+  CASE k WHEN 0 THEN 'erc20.Transfer' WHEN 1 THEN 'erc20.Approval' WHEN 2 THEN 'erc721.Transfer' WHEN 3 THEN 'erc721.Approval' WHEN 4 THEN 'uniswap_v3_pool.Swap' WHEN 5 THEN 'uniswap_v3_pool.Mint' WHEN 6 THEN 'uniswap_v3_pool.Burn' END AS event,
+  CASE k WHEN 0 THEN a || '|' || b || '|' || small WHEN 1 THEN a || '|' || b || '|' || wide WHEN 2 THEN a || '|' || b || '|' || wide WHEN 3 THEN a || '|' || b || '|' || small
+    WHEN 4 THEN a || '|' || b || '|' || minus || '|' || deep || '|' || wide || '|' || small || '|' || tick WHEN 5 THEN a || '|' || b || '|' || tick || '|' || small || '|' || wide || '|' || small || '|' || wide
+    WHEN 6 THEN b || '|' || tick || '|' || small || '|' || wide || '|' || small || '|' || wide END AS args FROM named""")
+def q41(spark, d):
+    n, v = F.col("block_number"), F.conv(F.substring("data", 49, 16), 16, 10).cast("bigint")
+    low = (lambda c: F.lpad(F.lower(F.hex(c)), 16, "0"))
+    word = (lambda high, rest: F.concat(F.repeat(F.lit(high), F.lit(64) - F.length(rest)), rest))
+    small, wide, minus = word("0", low(v)), word("0", F.concat(low(v), low(n))), word("f", low(-v))
+    deep, tick = word("f", F.concat(low(-v), F.lit("0" * 16))), F.when(n % 887272 == 0, F.lit("0" * 64)).otherwise(word("f", low(-(n % 887272))))
+    a, b, k = word("0", low(n)), word("0", low(n + 1)), F.col("log_index") % 8
+    topics = [(a, b), (a, b), (a, b, wide), (a, b, small), (a, b), (b, tick, small_tick := word("0", low(v))), (b, tick, small_tick)]
+    data = [(small,), (wide,), (), (), (minus, deep, wide, small, tick), (a, wide, small, wide), (wide, small, wide), ()]
+    built, body, where = None, None, None
+    for i, key in enumerate([*decoder.EVENTS, next(iter(decoder.EVENTS))]):  # the last one lacks its data
+        t = F.array(F.lit(key[2]), *(topics[i] if i < 7 else topics[0]))
+        x = F.concat(F.lit(""), *data[i])
+        built = F.when(k == i, t) if built is None else built.when(k == i, t)
+        body = F.when(k == i, x) if body is None else body.when(k == i, x)
+        where = F.when(k == i, TOKEN[key[0]]) if where is None else where.when(k == i, TOKEN[key[0]])
+    logs = fx.logs(spark, d).select("block_hash", "log_index", where.alias("address"), built.alias("topics"), body.alias("data"))
+    done = decoder.decode(logs, decoder.registry(spark, [(address, s, "v1") for s, address in TOKEN.items()]))
+    event = F.from_json("decoded_event", "standard string, event string, ordered_args array<struct<name string, value string>>")
+    return done.withColumn("e", event).select("block_hash", "log_index", "status", F.when(F.col("e").isNotNull(), F.concat_ws(".", "e.standard", "e.event")).alias("event"), F.when(F.col("e").isNotNull(), F.concat_ws("|", "e.ordered_args.value")).alias("args"))
+
+
+@query("q42_quantities_and_addresses", "logs_fx", sql="""SELECT block_hash, log_index, CAST('0x' || right(data, 16) AS BIGINT) AS parsed, block_number AS from_text, '0x' || lower(to_hex(block_number)) AS formatted,
+  address, CASE WHEN log_index % 3 = 0 THEN NULL ELSE address END AS checked, log_index % 2 = 0 AS same, least(2 * block_number, 1000) AS doubled, 20 AS n_bytes, CASE WHEN log_index % 2 = 0 THEN 2 ELSE 1 END AS n_topics FROM logs_fx""")
+def q42(spark, d):
+    logs = fx.logs(spark, d)
+    hexed = F.concat(F.lit("0x"), F.upper(F.substring("data", 49, 16)))
+    cut = F.when(F.col("log_index") % 3 == 0, F.substring("address", 1, 39)).otherwise(F.concat(F.lit(" 0X"), F.upper("address")))
+    other = F.when(F.col("log_index") % 2 == 0, F.concat(F.lit("0X"), F.upper("block_hash"))).otherwise(F.col("tx_hash"))
+    topics = F.when(F.col("log_index") % 2 == 0, F.array("topic0", "topic1")).otherwise(F.array("topic0"))
+    return logs.select(
+        "block_hash", "log_index", scalars.quantity(hexed).alias("parsed"), scalars.quantity(F.col("block_number").cast("string")).alias("from_text"), scalars.to_quantity(F.col("block_number")).alias("formatted"),
+        scalars.bare(scalars.prefixed(F.upper("address"))).alias("address"), scalars.address(cut).alias("checked"), scalars.same_hex(F.col("block_hash"), other).alias("same"),
+        scalars.saturating_double(F.col("block_number"), F.lit(1000)).cast("bigint").alias("doubled"), F.octet_length(F.unhex("address")).alias("n_bytes"), F.size(topics).alias("n_topics"),
+    )
+
+
+@query("q43_redacted_urls", "outbox_fx", sql="""SELECT event_id, 'https://u' || event_id || ':redacted@node/v2/redacted?block=' || block_height AS password, 'wss://node/redacted/' || block_height AS segment,
+  'https://node/v1/' || event_id || '?api_key=redacted&x=' || block_height || '&my_token=redacted' AS query, 'http://node:8545/' || event_id AS plain FROM outbox_fx""")
+def q43(spark, d):
+    e, h = F.col("event_id").cast("string"), F.col("block_height").cast("string")
+    text = (lambda *parts: scalars.redacted_url(F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))))
+    return fx.outbox(spark, d).select(
+        "event_id", text("https://u", e, ":pw", h, "@node/v2/key", e, "?block=", h).alias("password"), text("wss://node/my-apikey-", e, "/", h).alias("segment"),
+        text("https://node/v1/", e, "?api_key=k", e, "&x=", h, "&my_token=t", h).alias("query"), text("http://node:8545/", e).alias("plain"),
+    )
+
+
+@query("q44_domain_faults", "blocks_fx", "logs_fx", sql="""SELECT 'log' AS what, block_hash, CAST(log_index AS BIGINT) AS place, CASE WHEN block_number % 5 = 1 THEN 'tx_hash' WHEN block_number % 7 = 1 THEN 'address' WHEN block_number % 11 = 1 THEN 'place' WHEN block_number % 13 = 1 THEN 'topics' END AS fault FROM logs_fx
+  WHERE block_number % 5 = 1 OR block_number % 7 = 1 OR block_number % 11 = 1 OR block_number % 13 = 1
+  UNION ALL SELECT 'block', block_hash, height, CASE WHEN height % 5 = 2 THEN 'parent_hash' ELSE 'status' END FROM blocks_fx WHERE height % 5 = 2 OR height % 7 = 2""")
+def q44(spark, d):
+    n = F.col("block_number")
+    logs = fx.logs(spark, d).withColumns({
+        "tx_hash": F.when(n % 5 == 1, F.substring("tx_hash", 1, 62)).otherwise(F.col("tx_hash")), "address": F.when(n % 7 == 1, F.concat("address", F.lit("00"))).otherwise(F.col("address")),
+        "transaction_index": F.when(n % 11 == 1, -1).otherwise(F.col("transaction_index")), "topic0": F.when(n % 13 != 1, F.col("topic0")),
+    })
+    h = F.col("height")
+    blocks = fx.blocks(spark, d).withColumns({"parent_hash": F.when(h % 5 == 2, "00").otherwise(F.col("parent_hash")), "status": F.when(h % 7 == 2, "lost").otherwise(F.col("status"))})
+    bad = merge.log_faults(logs).select(F.lit("log").alias("what"), "block_hash", F.col("log_index").cast("long").alias("place"), "fault")
+    return bad.unionAll(merge.block_faults(blocks).select(F.lit("block"), "block_hash", h, "fault"))
+
+
+@query("q45_logs_of_another_branch", "blocks_fx", "logs_fx", sql="SELECT block_number, CASE WHEN block_number % 53 = 4 THEN sha256('elsewhere') ELSE block_hash END AS block_hash, log_index FROM logs_fx WHERE block_number % 53 = 4 OR block_hash IN (SELECT block_hash FROM blocks_fx WHERE NOT is_canonical)")
+def q45(spark, d):
+    logs = fx.logs(spark, d).withColumn("block_hash", F.when(F.col("block_number") % 53 == 4, sha("elsewhere")).otherwise(F.col("block_hash")))
+    return can.stray_logs(can.canonical(fx.blocks(spark, d)), logs).select("block_number", "block_hash", "log_index")
+
+
+MESSAGE = "'{\"schema_version\":1,\"event_id\":' || event_id || ',\"chain_id\":\"5\",\"transition_kind\":\"' || event_kind || '\",\"block_height\":' || block_height || ',\"ordering\":' || event_id || ',\"payload\":' || CAST(to_json(payload) AS VARCHAR) || '}'"
+
+
+@query("stream_outbox_dispatch", "outbox_fx", sql=f"SELECT event_id, 'chain:5' AS key, {MESSAGE} AS value FROM outbox_fx WHERE published_at IS NULL")
+def stream_outbox_dispatch(spark, d):
+    return streams.dispatch_once(spark, fx.outbox(spark, d))
+
+
+@query("stream_dedup", "outbox_fx", "deliveries_fx", sql="SELECT DISTINCT event_id, event_kind, block_height FROM deliveries_fx")
+def stream_dedup(spark, d):
+    return streams.dedup_once(spark, fx.deliveries(spark, d))

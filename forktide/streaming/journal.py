@@ -25,8 +25,44 @@ def scratch(spark: SparkSession) -> str:
     return f"{top.rstrip('/') if top else 'file://' + os.path.join(tempfile.gettempdir(), 'forktide')}/stream-{uuid.uuid4().hex}"
 
 
+#: A broker's producer that neither loses, doubles nor reorders.
+BROKER = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.max.in.flight.requests.per.connection": "1", "includeHeaders": "true"}
+
+
+def broker_sink(servers: str, topic: str) -> Callable[[DataFrame], None]:
+    """A sink for ``dispatch`` and ``drain`` that writes to a broker; it needs Spark's Kafka connector on the class path."""
+
+    def write(messages_: DataFrame) -> None:
+        messages_.select("key", "value", "headers").write.format("kafka").options(**BROKER, topic=topic, **{"kafka.bootstrap.servers": servers}).save()
+
+    return write
+
+
+def drain(pending: Callable[[], DataFrame], chain_id: int, sink: Callable[[DataFrame], None], mark: Callable[[DataFrame], None], rows: int = 1000) -> int:
+    """Publish a journal's unpublished rows in the order of their ids over the whole journal, ``rows`` at a time.
+
+    A part is marked after the sink has taken it and before the next one begins; the first error ends it, so nothing overtakes.
+    """
+    done = 0
+    while True:
+        part = pending().where("published_at IS NULL").orderBy("event_id").limit(rows)
+        ids = [r["event_id"] for r in part.select("event_id").collect()]  # ``rows`` of them at most
+        if not ids:
+            return done
+        part = part.where(part["event_id"] <= ids[-1])
+        sink(messages(part, chain_id).orderBy("event_id"))
+        mark(part.sparkSession.createDataFrame([(i,) for i in ids], "event_id long"))
+        done += len(ids)
+
+
+def dispatch_ordered(wake: DataFrame, pending: Callable[[], DataFrame], chain_id: int, sink: Callable[[DataFrame], None], mark: Callable[[DataFrame], None], checkpoint: str, rows: int = 1000) -> StreamingQuery:
+    """A stream of new journal files as a wake-up alone: each micro-batch drains the journal itself, so files may come in any order."""
+    run = (lambda _, __: drain(pending, chain_id, sink, mark, rows) and None)
+    return wake.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def dispatch(journal: DataFrame, chain_id: int, sink: Callable[[DataFrame], None], mark: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Publish the stream's unpublished rows in the order of their ids, then mark them."""
+    """Publish the stream's unpublished rows, those of a micro-batch in the order of their ids, then mark them; ``dispatch_ordered`` orders all."""
 
     def batch(rows: DataFrame, _: int) -> None:
         rows = rows.where("published_at IS NULL")
@@ -52,7 +88,7 @@ def dispatch_once(spark: SparkSession, outbox: DataFrame, chain_id: int = 5) ->
     stream = _staged(outbox, f"{top}/journal")
     schema = "event_id bigint, key string, value string"
     dispatch(
-        stream, chain_id, lambda m: m.write.mode("append").parquet(f"{top}/published"), lambda ids: ids.write.mode("append").parquet(f"{top}/marks"), f"{top}/checkpoint"
+        stream, chain_id, lambda m: m.drop("headers").write.mode("append").parquet(f"{top}/published"), lambda ids: ids.write.mode("append").parquet(f"{top}/marks"), f"{top}/checkpoint"
     ).awaitTermination()
     return spark.read.schema(schema).parquet(f"{top}/published")
 

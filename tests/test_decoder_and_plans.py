@@ -50,6 +50,34 @@ def test_decodes(spark):
         decoder.registry(spark, [(ERC20, "erc20", "a"), (ERC20, "erc721", "b")])
 
 
+def test_integers_of_every_size(spark):
+    """Spark's own decimals and the Arrow function meet without a seam."""
+    values = [0, 1, (1 << 63) - 1, 1 << 63, (1 << 64) - 1, 1 << 64, 10**38 - 1, 10**38, decoder.HALVES << 64, (decoder.HALVES - 1 << 64) + 5, (1 << 128) - 1, 1 << 128, (1 << 255) - 1]
+    signed = spark.createDataFrame([(word(v), str(v)) for x in values for v in (x, -x, -x - 1)], "w string, want string")
+    assert signed.where(decoder.rendered(F.col("w"), "int256") != F.col("want")).count() == 0
+    unsigned = spark.createDataFrame([(word(v), str(v)) for v in [*values, (1 << 256) - 1]], "w string, want string")
+    assert unsigned.where(decoder.rendered(F.col("w"), "uint256") != F.col("want")).count() == 0
+
+
+def test_dynamic_values(spark):
+    t = "ee" * 32
+    events = {("erc20", "Odd", t): [("note", "string", False), ("raw", "bytes", False), ("ids", "int16[]", False), ("tag", "bytes4", False), ("hash", "string", True)]}
+    text = "zwölf"
+    body = lambda raw: word(len(raw)) + raw.hex() + "00" * (-len(raw) % 32)
+    parts = [body(text.encode()), body(b"\1\2\3"), word(2) + word(-7) + word(300)]
+    at = [128]
+    for p in parts[:2]:
+        at.append(at[-1] + len(p) // 2)
+    data = "".join(map(word, at)) + "abcd0123".ljust(64, "0") + "".join(parts)
+    good = (ERC20, [t, "99" * 32], data)
+    bad = [data[:-64], data[:64] + word(1 << 40) + data[128:], data.replace(word(300), word(40000)), data.replace("abcd0123" + "0" * 8, "abcd0123" + "1" * 8), data.replace(text.encode().hex(), "ff" * len(text.encode()))]
+    df = spark.createDataFrame([good, *((ERC20, [t, "99" * 32], b) for b in bad)], "address string, topics array<string>, data string")
+    out = decoder.decode(df, decoder.registry(spark, [(ERC20, "erc20", "a")]), events).collect()
+    args = [json.loads(r["decoded_event"])["args"] for r in out if r["decoded_event"]]
+    assert args == [{"note": text, "raw": "0x010203", "ids": '["-7","300"]', "tag": "0xabcd0123", "hash": "0x" + "99" * 32}]
+    assert [r["status"] for r in out] == ["Decoded"] + ["DecodeFailure"] * 5
+
+
 def test_checksums():
     assert decoder.checksum_address("0x5aaeb6053f3e94c9b9a09f33669435e7ef1beaed") == "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1BeAed"
     assert decoder.keccak_256(b"Transfer(address,address,uint256)").hex() == decoder.TRANSFER

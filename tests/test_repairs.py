@@ -96,3 +96,30 @@ def test_waits_double_up_to_a_cap_and_part_askers():
     assert r.delay("rate_limited", 1, 5.0) == 5.0 and r.delay("rate_limited", 1, 99.0) == 16.0
     with pytest.raises(BackfillError):
         Retry(0)
+
+
+def test_dispatch_is_ordered_over_files_and_stops_at_the_first_error(spark, store, tmp_path):  # noqa: F811
+    from forktide.operators.journal import messages
+    from forktide.streaming.journal import dispatch_ordered, drain
+
+    for h in MAIN:
+        advance(store, spark, h, MAIN)
+    pending = lambda: store.journal().withColumnRenamed("height", "block_height")
+    out, fail = [], [1]
+
+    def sink(m):
+        got = [r["event_id"] for r in m.collect()]
+        if 3 in got and fail:
+            fail.pop()
+            raise OSError("the broker is gone")
+        out.extend(got)
+
+    with pytest.raises(OSError):
+        drain(pending, 1, sink, store.mark_published, rows=1)
+    assert out == [1, 2] and [r["event_id"] for r in store.journal().where("published_at IS NULL").orderBy("event_id").collect()] == [3, 4]
+    spark.range(3).repartition(3).write.parquet(str(tmp_path / "wake"))
+    wake = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "wake"))
+    dispatch_ordered(wake, pending, 1, sink, store.mark_published, str(tmp_path / "c"), rows=3).awaitTermination()
+    assert out == [1, 2, 3, 4] and drain(pending, 1, sink, store.mark_published) == 0
+    headers = messages(pending(), 1).where("event_id = 2").first()["headers"]
+    assert [(h["key"], bytes(h["value"])) for h in headers] == [("event_id", b"2"), ("schema_version", b"1")]
