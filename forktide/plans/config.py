@@ -13,6 +13,9 @@ class ConfigError(ValueError):
     pass
 
 
+# The defaults of this file that a user of the published settings relies on.
+
+
 @dataclass
 class Rpc:
     url: str = "http://127.0.0.1:8545"
@@ -35,6 +38,14 @@ class Backfill:
     initial_blocks: int = 100
     min_blocks: int = 1
     max_blocks: int = 100
+    max_requests: int | None = None
+    max_cost: int | None = None
+
+
+@dataclass
+class Broker:
+    servers: str | None = None
+    topic: str = "chain-events"
 
 
 @dataclass
@@ -44,14 +55,21 @@ class Config:
     rpc: Rpc = field(default_factory=Rpc)
     indexer: Indexer = field(default_factory=Indexer)
     backfill: Backfill = field(default_factory=Backfill)
+    broker: Broker = field(default_factory=Broker)
+    #: Of the chain's first block; None: as the node has it.
+    genesis_hash: str | None = None
+    #: Tables of address, standard and version.
+    contracts: list = field(default_factory=list)
 
     def validate(self) -> Config:
         if not 0 < self.chain_id < 1 << 64:
             raise ConfigError("chain_id must be a positive unsigned 64-bit number")
         for url in filter(None, (self.rpc.url, self.rpc.verifier_url)):
             u = urlparse(url)
-            if u.scheme not in ("http", "https", "ws", "wss") or not u.hostname:
-                raise ConfigError("an RPC URL must use http, https, ws or wss and name a host")
+            if u.scheme not in ("http", "https") or not u.hostname:
+                raise ConfigError("an RPC URL must use http or https and name a host")
+        if any(not isinstance(c, dict) or not {"address", "standard"} <= c.keys() <= {"address", "standard", "version"} for c in self.contracts):
+            raise ConfigError("a contract has an address, a standard and a version")
         if self.indexer.safe_depth > self.indexer.finalized_depth:
             raise ConfigError("safe_depth must not exceed finalized_depth")
         if min(self.indexer.max_reorg_depth, self.backfill.workers, self.backfill.min_blocks) < 1:

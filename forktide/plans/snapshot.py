@@ -22,6 +22,8 @@ from forktide.operators import journal, merge
 from forktide.operators.transition import Batch, Header
 
 BUCKET = 100_000
+#: Of the three schemas below and the manifest.
+SCHEMA_VERSION = 1
 BLOCKS = "block_hash string, parent_hash string, height bigint, ts timestamp, is_canonical boolean, status string, status_source string"
 LOGS = "block_number bigint, block_hash string, transaction_index int, log_index int, tx_hash string, address string, topic0 string, topic1 string, data string, decoded_event string, decoder_version string"
 JOURNAL = "event_id bigint, event_kind string, block_hash string, height bigint, payload string, created_at timestamp"
@@ -43,7 +45,7 @@ class Manifest:
     logs: dict[str, str] = field(default_factory=dict)
     journal: list[str] = field(default_factory=list)
     published: list[str] = field(default_factory=list)
-    schema_version: int = 1
+    schema_version: int = SCHEMA_VERSION
 
 
 class Store:
@@ -64,7 +66,10 @@ class Store:
             return Manifest()
         stream = self._fs.open(p)
         try:
-            return Manifest(**json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            found = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            if found.get("schema_version") != SCHEMA_VERSION:
+                raise StoreError(f"the store has schema {found.get('schema_version')}, this code {SCHEMA_VERSION}")
+            return Manifest(**found)
         finally:
             stream.close()
 

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forktide.operators.journal import messages
@@ -77,6 +78,19 @@ def deduplicated(deliveries: DataFrame) -> DataFrame:
     return deliveries.dropDuplicates(["event_id"])
 
 
+def deliveries(raw: DataFrame) -> DataFrame:
+    """event_id, event_kind, block_height and payload of a broker's rows (value as text or binary).
+
+    Empty values are skipped; one that is no JSON object or has no id fails the query.
+    """
+    value = F.col("value").cast("string")
+    schema = "event_id long, transition_kind string, block_height long, payload string"
+    read = raw.where(F.coalesce(F.length(F.trim(value)) > 0, F.lit(False))).select(value.alias("value"), F.from_json(value, schema, {"mode": "PERMISSIVE"}).alias("m"))
+    bad = F.raise_error(F.concat(F.lit("a delivery without an event id: "), F.substring("value", 1, 200))).cast("boolean")
+    read = read.where(F.when(F.col("m.event_id").isNotNull(), True).otherwise(bad))
+    return read.select("m.event_id", F.col("m.transition_kind").alias("event_kind"), "m.block_height", "m.payload")
+
+
 def _staged(df: DataFrame, path: str, max_files: int = 4) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", max_files).parquet(path)

@@ -193,3 +193,34 @@ def test_the_trigger_steps_until_it_is_stopped(spark, store, node, tmp_path):
     finally:
         query.stop()
     assert heights(store) == [0, 1, 2]
+
+
+def test_runs_from_settings(spark, node, tmp_path):
+    from forktide.plans import assemble, config
+
+    text = f"""chain_id = 5
+store = "{tmp_path / 's'}"
+[rpc]
+url = "{node.url}"
+verifier_url = "{node.url}"
+[backfill]
+workers = 2
+max_requests = 200
+[[contracts]]
+address = "0x{A}"
+standard = "ERC-20"
+version = "7"
+"""
+    (tmp_path / "c.toml").write_text(text)
+    settings = config.load(tmp_path / "c.toml", {})
+    node.head = 25
+    assert assemble.backfill_of(spark, settings, 0, 20).run().blocks == 21
+    run = assemble.live_of(spark, settings)
+    assert run.step().state == "ready" and heights(run.tracker.store) == list(range(26)) and run.health.ok and run.status.disagreements == 0
+    with pytest.raises(config.ConfigError, match="chain"):
+        assemble.live_of(spark, config.load(tmp_path / "c.toml", {}, {"chain_id": 6}))
+    with pytest.raises(config.ConfigError, match="first block"):
+        assemble.live_of(spark, config.load(tmp_path / "c.toml", {}, {"genesis_hash": "0x" + "ab" * 32}))
+    for bad in ({"rpc": {"url": "ws://h"}}, {"contracts": [{"address": A}]}):
+        with pytest.raises(config.ConfigError):
+            config.load(tmp_path / "c.toml", {}, bad)

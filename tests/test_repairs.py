@@ -123,3 +123,23 @@ def test_dispatch_is_ordered_over_files_and_stops_at_the_first_error(spark, stor
     assert out == [1, 2, 3, 4] and drain(pending, 1, sink, store.mark_published) == 0
     headers = messages(pending(), 1).where("event_id = 2").first()["headers"]
     assert [(h["key"], bytes(h["value"])) for h in headers] == [("event_id", b"2"), ("schema_version", b"1")]
+
+
+def test_deliveries_are_checked(spark):
+    from forktide.streaming.journal import deliveries
+
+    good = '{"event_id": 3, "transition_kind": "apply", "block_height": 9, "payload": "{}"}'
+    rows = deliveries(spark.createDataFrame([(good,), ("",), (None,), ("  ",)], "value string")).collect()
+    assert [tuple(r) for r in rows] == [(3, "apply", 9, "{}")]
+    for bad in ("no json", '{"transition_kind": "apply"}'):
+        with pytest.raises(Exception, match="without an event id"):
+            deliveries(spark.createDataFrame([(good,), (bad,)], "value string")).collect()
+
+
+def test_another_schema_is_refused(spark, store, monkeypatch):  # noqa: F811
+    from forktide.plans import snapshot
+
+    advance(store, spark, MAIN[0], MAIN)
+    monkeypatch.setattr(snapshot, "SCHEMA_VERSION", 2)
+    with pytest.raises(StoreError, match="schema"):
+        store.checkpoint()
