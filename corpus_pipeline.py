@@ -3,6 +3,11 @@
 Each stage is (spark, docs, sf_dir) -> DataFrame.  All but the last return the columns of documents; the language and quality stages
 drop documents, near-dedup leaves one document of each group, substring dedup takes repeated windows out of the texts, and
 packing returns the pieces of every document that is left.
+
+Defined cases: a document without a letter, a null or an empty text too, goes at the first stage; equal rows are one document from the
+near-dedup stage on, rows of one doc_id with different texts stay apart, and rows without a doc_id are in no group but take part in
+all else; a text of any length is worked on whole; further columns, whatever their names, stay until packing, which has columns of
+its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
