@@ -14,6 +14,7 @@ import datetime
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,7 +149,8 @@ class Store:
             stored = self.blocks(buckets)
             full = events.join(blocks.select("block_hash", "ts", "status", "status_source"), "block_hash", "left")
             flips = merge.effective_events(full, stored)
-            if not flips.take(1):
+            seqs = sorted(r["seq"] for r in flips.select("seq").collect())  # at most two branches of max_depth
+            if not seqs:
                 return
             self._check_ancestor(batch.ancestor, m)
             version, base = m.version + 1, f"v{m.version + 1}-{uuid.uuid4().hex[:8]}"
@@ -157,14 +159,11 @@ class Store:
             for b in buckets:
                 self._write(merged.where(F.floor(F.col("height") / BUCKET) == b), f"{base}/blocks-{b}", m.blocks, b, "height", "block_hash")
                 self._write(merged_logs.where(F.floor(F.col("block_number") / BUCKET) == b), f"{base}/logs-{b}", m.logs, b, "address", "block_number", "transaction_index", "log_index")
-            effective = journal.payloads(flips, logs).orderBy("seq")
-            rows = effective.select("seq").collect()  # at most two branches of max_depth
-            ids = spark.createDataFrame([(r["seq"], m.next_event_id + i) for i, r in enumerate(rows)], "seq long, event_id long")
-            if rows:
-                out = effective.join(F.broadcast(ids), "seq").select("event_id", "event_kind", "block_hash", "height", "payload", F.current_timestamp().alias("created_at"))
-                out.coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{self.path}/{base}/journal")
-                m.journal.append(f"{base}/journal")
-            m.version, m.next_event_id = version, m.next_event_id + len(rows)
+            ids = spark.createDataFrame([(seq, m.next_event_id + i) for i, seq in enumerate(seqs)], "seq long, event_id long")
+            out = journal.payloads(flips, logs).join(F.broadcast(ids), "seq").select("event_id", "event_kind", "block_hash", "height", "payload", F.current_timestamp().alias("created_at"))
+            out.coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{self.path}/{base}/journal")
+            m.journal.append(f"{base}/journal")
+            m.version, m.next_event_id = version, m.next_event_id + len(seqs)
             target = batch.checkpoint
             m.checkpoint = target.__dict__ if target else None
             self._check(m, buckets)
@@ -187,20 +186,17 @@ class Store:
     def _check(self, m: Manifest, buckets: list[int]) -> None:
         """One canonical block at a height; the checkpoint is canonical; every log has its block at its height."""
         now = self._read([m.blocks[str(b)] for b in buckets], BLOCKS)
-        if merge.check_unique(now).take(1):
-            raise StoreError("two canonical blocks at one height")
-        c = m.checkpoint
-        if c:
-            at = self._read([m.blocks[str(c["height"] // BUCKET)]], BLOCKS) if str(c["height"] // BUCKET) in m.blocks else now
-            if not at.where((F.col("block_hash") == c["block_hash"]) & (F.col("height") == c["height"]) & F.col("is_canonical")).take(1):
-                raise StoreError("the checkpoint is not a canonical block")
         logs = self._read([m.logs[str(b)] for b in buckets], LOGS)
-        if logs.join(now.select("block_hash", F.col("height").alias("block_number")), ["block_hash", "block_number"], "left_anti").take(1):
-            raise StoreError("a log lacks its block")
-        if merge.block_faults(now).take(1):
-            raise StoreError("a block is out of its domain")
-        if merge.log_faults(logs).take(1):
-            raise StoreError("a log is out of its domain")
+        lost = logs.join(now.select("block_hash", F.col("height").alias("block_number")), ["block_hash", "block_number"], "left_anti")
+        faults = {"two canonical blocks at one height": merge.check_unique(now), "a log lacks its block": lost, "a block is out of its domain": merge.block_faults(now), "a log is out of its domain": merge.log_faults(logs)}
+        if c := m.checkpoint:
+            bucket = str(c["height"] // BUCKET)
+            at = self._read([m.blocks[bucket]], BLOCKS) if bucket in m.blocks else now
+            hits = at.where((F.col("block_hash") == c["block_hash"]) & (F.col("height") == c["height"]) & F.col("is_canonical"))
+            faults["the checkpoint is not a canonical block"] = hits.agg(F.count("*").alias("n")).where("n = 0")
+        found = reduce(DataFrame.unionAll, (df.select(F.lit(words).alias("fault")) for words, df in faults.items())).first()  # one job
+        if found:
+            raise StoreError(found["fault"])
 
     def mark_published(self, event_ids: DataFrame) -> None:
         """After the sink has taken them; ids that are marked already keep their first time."""
