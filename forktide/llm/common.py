@@ -18,7 +18,7 @@ ROWS_PER_BATCH = 256
 #: Bytes after which a batch is closed; one longer text is a batch of its own.
 BYTES_PER_BATCH = 16 << 20
 #: Words kept in a worker's hash cache before it is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Of the bitmap that spares rows without a partner a shuffle: 2 ** 26 bits are 8 MB.
 FILTER_BITS = 26
 

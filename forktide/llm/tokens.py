@@ -184,6 +184,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget(path: str) -> None:
+    """Give the memory of a worker's encoder back."""
+    _encoders.pop(path, None)
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
 
