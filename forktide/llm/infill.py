@@ -4,9 +4,9 @@ Split with a pattern and the behaviour ``isolated`` needs no vocabulary and no t
 code-point offsets.  The number of offsets is n; the offset at a rank is where that many units end, so two ranks cut a text in
 prefix, middle and suffix.
 
-A unit is one code point here.  No match of that pattern looks beyond itself, so a text may be cut anywhere: it is cut at spaces, and
-a worker remembers how many offsets a chunk has; the offsets themselves are asked for where a cut lies.  Chunks of more than LONG
-code points come in blocks of that size.  Other patterns see the whole text at once.
+A unit is one code point here.  No match of that pattern looks beyond itself, so a text may be cut anywhere: Split gets it in blocks of BLOCK
+code points, and a worker remembers how many offsets a block has, as few blocks of that size differ; the offsets themselves are asked
+for where a cut lies.  Other patterns see the whole text at once.
 
 Each document's cuts and form follow from the hash of its id alone, so a document gets the same example whatever stands around it,
 wherever it is computed.
@@ -20,9 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from array import array
-from collections.abc import Iterator
-from itertools import accumulate
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,63 +31,47 @@ from .common import bounded_batches, documents, map_arrow
 #: The dot that takes line ends too.
 CODE_POINT = "(?m:.)"
 #: Code points that Split gets at once.
-LONG = 1024
-CACHE_CHUNKS = 300_000
+BLOCK = 4
+CACHE_BLOCKS = 300_000
 SEED = 1
 #: Of 100 documents, those that become an example, and of these the ones whose suffix comes first.
 RATE, SPM_RATE = 90, 20
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 
 
-class Units:
-    """The units of texts by their code-point offsets."""
+class Units(dict):
+    """The units of texts by their code-point offsets; the dictionary remembers how many a block has."""
 
     def __init__(self, pattern: str = CODE_POINT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         from tokenizers import Regex, pre_tokenizers
 
         self._split = pre_tokenizers.Split(Regex(pattern), "isolated")
-        self.anywhere = pattern == CODE_POINT
-        self._counts: dict[str, int] = {}
-
-    def ends(self, text: str) -> array:
-        """Where each unit ends."""
-        return array("l", [end for _, (_, end) in self._split.pre_tokenize_str(text)])
-
-    def count(self, chunk: str) -> int:
-        n = self._counts.get(chunk)
-        if n is None:
-            n = len(self.ends(chunk))
-            if len(chunk) <= 64:
-                if len(self._counts) >= CACHE_CHUNKS:
-                    self._counts.clear()
-                self._counts[chunk] = n
+        self._cut = re.compile(f".{{1,{BLOCK}}}", re.DOTALL) if pattern == CODE_POINT else None
+
+    def ends(self, text: str) -> list[int]:
+        """The offset at which each unit ends."""
+        return [end for _, (_, end) in self._split.pre_tokenize_str(text)]
+
+    def __missing__(self, block: str) -> int:
+        n = len(self.ends(block))
+        if self._cut:
+            if len(self) >= CACHE_BLOCKS:
+                self.clear()
+            self[block] = n
         return n
 
-    def chunks(self, text: str) -> Iterator[str]:
-        """The text in parts; each space between two others is a part."""
-        for i, chunk in enumerate(text.split(" ")):
-            if i:
-                yield " "
-            if len(chunk) <= LONG:
-                yield chunk
-            else:
-                yield from (chunk[at : at + LONG] for at in range(0, len(chunk), LONG))
-
     def ranked(self, text: str) -> Ranked:
-        if not self.anywhere:
-            return Ranked(self, [text])
-        return Ranked(self, list(self.chunks(text)))
+        return Ranked(self, self._cut.findall(text) if self._cut else [text] * bool(text))
 
 
 class Ranked:
     """A text's offsets: how many they are, and the one at a rank."""
 
-    def __init__(self, units: Units, chunks: list[str]):
-        self.units, self.chunks = units, chunks
-        known = units._counts
-        self.upto = np.fromiter(accumulate(known[c] if c in known else units.count(c) for c in chunks), np.int64, len(chunks))
-        self.n = int(self.upto[-1]) if chunks else 0
+    def __init__(self, units: Units, blocks: list[str]):
+        self.units, self.blocks = units, blocks
+        self.upto = np.cumsum(np.fromiter(map(units.__getitem__, blocks), np.int64, len(blocks)))
+        self.n = int(self.upto[-1]) if blocks else 0
 
     def offset(self, rank: int) -> int:
         """The code points of the first ``rank`` units."""
@@ -97,7 +79,7 @@ class Ranked:
             return 0
         at = int(np.searchsorted(self.upto, rank))
         before = int(self.upto[at - 1]) if at else 0
-        return sum(map(len, self.chunks[:at])) + self.units.ends(self.chunks[at])[rank - before - 1]
+        return BLOCK * at + self.units.ends(self.blocks[at])[rank - before - 1]  # all blocks before have BLOCK code points
 
 
 _units: dict[str, Units] = {}
@@ -115,15 +97,16 @@ def draws(seed: int, doc_id: int | None) -> list[int]:
     return [int(h[i : i + 8], 16) for i in range(0, 32, 8)]
 
 
-def example(text: str, ranked: Ranked, h: list[int], rate: int = RATE, spm_rate: int = SPM_RATE) -> tuple[str, str, int | None, int | None]:
-    """(form, output, prefix_chars, middle_chars) of one text."""
+def example(text: str, units: Units, h: list[int], rate: int = RATE, spm_rate: int = SPM_RATE) -> tuple[int, str, str, int | None, int | None]:
+    """(n, form, output, prefix_chars, middle_chars) of one text."""
+    ranked = units.ranked(text)
     if not text or any(s in text for s in (PREFIX, SUFFIX, MIDDLE)) or h[2] % 100 >= rate:
-        return "plain", text, None, None
+        return ranked.n, "plain", text, None, None
     a, b = (ranked.offset(r) for r in sorted((h[0] % (ranked.n + 1), h[1] % (ranked.n + 1))))
     prefix, middle, suffix = text[:a], text[a:b], text[b:]
     if h[3] % 100 < spm_rate:
-        return "spm", f"{SUFFIX}{suffix}{PREFIX}{prefix}{MIDDLE}{middle}", a, b - a
-    return "psm", f"{PREFIX}{prefix}{SUFFIX}{suffix}{MIDDLE}{middle}", a, b - a
+        return ranked.n, "spm", f"{SUFFIX}{suffix}{PREFIX}{prefix}{MIDDLE}{middle}", a, b - a
+    return ranked.n, "psm", f"{PREFIX}{prefix}{SUFFIX}{suffix}{MIDDLE}{middle}", a, b - a
 
 
 def fill_in_middle(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), pattern: str = CODE_POINT, seed: int = SEED, rate: int = RATE, spm_rate: int = SPM_RATE) -> DataFrame:
@@ -131,10 +114,8 @@ def fill_in_middle(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), pattern
     kept = list(keep)
 
     def f(r):
-        texts = [t or "" for t in r["_text"]]
-        ranked = [units(pattern).ranked(t) for t in texts]
-        form, output, prefix, middle = zip(*(example(t, o, draws(seed, d), rate, spm_rate) for t, o, d in zip(texts, ranked, r["_id"])))
-        return {c: r[c] for c in kept} | {"n": [o.n for o in ranked], "form": form, "prefix_chars": prefix, "middle_chars": middle, "output": output}
+        n, form, output, prefix, middle = zip(*(example(t or "", units(pattern), draws(seed, d), rate, spm_rate) for t, d in zip(r["_text"], r["_id"])))
+        return {c: r[c] for c in kept} | {"n": n, "form": form, "prefix_chars": prefix, "middle_chars": middle, "output": output}
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     read = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
