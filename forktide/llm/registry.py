@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, chunk_store, infill, language_id, near_dedup, ogg, packing, pieces, quality, sharding, substrings
+from . import chat, chunk_store, infill, language_id, near_dedup, ogg, packing, pieces, quality, resampling, sharding, substrings
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op4_packing": packing.op4_packing,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_importance_resampling": resampling.op11_importance_resampling,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 
@@ -23,5 +24,6 @@ ORACLE_SQL = {
     "op2_sharding": sharding.ORACLE_SQL,
     "op5_substring_dedup": substrings.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
+    "op11_importance_resampling": resampling.ORACLE_SQL,
     "op13_fill_in_middle": infill.ORACLE_SQL,
 }
