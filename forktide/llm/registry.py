@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, chunk_store, infill, language_id, near_dedup, ogg, packing, pieces, quality, resampling, sharding, substrings
+from . import byte_dedup, chat, chunk_store, infill, language_id, near_dedup, ogg, packing, pieces, quality, resampling, sharding, substrings
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_importance_resampling": resampling.op11_importance_resampling,
+    "op12_suffix_dedup": byte_dedup.op12_suffix_dedup,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 
@@ -25,5 +26,6 @@ ORACLE_SQL = {
     "op5_substring_dedup": substrings.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
     "op11_importance_resampling": resampling.ORACLE_SQL,
+    "op12_suffix_dedup": byte_dedup.ORACLE_SQL,
     "op13_fill_in_middle": infill.ORACLE_SQL,
 }
