@@ -416,8 +416,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH texts AS (SELECT doc_id, hex(coalesce(text, '')) AS x, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
-starts AS (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, {2 * WINDOW})) AS w FROM (SELECT doc_id, x, unnest(range(n - {WINDOW - 1})) AS i FROM texts)),
-hits AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM starts) WHERE r > 1),
+parts AS (SELECT doc_id, n, p, substr(x, 2 * p + 1, {2 * (WINDOW + 199)}) AS y FROM (SELECT doc_id, x, n, unnest(range(0, n - {WINDOW - 1}, 200)) AS p FROM texts)),
+starts AS (SELECT doc_id, p + j AS i, md5_number(substr(y, 2 * j + 1, {2 * WINDOW})) AS w FROM (SELECT doc_id, p, y, unnest(range(least(200, n - {WINDOW - 1} - p))) AS j FROM parts)),
+firsts AS (SELECT w, min(row(doc_id, i)) AS f FROM starts GROUP BY w HAVING count(*) > 1),
+hits AS (SELECT doc_id, i FROM starts JOIN firsts USING (w) WHERE row(doc_id, i) <> f),
 linked AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS below FROM hits),
 numbered AS (SELECT doc_id, i, sum(CASE WHEN below IS NULL OR i > below + {WINDOW} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM linked),
 spans AS (SELECT doc_id, k, min(i) AS a, max(i) + {WINDOW} AS b, lead(min(i)) OVER (PARTITION BY doc_id ORDER BY k) AS following FROM numbered GROUP BY doc_id, k),
