@@ -9,10 +9,12 @@ nothing behind them matters.  The corpus' suffix array is never in one place; it
    every window without being looked at;
 2. minimisers with one place in the corpus need no look at their suffixes;
 3. consecutive windows with one minimiser at one place are a stretch; the stretches of the others go to their minimiser's bucket.  A task
-   sends a stretch's bytes once as long as it remembers them, with its first place there;
+   sends a stretch's bytes with its first two places, and with any place that is before all it has met: enough to know the first place of
+   all, and whether there are others;
 4. a bucket puts the suffixes of its distinct stretches in order (``suffix_sort``: multikey quicksort to a shallow depth, then blind tries);
    in each class of equal windows the first place stays.  A minimiser with more than BUCKET distinct stretches is dealt again:
-   its stretches are cut where a second minimiser, by another hash, changes, and where one of those has too many again, into windows, dealt by their digest.
+   its stretches are cut where a second minimiser, by another hash of LONG_GRAM bytes, changes, and where one of those has too many again, into windows, dealt by
+   their digest.  Runs that long seldom lie within what a crowd has in common, so most parts are alone in their buckets;
    So a bucket is bounded, and all levels are sorted alike;
 5. a stretch's answer is its first place and a mask of the windows that go there; at any other place all of its windows go.  Answers
    are joined to the places, and by text to the rows.
@@ -32,18 +34,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, gram_hashes, likely, map_arrow, mix64, written
+from .common import bounded_batches, discard, documents, gram_hashes, likely, map_arrow, mix64, remove, shared_dir, tables_made, written
 from .substrings import _task, digest, merged
 from .suffix_sort import CHAR, WINDOW, equal_windows
 
-GRAM = 40
+GRAM, LONG_GRAM = 40, 80
 #: Distinct stretches of one bucket; a minimiser with more is dealt again.
-BUCKET = 1024
-#: Bytes of the stretches that a task remembers before it begins anew.
-REMEMBERED = 32 << 20
+BUCKET = 2048
+#: Stretches that a task remembers before it begins anew.
+REMEMBERED = 200_000
 #: Bytes whose minimisers are looked for at once, about.
 TOGETHER = 1 << 19
 #: Windows that are put in order at once, about.
@@ -51,7 +53,8 @@ SORTED = 200_000
 #: The low bits of a hash give way to its place, so that one minimum finds both; the gram's whole hash is the minimiser.
 PLACE = 24
 
-_BYTES = [mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(odd)) for odd in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)]
+#: Hashes of bytes, for either length of grams its own.
+_BYTES = {gram: mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(odd)) for gram, odd in ((GRAM, 0x9E3779B97F4A7C15), (LONG_GRAM, 0xD1342543DE82EF95))}
 
 
 def _minimum(h: np.ndarray, width: int) -> np.ndarray:
@@ -80,14 +83,14 @@ def _parts(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield some
 
 
-def stretches(texts: list[bytes], which: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, minimiser, first window, number of windows) of each stretch of some texts, in order.  which: of the two hashes."""
+def stretches(texts: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, minimiser, first window, number of windows) of each stretch of some texts, in order."""
     found = []
     for some in _parts(texts):
         sizes = np.array([len(p) for *_, p in some])
         begins = np.cumsum(sizes) - sizes
-        grams = gram_hashes(_BYTES[which][np.frombuffer(b"".join(p for *_, p in some), np.uint8)], GRAM)
-        place = _minimum(grams, WINDOW - GRAM + 1)
+        grams = gram_hashes(_BYTES[gram][np.frombuffer(b"".join(p for *_, p in some), np.uint8)], gram)
+        place = _minimum(grams, WINDOW - gram + 1)
         inside = np.ones(len(place), bool)  # windows that lie in one text
         for b in begins[1:].tolist():
             inside[b - WINDOW + 1 : b] = False
@@ -109,7 +112,7 @@ def order_of():
     return F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
 
 
-def distinct_texts(keyed: DataFrame) -> DataFrame:
+def distinct_texts(keyed: DataFrame, path: str | None = None) -> DataFrame:
     """text_id, minimisers (one a stretch), first (its first row's doc_id), again (whether it has other rows); without texts shorter than a window."""
 
     def f(r):
@@ -119,7 +122,7 @@ def distinct_texts(keyed: DataFrame) -> DataFrame:
         return {"text_id": [r["text_id"][i] for i in keep], "doc_id": [r["doc_id"][i] for i in keep], "minimisers": _lists(np.concatenate((at[keep], at[-1:])), minimiser)}
 
     rows = map_arrow(keyed.where(F.octet_length("text") >= WINDOW), f, "text_id binary, doc_id long, minimisers array<long>")
-    return written(rows.groupBy("text_id").agg(F.any_value("minimisers").alias("minimisers"), F.min(order_of()).alias("first"), (F.count("*") > 1).alias("again")))
+    return written(rows.groupBy("text_id").agg(F.any_value("minimisers").alias("minimisers"), F.min(order_of()).alias("first"), (F.count("*") > 1).alias("again")), path)
 
 
 def asked_texts(texts: DataFrame) -> DataFrame:
@@ -131,79 +134,69 @@ def asked_texts(texts: DataFrame) -> DataFrame:
     return written(asked.join(texts.select("text_id", "first"), "text_id"))
 
 
-#: A place (packed null) or a stretch with its first place in a task: known, doc_id, text_id and start order places.
-FOUND = "known boolean, doc_id long, text_id binary, start long, n int, minimiser long, places long, stretch binary, times int, packed binary"
+#: A place of a stretch, with its bytes or without; known, doc_id, text_id and start order places.
+FOUND = "known boolean, doc_id long, text_id binary, start long, n int, minimiser long, places long, stretch binary, packed binary"
 
 
-class Remembered:
-    """What a task has met and not yet sent: stretch -> [first place, times, minimiser, places, bytes]."""
+class Met:
+    """Tells whether a place of a stretch is one of the first two that a task meets, or before all of them."""
 
     def __init__(self):
-        self.met: dict[bytes, list] = {}
-        self.size = 0
+        self.met: dict[tuple, list] = {}
 
-    def add(self, key: bytes, place: tuple, minimiser: int, places: int, packed: bytes) -> None:
+    def wanted(self, key: tuple, place: tuple) -> bool:
         old = self.met.get(key)
         if old is None:
-            self.met[key] = [place, 1, minimiser, places, packed]
-            self.size += len(packed) + 200
-        else:
-            old[1] += 1
-            if place < old[0]:
-                old[0] = place
-
-    def sent(self) -> Iterator[list[tuple]]:
-        out = []
-        for key, (place, times, minimiser, places, packed) in self.met.items():
-            out.append((*place, len(packed) - WINDOW + 1, minimiser, places, key, times, packed))
-            if len(out) >= 8192:
-                yield out
-                out = []
-        yield out
-        self.met, self.size = {}, 0
+            if len(self.met) >= REMEMBERED:
+                self.met.clear()
+            self.met[key] = [1, place]
+            return True
+        old[0] += 1
+        if place < old[1]:
+            old[1] = place
+            return True
+        return old[0] == 2
 
 
 def found_stretches(keyed: DataFrame, asked: DataFrame) -> DataFrame:
-    """The stretches of repeated minimisers: a row for each place, and rows with the bytes."""
+    """A row for each place of the stretches of repeated minimisers, some with the bytes."""
     some = likely(keyed.select("text_id", "text"), "text_id", asked, True)
 
     def f(batches):
-        met, last = Remembered(), None
+        met, last = Met(), None
         for rows in batches:
             fresh = []
             for text_id, text, first, wanted in rows:
                 if text_id != last:  # a text's other rows come right after it and add nothing
                     last = text_id
-                    fresh.append((text_id, text, (first["known"], first["doc_id"], text_id), wanted))
+                    fresh.append((text, (first["known"], first["doc_id"], text_id), wanted))
             places = {x["minimiser"]: x["places"] for *_, wanted in fresh for x in wanted}
-            text, minimiser, start, n = stretches([t for _, t, *_ in fresh])
+            text, minimiser, start, n = stretches([t for t, *_ in fresh])
             hit = np.flatnonzero(np.isin(minimiser, np.fromiter(places, np.int64, len(places))))
             out = []
             for i, m, at, size in zip(*(x[hit].tolist() for x in (text, minimiser, start, n))):
-                _, whole, order, _ = fresh[i]
+                whole, order, _ = fresh[i]
                 packed = whole[at : at + size + WINDOW - 1]
                 key, place = digest(packed), (*order, at)
-                met.add(key, place, m, places[m], packed)
-                out.append((*place, size, None, None, key, None, None))
+                sent = (m, places[m], key, packed) if met.wanted(key, place) else (None, None, key, None)
+                out.append((*place, size, *sent))
                 if len(out) >= 8192:
                     yield out
                     out = []
             yield out
-            if met.size > REMEMBERED:
-                yield from met.sent()
-        yield from met.sent()
 
     joined = some.join(asked, "text_id").select("text_id", "text", "first", "asked")
     return written(_task(joined, f, FOUND))
 
 
-#: What is dealt to a bucket: a piece (a stretch or a part of one) with its first place in a task.
-PIECES = ("minimiser", "salt", "piece", "known", "doc_id", "text_id", "start", "times", "packed")
+#: What is dealt to a bucket: a piece (a stretch or a part of one) at a place.
+PIECES = ("minimiser", "salt", "piece", "known", "doc_id", "text_id", "start", "packed")
 ANSWERS = "piece binary, known boolean, doc_id long, text_id binary, start long, mask long"
 
 
 def _bucket_answers(rows: list[tuple]) -> list[tuple]:
-    """rows: (bucket, piece, place, times, bytes) of whole buckets, each piece once, those of a bucket together.  Answers of the pieces that lose something somewhere."""
+    """rows: (bucket, piece, place, whether it has others, bytes) of whole buckets, each piece once, those of a bucket together.  Answers of the pieces that lose something
+    somewhere."""
     masks = [0] * len(rows)
     at = 0
     while at < len(rows):
@@ -232,7 +225,7 @@ def _bucket_answers(rows: list[tuple]) -> list[tuple]:
             for i, j in zip(who[later].tolist(), at_[later].tolist()):
                 masks[at + shared[i]] |= 1 << j
         at = end
-    return [(r[1], *r[2], m) for r, m in zip(rows, masks) if m or r[3] > 1]
+    return [(r[1], *r[2], m) for r, m in zip(rows, masks) if m or r[3]]
 
 
 def bucket_answers(pieces: DataFrame) -> DataFrame:
@@ -242,70 +235,48 @@ def bucket_answers(pieces: DataFrame) -> DataFrame:
     def f(batches):
         held, windows, number, bucket = [], 0, 0, None
         for rows in batches:
-            for minimiser, salt, piece, known, doc_id, text_id, start, times, packed in rows:
+            for minimiser, salt, piece, known, doc_id, text_id, start, packed in rows:
                 if bucket != (minimiser, salt):
                     bucket, number = (minimiser, salt), number + 1
                     if windows >= SORTED:
                         yield _bucket_answers(held)
                         held, windows = [], 0
-                elif held[-1][1] == piece:  # met by another task, at a later place
-                    held[-1][3] += times
+                elif held[-1][1] == piece:  # at a later place
+                    held[-1][3] = True
                     continue
-                held.append([number, piece, (known, doc_id, text_id, start), times, packed])
+                held.append([number, piece, (known, doc_id, text_id, start), False, packed])
                 windows += len(packed) - WINDOW + 1
         yield _bucket_answers(held)
 
     return _task(ordered, f, ANSWERS)
 
 
-#: A part of a piece that is dealt again: where it lies in it, and, once a task, its bytes.
-PARTS = "whole binary, at int, n int, minimiser long, salt long, piece binary, known boolean, doc_id long, text_id binary, start long, times int, packed binary"
+#: A part of a piece that is dealt again: where it lies in it, its own place, and its bytes or not.
+PARTS = "whole binary, at int, n int, minimiser long, salt long, piece binary, known boolean, doc_id long, text_id binary, start long, packed binary"
 
 
 def _parted(pieces: DataFrame, cut) -> DataFrame:
     """Parts of pieces, each of which comes once.  cut(bytes, salts) gives (first window, windows, salt) of the parts of a piece."""
 
     def f(batches):
-        met: dict[tuple, list] = {}
-        size = 0
-
-        def sent() -> Iterator[list[tuple]]:
-            out = []
-            for (minimiser, salt, key), (place, times, packed) in met.items():
-                out.append((None, None, None, minimiser, salt, key, *place, times, packed))
-                if len(out) >= 8192:
-                    yield out
-                    out = []
-            yield out
-            met.clear()
-
+        met = Met()
         for rows in batches:
             out = []
             for minimiser, piece, known, doc_id, text_id, start, packed, salts in rows:
                 for at, n, salt in cut(packed, salts):
                     part = packed[at : at + n + WINDOW - 1]
                     key, place = digest(part), (known, doc_id, text_id, start + at)
-                    out.append((piece, at, n, minimiser, salt, key, *place, None, None))
-                    old = met.get((minimiser, salt, key))
-                    if old is None:
-                        met[(minimiser, salt, key)] = [place, 1, part]
-                        size += len(part) + 250
-                    else:
-                        old[0], old[1] = min(old[0], place), old[1] + 1
+                    out.append((piece, at, n, minimiser, salt, key, *place, part if met.wanted((minimiser, salt, key), place) else None))
                 if len(out) >= 8192:
                     yield out
                     out = []
             yield out
-            if size > REMEMBERED:
-                yield from sent()
-                size = 0
-        yield from sent()
 
     return written(_task(pieces.select("minimiser", "piece", "known", "doc_id", "text_id", "start", "packed", "salts"), f, PARTS))
 
 
 def _second_minimisers(packed: bytes, _: int) -> list[tuple[int, int, int]]:
-    _, minimiser, start, n = stretches([packed], 1)
+    _, minimiser, start, n = stretches([packed], LONG_GRAM)
     return list(zip(start.tolist(), n.tolist(), minimiser.tolist()))
 
 
@@ -330,28 +301,32 @@ def answers(pieces: DataFrame, level: int = 0, sure: DataFrame | None = None) ->
     return bucket_answers(few) if more is None else bucket_answers(few).unionByName(more)
 
 
+def gone(mask: str, first: str) -> Column:
+    """The windows that go at a place: those of the mask at the first one, all at any other.  The place is text_id, start and n."""
+    here = (F.col(f"{first}.text_id") == F.col("text_id")) & (F.col(f"{first}.start") == F.col("start"))
+    return F.when(here, F.col(mask)).otherwise(F.expr("shiftleft(1L, n) - 1"))
+
+
 def _dealt_again(crowded: DataFrame, level: int) -> DataFrame:
     """The answers of pieces from those of their parts."""
-    own = crowded.groupBy("minimiser", "piece", "salts").agg(F.min(place_of()).alias("first"), F.sum("times").alias("times"), F.any_value("packed").alias("packed"))
+    own = crowded.groupBy("minimiser", "piece", "salts").agg(F.min(place_of()).alias("first"), F.count("*").alias("times"), F.any_value("packed").alias("packed"))
     own = written(own.select("minimiser", "piece", "salts", "first.*", "times", "packed"))
     parts = _parted(own, _windows if level else _second_minimisers)
-    known = answers(parts.where("packed IS NOT NULL"), level + 1).select("piece", place_of().alias("first"), "mask")
-    places = parts.where("packed IS NULL").select("whole", "at", "n", "piece", place_of().alias("place"))
-    gone = F.when(F.col("first") == F.col("place"), F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1"))
-    masks = places.join(known, "piece").select("whole", F.call_function("shiftleft", gone, F.col("at")).alias("mask")).groupBy("whole").agg(F.bit_or("mask").alias("mask"))
+    known = answers(parts.where("packed IS NOT NULL"), level + 1).select("piece", F.struct("text_id", "start").alias("first"), "mask")
+    places = parts.select("whole", "at", "n", "piece", "text_id", "start").join(known, "piece")
+    masks = places.select("whole", F.call_function("shiftleft", gone("mask", "first"), F.col("at")).alias("mask")).groupBy("whole").agg(F.bit_or("mask").alias("mask"))
     found = own.join(masks, own["piece"] == masks["whole"], "left").withColumn("mask", F.coalesce("mask", F.lit(0).cast("long")))
     return found.where("mask <> 0 OR times > 1").select("piece", "known", "doc_id", "text_id", "start", "mask")
 
 
-def text_hits(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+def text_hits(keyed: DataFrame, asked: DataFrame) -> DataFrame:
     """text_id, hits array<struct<start, mask>> of each text, as its first row has it, that loses windows."""
-    found = found_stretches(keyed, asked_texts(texts))
+    found = found_stretches(keyed, asked)
     pieces = found.where("packed IS NOT NULL").withColumn("salt", F.lit(0).cast("long")).withColumnRenamed("stretch", "piece")
     known = answers(pieces.where(F.col("places") > BUCKET), sure=pieces.where(F.col("places") <= BUCKET))
-    known = known.select(F.col("piece").alias("stretch"), place_of().alias("first"), "mask")
-    places = found.where("packed IS NULL").select("stretch", "text_id", "start", "n", place_of().alias("place")).join(known, "stretch")
-    mask = F.when(F.col("first") == F.col("place"), F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1"))
-    return places.select("text_id", "start", mask.alias("mask")).where("mask <> 0").groupBy("text_id").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
+    known = known.select(F.col("piece").alias("stretch"), F.struct("text_id", "start").alias("first"), "mask")
+    places = found.select("stretch", "text_id", "start", "n").join(known, "stretch")
+    return places.select("text_id", "start", gone("mask", "first").alias("mask")).where("mask <> 0").groupBy("text_id").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
 
 
 def mask_spans(hits: list[dict]) -> list[tuple[int, int]]:
@@ -384,10 +359,14 @@ KEPT = "doc_id long, n_bytes long, n_spans long, kept binary"
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_spans (maximal runs of removed bytes) and kept (the other bytes) of every row of docs, which has doc_id and text."""
     keyed = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).withColumn("text_id", F.unhex(F.md5("text")))
-    texts = distinct_texts(keyed)
     twins = written(keyed.groupBy("text_id", "doc_id").agg(F.count("*").alias("n")).where("n > 1"))
-    again = texts.where("again").select("text_id", "first")
-    info = written(text_hits(keyed, texts).join(again, "text_id", "full"))
+    kept_table, mark = shared_dir(docs.sparkSession), tables_made()
+    texts_table = shared_dir(docs.sparkSession)
+    texts = distinct_texts(keyed, texts_table)
+    asked, again = asked_texts(texts), written(texts.where("again").select("text_id", "first"))
+    remove(docs.sparkSession, texts_table)  # the largest table, and no longer needed
+    info = written(text_hits(keyed, asked).join(again, "text_id", "full"), kept_table)
+    discard(docs.sparkSession, mark)
     nothing = [F.lit(None).cast(info.schema[c].dataType).alias(c) for c in ("hits", "first")]
     joined = likely(keyed, "text_id", info, True).join(info, "text_id", "left").select("doc_id", "text", "text_id", "hits", "first")
     rows = joined.unionByName(likely(keyed, "text_id", info, False).select("doc_id", "text", "text_id", *nothing))
