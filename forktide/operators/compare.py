@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,39 @@ def payload_mismatches(events: DataFrame, payloads: DataFrame) -> DataFrame:
     e, p = events.select("block_hash", F.lit(1).alias("e")), payloads.select("block_hash", F.lit(1).alias("p"))
     both = e.join(p, "block_hash", "full").where("e IS NULL OR p IS NULL")
     return both.select("block_hash", F.when(F.col("p").isNull(), "missing").otherwise("surplus").alias("problem"))
+
+
+def _digests(rows: DataFrame, bucket: Column, columns: list[str]) -> DataFrame:
+    """Of each bucket of rows, in any order: how many, and sums of two hashes of 64 bits in halves, which do not overflow."""
+    hashes = [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+    halves = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), *(F.sum(x).alias(f"h{i}") for i, x in enumerate(halves)))
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, span: int, height: str, columns: list[str]) -> DataFrame:
+    """Buckets of ``span`` heights whose rows are not the same multiset.  Only digests are shuffled."""
+    bucket = F.floor(F.col(height) / span)
+    left, right = _digests(a, bucket, columns), _digests(b, bucket, columns).withColumnsRenamed({c: f"b_{c}" for c in ("n", "h0", "h1", "h2", "h3")})
+    equal = F.lit(True)
+    for c in ("n", "h0", "h1", "h2", "h3"):
+        equal = equal & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    return left.join(right, "bucket", "full").where(~equal).select("bucket")
+
+
+#: Heights of a bucket on the way down.
+SPANS = (4096, 64)
+
+
+def differences(a: DataFrame, b: DataFrame, height: str, columns: list[str], spans: tuple[int, ...] = SPANS) -> DataFrame:
+    """The columns of rows that one side has more often than the other, with only_a and only_b, how often.
+
+    The sides are compared by digests of wide buckets of heights, then, within those that differ, of narrower ones; rows are compared in what
+    is left.  Equal sources are read twice and shuffle a row a bucket.
+    """
+    a, b = a.select(*columns), b.select(*columns)
+    for span in spans:
+        wrong = differing_buckets(a, b, span, height, columns)
+        a, b = (x.withColumn("bucket", F.floor(F.col(height) / span)).join(wrong, "bucket", "left_semi").drop("bucket") for x in (a, b))
+    both = a.withColumn("_side", F.lit(1)).unionAll(b.withColumn("_side", F.lit(-1)))
+    more = both.groupBy(*columns).agg(F.sum("_side").alias("_more")).where("_more <> 0")
+    return more.select(*columns, F.greatest("_more", F.lit(0)).alias("only_a"), F.greatest(-F.col("_more"), F.lit(0)).alias("only_b"))

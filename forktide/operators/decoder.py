@@ -1,19 +1,21 @@
 """Decoding of contract logs: a registry of addresses, a table of events, native slicing of 32-byte words.
 
 A log's address picks the standard, its first topic the event; the same topic means different events for different
-standards.  Topics and data are hex without a prefix.  Integers of up to 38 digits are read by Spark itself; larger ones, as decimal
-text, by an Arrow function, which sees only rows that need it, and so are arrays.  Nothing fails: what cannot be decoded has a status and no
-decode.  Addresses are rendered in lower case; ``checksummed`` gives the mixed-case form.
+standards.  Topics and data are hex without a prefix.  Contracts and events are small tables that are joined to the logs; an event's row says where
+each argument's word stands.  Spark takes the words out, one Arrow function renders those of a whole batch (``words.py``), and Spark
+makes the JSON.  Nothing fails: what cannot be decoded has a status and no decode.  Addresses are rendered in lower case;
+``checksummed`` gives the mixed-case form.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
+
+from . import words
 
 #: First topics of the events, and their arguments as (name, type, indexed).
 TRANSFER = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
@@ -38,7 +40,7 @@ EVENTS = {
 }
 #: Other spellings of the standards' names, without punctuation and in lower case.
 ALIASES = {"erc20": "erc20", "erc721": "erc721", "uniswapv3pool": "uniswap_v3_pool", "uniswapv3": "uniswap_v3_pool"}
-WORD = 64
+WORD = words.WORD
 
 
 def standard_name(name: str) -> str:
@@ -58,142 +60,55 @@ def registry(spark: SparkSession, contracts: list[tuple[str, str, str]]) -> Data
     return spark.createDataFrame(rows, "address string, standard string, version string")
 
 
-def word(data: Column, i: int) -> Column:
-    """The i-th 32-byte word of hex data."""
-    return F.substring(data, 1 + WORD * i, WORD)
-
-
 def small_unsigned(w: Column) -> Column:
     """A word as bigint; null if it needs more than 63 bits."""
     return F.when(F.substring(w, 1, 48).eqNullSafe("0" * 48) & (F.substring(w, 49, 1) < "8"), F.conv(F.substring(w, 49, 16), 16, 10).try_cast("bigint"))
 
 
-def small_signed(w: Column, hex_digits: int) -> Column:
-    """The two's complement value of the word's last hex digits (15 at most) as bigint."""
-    value = F.conv(F.right(w, F.lit(hex_digits)), 16, 10).cast("bigint")
-    return F.when(value >= F.lit(1 << (4 * hex_digits - 1)), value - F.lit(1 << (4 * hex_digits))).otherwise(value)
-
-
-#: 2 ** 64, and how many of it have 38 digits at most.
-HALF, HALVES = 1 << 64, (10**38 - 1) // (1 << 64)
-
-
-def _half(w: Column, at: int) -> Column:
-    return F.conv(F.substring(w, at, 16), 16, 10).cast("decimal(20,0)")
-
-
-def middle_unsigned(w: Column) -> Column:
-    """A word as decimal text; null if it has more than 38 digits."""
-    high, low = _half(w, 33), _half(w, 49)
-    whole = high * F.lit(Decimal(HALF)) + low
-    return F.when(F.substring(w, 1, 32).eqNullSafe("0" * 32) & (high < F.lit(Decimal(HALVES))), whole.cast("string"))
-
-
-def middle_negative(w: Column) -> Column:
-    """The same for a word that is negative in two's complement; its size is that of the inverted bits, and one."""
-    high = F.lit(Decimal(HALF - 1)) - _half(w, 33)
-    low = F.lit(Decimal(HALF)) - _half(w, 49)
-    whole = high * F.lit(Decimal(HALF)) + low
-    return F.when(F.lower(F.substring(w, 1, 32)).eqNullSafe("f" * 32) & (high < F.lit(Decimal(HALVES))), F.concat(F.lit("-"), whole.cast("string")))
+def _reader(kinds: list[list[str]]):
+    """The Arrow function for the words of some events: one call a batch, whatever events and types are in it."""
 
+    @F.arrow_udf(ArrayType(StringType()))
+    def read(event: pa.Array, found: pa.Array) -> pa.Array:
+        return words.rendered_rows(kinds, event, found)
 
-@F.pandas_udf(StringType())
-def wide_unsigned(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: None if not w else str(int(w, 16)))
-
-
-@F.pandas_udf(StringType())
-def wide_signed(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: None if not w else str(int(w, 16) - ((1 << 256) if w[0] >= "8" else 0)))
+    return read
 
 
 def rendered(w: Column, kind: str) -> Column:
     """A word's value as text by its type."""
-    if kind == "address":
-        return F.concat(F.lit("0x"), F.lower(F.right(w, F.lit(40))))
-    if kind == "bool":
-        return F.when(F.right(w, F.lit(1)) == "1", "true").otherwise("false")
-    if kind.startswith("bytes"):
-        return F.concat(F.lit("0x"), F.lower(F.substring(w, 1, 2 * int(kind[5:]))))
-    if kind.startswith("uint"):
-        known = F.coalesce(small_unsigned(w).cast("string"), middle_unsigned(w))
-        return F.coalesce(known, wide_unsigned(F.when(known.isNull(), w)))
-    bits = int(kind[3:])
-    if bits <= 56:
-        return small_signed(w, bits // 4).cast("string")
-    known = F.coalesce(small_unsigned(w).cast("string"), middle_unsigned(w), middle_negative(w))
-    return F.coalesce(known, wide_signed(F.when(known.isNull(), w)))
-
-
-def dynamic(kind: str) -> bool:
-    """Whether a value stands behind the words, at the place that its word names."""
-    return kind in ("bytes", "string") or kind.endswith("[]")
-
-
-def _tail(data: Column, w: Column, kind: str) -> tuple[Column, Column, Column]:
-    """Of a dynamic value: its length, its hex, and whether both lie within the data."""
+    words.check_type(kind)
+    return F.get(_reader([[kind]])(F.lit(0), F.array(w)), F.lit(0))
+
+
+def _tail(data: Column, w: Column, kind: Column) -> Column:
+    """The hex of a dynamic value, which stands where its word says; null if it does not lie within the data."""
     # no log has 16 MB of data, so larger places and lengths are outside
     near = (lambda c: F.when(small_unsigned(c) < 1 << 24, small_unsigned(c)))
     at = near(w)
     length = near(F.substring(data, (1 + 2 * at).cast("int"), F.lit(WORD)))
-    digits = length * (WORD if kind.endswith("[]") else 2)
+    digits = length * F.when(kind.endswith("[]"), WORD).otherwise(2)
     inside = (at % 32 == 0) & (2 * at + WORD <= F.length(data)) & (digits <= F.length(data) - 2 * at - WORD)
-    return length, F.substring(data, (1 + WORD + 2 * at).cast("int"), digits.cast("int")), F.coalesce(inside, F.lit(False))
-
-
-def array_text(body: str, kind: str) -> str | None:
-    """The words of an array of a fixed-size type as a JSON list of texts; null if a word is no value of the type."""
-    out = []
-    for i in range(0, len(body), WORD):
-        w = body[i : i + WORD].lower()
-        if kind == "address":
-            text, good = "0x" + w[24:], w[:24] == "0" * 24
-        elif kind == "bool":
-            text, good = ("true" if w[-1] == "1" else "false"), w[:-1] == "0" * 63 and w[-1] in "01"
-        elif kind.startswith("bytes"):
-            text, good = "0x" + w[: 2 * int(kind[5:])], not w[2 * int(kind[5:]) :].strip("0")
-        else:
-            bits, signed = int(kind.lstrip("uint")), kind.startswith("int")
-            value = int(w, 16) - ((1 << 256) if signed and w[0] >= "8" else 0)
-            text, good = str(value), (-(1 << bits - 1) <= value < 1 << bits - 1) if signed else value < 1 << bits
-        if not good:
-            return None
-        out.append(f'"{text}"')
-    return f"[{','.join(out)}]"
-
-
-def rendered_tail(data: Column, w: Column, kind: str) -> Column:
-    """A dynamic value as text: bytes as hex, a string as it is, an array as a JSON list; null if it doesn't lie within the data."""
-    _, body, inside = _tail(data, w, kind)
-    body = F.when(inside & body.rlike("^[0-9a-fA-F]*$"), body)
-    if kind == "bytes":
-        return F.concat(F.lit("0x"), F.lower(body))
-    if kind == "string":
-        return F.try_validate_utf8(F.unhex(body).cast("string"))
-
-    @F.pandas_udf(StringType())
-    def listed(bodies: pd.Series) -> pd.Series:
-        return bodies.map(lambda b: None if b is None else array_text(b, kind[:-2]))
-
-    return listed(body)
-
-
-def fits(w: Column, kind: str) -> Column:
-    """Whether the word is a valid value of the type: unused high digits are zero, or the sign."""
-    whole = (F.length(w) == WORD) & w.rlike("^[0-9a-fA-F]{64}$")
-    if kind == "bool":
-        return whole & w.rlike("^0{63}[01]$")
-    if kind.startswith("bytes"):
-        return whole & F.substring(w, 1 + 2 * int(kind[5:]), WORD).rlike("^0*$")
-    used = 40 if kind == "address" else int(kind.lstrip("uint")) // 4
-    if used == WORD:
-        return whole
-    high = F.substring(w, 1, WORD - used)
-    zero = high == "0" * (WORD - used)
-    if not kind.startswith("int"):
-        return whole & zero
-    negative = F.lower(F.substring(w, 1 + WORD - used, 1)) >= "8"
-    return whole & F.when(negative, F.lower(high) == "f" * (WORD - used)).otherwise(zero)
+    return F.when(F.coalesce(inside, F.lit(False)), F.substring(data, (1 + WORD + 2 * at).cast("int"), digits.cast("int")))
+
+
+EVENT_TABLE = "_standard string, _selector string, _event int, _name string, _signature string, _args array<string>, _kinds array<string>, _read array<string>, _places array<int>, _topics int, _slots int"
+
+
+def event_table(spark: SparkSession, events: dict) -> tuple[DataFrame, list[list[str]]]:
+    """A row for each event of a configuration, and the types in which its words are read.  A place is a word of the data, or below 0 a topic."""
+    rows = []
+    for e, ((standard, name, selector), args) in enumerate(events.items()):
+        for _, kind, _ in args:
+            words.check_type(kind)
+        topic, slot, places = 0, 0, []
+        for _, _, indexed in args:
+            topic, slot = topic + indexed, slot + (not indexed)
+            places.append(-topic if indexed else slot - 1)
+        kinds = [k for _, k, _ in args]
+        read = ["bytes32" if indexed and words.dynamic(k) else k for _, k, indexed in args]  # a topic has the hash of a dynamic value
+        rows.append((standard, selector, e, name, f"{name}({','.join(kinds)})", [a for a, *_ in args], kinds, read, places, 1 + topic, slot))
+    return spark.createDataFrame(rows, EVENT_TABLE), [r[7] for r in rows]
 
 
 def decode(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> DataFrame:
@@ -202,37 +117,31 @@ def decode(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> Data
     The status is Decoded, UnknownAbi (address not registered), UnknownSignature (no topic, or no event with it) or
     DecodeFailure (the event is known, its topics or data do not fit).
     """
-    both = logs.join(F.broadcast(contracts), "address", "left")  # a configuration's rows
-    topic0 = F.lower(F.get("topics", F.lit(0)))
-    known = F.col("standard").isNotNull()
-    matched, valid, event_json = F.lit(False), F.lit(False), F.lit(None).cast("string")
-    for (standard, name, selector), args in events.items():
-        here = known & (F.col("standard") == standard) & (topic0 == selector)
-        n_indexed = sum(i for *_, i in args)
-        values, ok = [], (F.size("topics") == 1 + n_indexed) & (F.length("data") >= WORD * (len(args) - n_indexed))
-        topic, slot = 1, 0
-        for arg, kind, indexed in args:
-            w = F.get("topics", F.lit(topic)) if indexed else word(F.col("data"), slot)
-            topic, slot = topic + indexed, slot + (not indexed)
-            if dynamic(kind) and not indexed:
-                value = rendered_tail(F.when(here, F.col("data")), F.when(here, w), kind)
-                ok = ok & value.isNotNull()
-            else:
-                plain = "bytes32" if dynamic(kind) else kind  # a topic has the hash of a dynamic value
-                value = F.when(here, rendered(F.when(here, w), plain))
-                ok = ok & F.coalesce(fits(w, plain), F.lit(False))
-            values.append((arg, kind, value))
-        signature = f"{name}({','.join(k for _, k, _ in args)})"
-        body = F.struct(
-            F.lit(1).alias("schema_version"), F.col("standard").alias("standard"), F.col("version").alias("decoder_version"), F.lit(name).alias("event"), F.lit(signature).alias("signature"),
-            F.struct(*(v.alias(a) for a, _, v in values)).alias("args"),
-            F.array(*(F.struct(F.lit(a).alias("name"), F.lit(k).alias("type"), v.alias("value")) for a, k, v in values)).alias("ordered_args"),
-        )
-        hit = here & F.coalesce(ok, F.lit(False))
-        matched, valid = matched | F.coalesce(here, F.lit(False)), valid | F.coalesce(hit, F.lit(False))
-        event_json = F.when(hit, F.to_json(body)).otherwise(event_json)
-    status = F.when(~known, "UnknownAbi").when(~matched, "UnknownSignature").when(valid, "Decoded").otherwise("DecodeFailure")
-    return both.select(*logs.columns, status.alias("status"), event_json.alias("decoded_event"), F.when(valid, F.col("version")).alias("decoder_version"))
+    table, read = event_table(logs.sparkSession, events)
+    both = logs.join(F.broadcast(contracts), "address", "left").join(  # a configuration's rows
+        F.broadcast(table), (F.col("standard") == F.col("_standard")) & (F.lower(F.get("topics", F.lit(0))) == F.col("_selector")), "left"
+    )
+    data = F.col("data")
+
+    def value(place: Column, i: Column) -> Column:
+        w = F.when(place < 0, F.get("topics", -place)).otherwise(F.substring(data, 1 + WORD * place, F.lit(WORD)))
+        if not any(words.dynamic(k) for kinds in read for k in kinds):
+            return w
+        kind = F.get("_read", i)
+        behind = (place >= 0) & (kind.isin("bytes", "string") | kind.endswith("[]"))
+        return F.when(behind, _tail(data, w, kind)).otherwise(w)
+
+    sized = F.col("_event").isNotNull() & (F.size("topics") == F.col("_topics")) & (F.length(data) >= WORD * F.col("_slots"))
+    both = both.withColumn("_words", F.when(sized, F.transform("_places", value)))
+    both = both.withColumn("_values", _reader(read)(F.col("_event"), F.col("_words")))
+    valid = F.coalesce(F.col("_values").isNotNull() & ~F.exists("_values", lambda v: v.isNull()), F.lit(False))
+    body = F.struct(
+        F.lit(1).alias("schema_version"), F.col("standard").alias("standard"), F.col("version").alias("decoder_version"), F.col("_name").alias("event"), F.col("_signature").alias("signature"),
+        F.map_from_arrays("_args", "_values").alias("args"),
+        F.transform("_args", lambda a, i: F.struct(a.alias("name"), F.get("_kinds", i).alias("type"), F.get("_values", i).alias("value"))).alias("ordered_args"),
+    )
+    status = F.when(F.col("standard").isNull(), "UnknownAbi").when(F.col("_event").isNull(), "UnknownSignature").when(valid, "Decoded").otherwise("DecodeFailure")
+    return both.select(*logs.columns, status.alias("status"), F.when(valid, F.to_json(body)).alias("decoded_event"), F.when(valid, F.col("version")).alias("decoder_version"))
 
 
 def status_counts(decoded: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PAYLOAD_VERSION = 1
+#: What a payload says of a log; they are in order by the first two.
+PAYLOAD_LOG = ("transaction_index", "log_index", "tx_hash", "address", "topic0", "topic1", "topic2", "topic3", "data")
 
 
 def backlog(outbox: DataFrame, now: datetime) -> DataFrame:
@@ -74,7 +76,7 @@ def payloads(events: DataFrame, logs: DataFrame) -> DataFrame:
     """Journal payloads: an apply carries its logs in order, a rollback an empty list and no status."""
     from pyspark.sql.functions import array_sort, collect_list, struct
 
-    grouped = logs.groupBy("block_hash").agg(array_sort(collect_list(struct("transaction_index", "log_index", "tx_hash", "address", "topic0", "topic1", "data"))).alias("logs"))
+    grouped = logs.groupBy("block_hash").agg(array_sort(collect_list(struct(*(c for c in PAYLOAD_LOG if c in logs.columns)))).alias("logs"))
     both = events.join(grouped, "block_hash", "left")
     empty = F.array().cast(grouped.schema["logs"].dataType)
     applied = F.col("event_kind") == "apply"

@@ -35,7 +35,7 @@ def merge_blocks(blocks: DataFrame, batch: DataFrame) -> DataFrame:
     return both.select(*(values.get(c, F.col(c)).alias(c) for c in blocks.columns))
 
 
-RAW = ("block_number", "transaction_index", "tx_hash", "address", "topic0", "topic1", "data")
+RAW = ("block_number", "transaction_index", "tx_hash", "address", "topic0", "topic1", "topic2", "topic3", "data")
 
 
 def merge_logs(logs: DataFrame, new: DataFrame) -> DataFrame:
@@ -68,25 +68,49 @@ def _first_fault(rules: dict[str, Column]) -> Column:
     return out
 
 
+STATUSES = ("unsafe", "safe", "finalized")
+
+
+def block_fault_of(row: dict) -> str | None:
+    """``block_faults`` for one row that is on the driver."""
+    rules = {"block_hash": len(row["block_hash"]) != 64, "parent_hash": len(row["parent_hash"]) != 64, "height": row["height"] < 0, "status": row["status"] not in STATUSES}
+    return next((name for name, broken in rules.items() if broken), None)
+
+
 def block_faults(blocks: DataFrame) -> DataFrame:
     """Blocks out of their domain, with the fault."""
     rules = {
         "block_hash": F.length("block_hash") != 64, "parent_hash": F.length("parent_hash") != 64, "height": F.col("height") < 0,
-        "status": ~F.col("status").isin("unsafe", "safe", "finalized"),
+        "status": ~F.col("status").isin(*STATUSES),
     }
     return blocks.withColumn("fault", _first_fault(rules)).where("fault IS NOT NULL")
 
 
-def log_faults(logs: DataFrame) -> DataFrame:
-    """Logs out of their domain, with the fault: sizes of hashes and addresses, signs of places, order of topics, decodes without a version."""
+def _topic_faults(topics: list[str]) -> Column:
+    """A topic of another size than 32 bytes, or one behind an absent one."""
+    out = F.lit(False)
+    for below, c in zip([None, *topics], topics):
+        out = out | F.coalesce(F.length(c) != 64, F.lit(False))
+        if below:
+            out = out | (F.col(below).isNull() & F.col(c).isNotNull())
+    return out
+
+
+def log_fault(columns: list[str]) -> Column:
+    """What is out of its domain in a log: sizes of hashes and addresses, signs of places, order of topics, decodes without a version."""
     rules = {
         "block_hash": F.length("block_hash") != 64, "tx_hash": F.length("tx_hash") != 64, "address": F.length("address") != 40, "data": F.length("data") % 2 != 0,
         "place": (F.col("block_number") < 0) | (F.col("transaction_index") < 0) | (F.col("log_index") < 0),
-        "topics": F.coalesce(F.length("topic0") != 64, F.lit(False)) | F.coalesce(F.length("topic1") != 64, F.lit(False)) | (F.col("topic0").isNull() & F.col("topic1").isNotNull()),
+        "topics": _topic_faults([c for c in ("topic0", "topic1", "topic2", "topic3") if c in columns]),
     }
-    if "decoded_event" in logs.columns:
+    if "decoded_event" in columns:
         rules["decode"] = F.col("decoded_event").isNotNull() != F.col("decoder_version").isNotNull()
-    return logs.withColumn("fault", _first_fault(rules)).where("fault IS NOT NULL")
+    return _first_fault(rules)
+
+
+def log_faults(logs: DataFrame) -> DataFrame:
+    """Logs out of their domain, with the fault."""
+    return logs.withColumn("fault", log_fault(logs.columns)).where("fault IS NOT NULL")
 
 
 def check_unique(blocks: DataFrame) -> DataFrame:

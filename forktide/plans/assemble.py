@@ -8,9 +8,10 @@ from forktide.operators import decoder
 from forktide.sources import rpc
 
 from .backfill import Backfill
+from .compaction import Compactor
 from .config import Config, ConfigError
 from .live import Tracker
-from .ranges import LifetimeBudget, RangeSizer, WindowBudget
+from .ranges import LifetimeBudget, RangeSizer, SharedBudget
 from .runner import Live, RpcSource
 from .snapshot import Store
 
@@ -33,21 +34,35 @@ def store_of(spark: SparkSession, config: Config, client: rpc.Client) -> Store:
     return store
 
 
-def window_of(config: Config) -> WindowBudget:
-    return WindowBudget(config.rpc.window_cost, config.rpc.window_seconds)
+def budget_of(config: Config) -> SharedBudget:
+    """One budget for all that a process sends to the node."""
+    return SharedBudget(config.rpc.window_cost, config.rpc.window_seconds, LifetimeBudget(config.backfill.max_requests, config.backfill.max_cost))
 
 
 def backfill_of(spark: SparkSession, config: Config, low: int, high: int, address: str | None = None) -> Backfill:
     b = config.backfill
-    store = store_of(spark, config, rpc.Client(config.rpc.url))
+    budget = budget_of(config)
+    store = store_of(spark, config, rpc.Client(config.rpc.url, budget=budget))
     sizer = RangeSizer(b.initial_blocks, b.min_blocks, b.max_blocks)
-    budget = LifetimeBudget(b.max_requests, b.max_cost)
-    return Backfill(store, config.rpc.url, low, high, address, b.workers, sizer, contracts=contracts_of(spark, config), lifetime=budget, window=window_of(config))
+    return Backfill(store, config.rpc.url, low, high, address, b.workers, sizer, contracts=contracts_of(spark, config), budget=budget)
 
 
 def live_of(spark: SparkSession, config: Config, start: int | None = None) -> Live:
-    client = rpc.Client(config.rpc.url)
+    client = rpc.Client(config.rpc.url, budget=SharedBudget(config.rpc.window_cost, config.rpc.window_seconds))
     store, contracts, i = store_of(spark, config, client), contracts_of(spark, config), config.indexer
     verifier = RpcSource(store, rpc.Client(config.rpc.verifier_url)) if config.rpc.verifier_url else None
     tracker = Tracker(store, RpcSource(store, client, contracts), start, i.max_reorg_depth, i.finalized_depth, verifier)
-    return Live(tracker, window=window_of(config), verify_last=i.safe_depth)
+    return Live(tracker, verify_last=i.safe_depth, compactor=Compactor(store))
+
+
+def dispatcher_of(spark: SparkSession, config: Config, sink=None):
+    """The dispatch of the store's journal to the broker of the settings, or to any sink that takes a DataFrame of messages."""
+    from forktide.streaming.dispatch import Dispatcher, StoreJournal
+    from forktide.streaming.journal import broker_sink
+
+    b = config.broker
+    if sink is None:
+        if b.servers is None:
+            raise ConfigError("a dispatch needs the broker's servers")
+        sink = broker_sink(b.servers, b.topic, b.delivery_timeout_seconds)
+    return Dispatcher(StoreJournal(Store(spark, config.store)), config.chain_id, sink, b.part_ids)

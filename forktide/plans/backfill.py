@@ -1,9 +1,12 @@
 """A backfill: ranges of heights fetched by Spark tasks side by side, committed in order, compared with a second node, and measured.
 
-A window of ranges is one Spark job, a task a range; what it fetches is a table of a row a range before anything is decided, so a lost
-executor fetches its own range again.  A range that the node refuses as too large comes back as refused, and its halves go to the
-front of the line.  The coordinator puts ranges in order; those that are ready are committed to the store as one batch.
-Only headers come to the driver: those of one window.
+A range is a Spark job of one task, and as many jobs run at a time as there are workers; what one fetches is a table of one row before anything is
+decided.  Results are taken as they come: a range that the node refuses as too large comes back as refused and its halves are next;
+the coordinator puts ranges in order, and those that are ready are committed as one batch while others are fetched.  So a slow range keeps
+nothing waiting but the commits behind it.  Only headers come to the driver: those of ranges that wait for their turn, AHEAD at most.
+
+Requests are paid from leases.  The driver leases a range's units before its job starts, with some to spare for attempts that fail; a task that runs
+out, or that Spark starts once more, comes back short and gets a larger lease; what is left over is given back.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ import datetime
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -21,15 +25,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from forktide.operators import decoder
-from forktide.operators.canonical import in_heights
-from forktide.operators.compare import multiset_difference
+from forktide.operators.compare import differences
 from forktide.operators.transition import Batch, Event, Header
 from forktide.sources.rpc import BLOCKS, LOGS, Client, RpcError, error_class
 
 from . import snapshot
-from .ranges import COST, BackfillError, BlockRange, Coordinator, LifetimeBudget, RangeSizer, Retry, WindowBudget
+from .ranges import COST, Allowance, BackfillError, BlockRange, BudgetSpent, Coordinator, RangeSizer, Retry, SharedBudget
 
-ROW = f"low long, high long, refused string, requests long, cost long, blocks array<struct<{BLOCKS.replace(' ', ':')}>>, logs array<struct<{LOGS.replace(' ', ':')}>>".replace(",:", ", ")
+ROW = f"low long, high long, refused string, short boolean, requests long, cost long, blocks array<struct<{BLOCKS.replace(' ', ':')}>>, logs array<struct<{LOGS.replace(' ', ':')}>>".replace(",:", ", ")
+#: Ranges that may wait for their turn.
+AHEAD = 1000
+#: Units to spare in a lease, as a share of what is foreseen.
+SPARE = 0.25
 
 
 def matched(blocks: list[tuple], logs: list[tuple]) -> bool:
@@ -47,22 +54,30 @@ def fetch_range(client: Client, r: BlockRange, address: str | None = None) -> tu
     raise RpcError(f"the logs of heights {r.low} to {r.high} don't belong to the blocks there")
 
 
-def fetched(spark: SparkSession, ranges: list[BlockRange], url: str, address: str | None = None, timeout: float = 30.0, retry: Retry = Retry()) -> DataFrame:
-    """A row for each range, a task each; refused has the node's words if it takes the range for too large."""
+def fetched(spark: SparkSession, ranges: list[BlockRange], url: str, address: str | None = None, timeout: float = 30.0, retry: Retry = Retry(), units: int | None = None) -> DataFrame:
+    """A row for each range, a task each; refused has the node's words if it takes the range for too large, short says that ``units`` were too few."""
     arrow = to_arrow_schema(StructType.fromDDL(ROW))
 
     def run(batches):
-        client = Client(url, timeout, retry)
+        from pyspark import TaskContext
+
         for b in batches:
             for i in b.column(0).to_pylist():
-                r, before, refused, found = ranges[i], (client.requests, client.cost), None, ([], [])
-                try:
-                    found = fetch_range(client, r, address)
-                except RpcError as e:
-                    if error_class(e) != "provider_limit":
-                        raise
-                    refused = str(e)
-                row = (r.low, r.high, refused, client.requests - before[0], client.cost - before[1], timed(found[0]), found[1])
+                r, refused, short, found = ranges[i], None, False, ([], [])
+                allowance = None if units is None else Allowance(units)
+                client = Client(url, timeout, retry, allowance=allowance)
+                if units is not None and TaskContext.get().attemptNumber():
+                    short, client.cost = True, units  # another attempt may have spent it all
+                else:
+                    try:
+                        found = fetch_range(client, r, address)
+                    except BudgetSpent:
+                        short = True
+                    except RpcError as e:
+                        if error_class(e) != "provider_limit":
+                            raise
+                        refused = str(e)
+                row = (r.low, r.high, refused, short, client.requests, client.cost, timed(found[0]), found[1])
                 values = [pa.array([_structs(v, f.type) if pa.types.is_list(f.type) else v], f.type) for v, f in zip(row, arrow)]
                 yield pa.RecordBatch.from_arrays(values, schema=arrow)
 
@@ -82,7 +97,7 @@ def _structs(rows: list[tuple], kind: pa.ListType) -> list[dict]:
 def store_rows(blocks: DataFrame, logs: DataFrame, status: str, contracts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Blocks and logs of a source in the store's columns; logs of known contracts are decoded."""
     logs = logs.withColumns({"decoded_event": F.lit(None).cast("string"), "decoder_version": F.lit(None).cast("string")}) if contracts is None else decoder.decode(logs, contracts)
-    logs = logs.withColumns({"topic0": F.get("topics", F.lit(0)), "topic1": F.get("topics", F.lit(1))})
+    logs = logs.withColumns({f"topic{i}": F.get("topics", F.lit(i)) for i in range(4)})
     blocks = blocks.withColumns({"is_canonical": F.lit(True), "status": F.lit(status), "status_source": F.lit("observed")})
     return tuple(df.select(*(F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(s))) for df, s in ((blocks, snapshot.BLOCKS), (logs, snapshot.LOGS)))
 
@@ -121,81 +136,131 @@ class Backfill:
     sizer: RangeSizer = field(default_factory=lambda: RangeSizer(100, 1, 100))
     status: str = "unsafe"
     contracts: DataFrame | None = None
-    lifetime: LifetimeBudget = field(default_factory=LifetimeBudget)
-    window: WindowBudget | None = None
+    budget: SharedBudget = field(default_factory=lambda: SharedBudget(1 << 60))
     retry: Retry = Retry()
     #: How often a range that does not follow the store may be fetched again.
     invalidations: int = 3
     clock: Callable[[], float] = time.monotonic
-    sleep: Callable[[float], None] = time.sleep
 
     def run(self) -> BackfillReport:
         """Fill the store up to ``high``; a store that has a checkpoint goes on behind it."""
-        report, began, spark = BackfillReport(), self.clock(), self.store.spark
-        coordinator = self._coordinator(report)
-        waiting, planned, held, again = [], coordinator.next_height, {}, 0
-        while not coordinator.done:
-            ranges = self._next(waiting, planned)
-            planned = max([planned, *(r.high + 1 for r in ranges)])
-            self._pay(ranges, report)
-            folder = f"{self.store.path}/staging/{uuid.uuid4().hex}"
-            fetched(spark, ranges, self.url, self.address, retry=self.retry).write.parquet(folder)
-            rows = spark.read.schema(ROW).parquet(folder)
-            ready: list[tuple[BlockRange, list[Header]]] = []
-            lost = None
-            for row in rows.select("low", "high", "refused", "requests", "cost", "blocks.height", "blocks.block_hash", "blocks.parent_hash").orderBy("low").collect():  # one window's headers
-                r = BlockRange(row["low"], row["high"])
-                report.requests, report.cost = report.requests + row["requests"], report.cost + row["cost"]
-                if row["refused"] is not None:
-                    report.refused += 1
-                    waiting[:0] = self._smaller(r, row["refused"])
-                elif lost is None:
-                    self.sizer.succeeded()
-                    held[r.low] = folder
-                    lost = coordinator.offer(r, [Header(*h) for h in zip(row["block_hash"], row["parent_hash"], row["height"])], lambda *x: ready.append(x))
-            self._commit(ready, held, report)
-            if lost is not None:
-                again, report.refetched = again + 1, report.refetched + 1
-                if again > self.invalidations:
-                    raise BackfillError(f"heights from {lost.low} on do not follow the store")
-                waiting, planned, held = [], lost.low, {}
+        self.report, began = BackfillReport(), self.clock()
+        self.staging = f"{self.store.path}/staging-{uuid.uuid4().hex}"
+        self.coordinator = self._coordinator(self.report)
+        #: Ranges to fetch before new ones, each with how often its lease was too small.
+        self.waiting: list[tuple[BlockRange, int]] = []
+        self.planned, self.held, self.again = self.coordinator.next_height, {}, 0
+        running: dict[Future, tuple[BlockRange, int, Allowance]] = {}
+        stale: set[Future] = set()  # of ranges that were asked for before the chain changed
+        try:
+            with ThreadPoolExecutor(self.workers) as pool:
+                try:
+                    while not self.coordinator.done:
+                        pause = self._submit(pool, running)
+                        done, _ = wait(running, pause, FIRST_COMPLETED)
+                        if self._take(done, running, stale):
+                            stale |= running.keys()
+                except BaseException:
+                    self.store.spark.sparkContext.cancelJobsWithTag(self.staging)
+                    raise
+        finally:
+            self.store.files.remove(self.staging)
+        self.report.seconds = self.clock() - began
+        return self.report
+
+    def _submit(self, pool: ThreadPoolExecutor, running: dict[Future, tuple[BlockRange, int, Allowance]]) -> float | None:
+        """Start what workers and budget allow; seconds until the budget may allow more, None if it does not matter."""
+        while len(running) < self.workers and len(self.coordinator.pending) < AHEAD:
+            r, short = self.waiting[0] if self.waiting else (self.sizer.next(self.planned, self.high), 0)
+            if r is None:
+                return None
+            cost = len(r) * COST["block"] + COST["logs"]
+            units = min(self.budget.limit, (cost + max(COST["logs"], int(cost * SPARE))) << short) if short or cost <= self.budget.limit else cost
+            lease = self.budget.try_lease(units, len(r) + 1)
+            if lease is None:
+                pause = self.budget.wait()
+                if running:
+                    return pause
+                self.budget.sleep(pause)
+                continue
+            if self.waiting:
+                self.waiting.pop(0)
             else:
-                waiting.sort(key=lambda r: r.low)
-        report.seconds = self.clock() - began
-        return report
+                self.planned = r.high + 1
+            running[pool.submit(self._fetch, r, lease)] = (r, short, lease)
+        return None
+
+    def _fetch(self, r: BlockRange, lease: Allowance):
+        """Headers and counts of a range whose row has been written."""
+        spark, folder = self.store.spark, f"{self.staging}/{uuid.uuid4().hex}"
+        spark.sparkContext.addJobTag(self.staging)
+        fetched(spark, [r], self.url, self.address, retry=self.retry, units=lease.units).write.parquet(folder)
+        columns = "refused", "short", "requests", "cost", "blocks.height", "blocks.block_hash", "blocks.parent_hash"
+        return folder, spark.read.schema(ROW).parquet(folder).select(*columns).first()
+
+    def _take(self, done: set[Future], running: dict[Future, tuple[BlockRange, int, Allowance]], stale: set[Future]) -> bool:
+        """Results as they come; whether the chain turned out to have changed, so that what is still running is of no use."""
+        report, ready, lost = self.report, [], None
+        for f in done:
+            r, short, lease = running.pop(f)
+            try:
+                folder, row = f.result()
+            except BaseException:
+                self.budget.give_back(lease, lease.foreseen, lease.units)
+                raise
+            self.budget.give_back(lease, row["requests"], row["cost"])
+            report.requests, report.cost = report.requests + row["requests"], report.cost + row["cost"]
+            if f in stale or lost is not None:
+                stale.discard(f)
+            elif row["short"]:
+                if lease.units >= self.budget.limit:
+                    raise BackfillError(f"a window of {self.budget.limit} units does not hold the range from {r.low} to {r.high}")
+                self.waiting.insert(0, (r, short + 1))
+            elif row["refused"] is not None:
+                report.refused += 1
+                self.waiting[:0] = [(half, 0) for half in self._smaller(r, row["refused"])]
+            else:
+                self.sizer.succeeded()
+                self.held[r.low] = folder
+                lost = self.coordinator.offer(r, [Header(*h) for h in zip(row["block_hash"], row["parent_hash"], row["height"])], lambda *x: ready.append(x))
+        self.waiting.sort(key=lambda x: x[0].low)
+        self._commit(ready)
+        if lost is None:
+            return False
+        self.again, report.refetched = self.again + 1, report.refetched + 1
+        if self.again > self.invalidations:
+            raise BackfillError(f"heights from {lost.low} on do not follow the store")
+        self.waiting, self.planned, self.held = [], lost.low, {}
+        return True
 
     def verify(self, url: str, report: BackfillReport) -> BackfillReport:
         """Compare the store's canonical logs with those of a second node, as multisets."""
         spark = self.store.spark
         theirs = spark.read.format("evm_logs").options(url=url, low=self.low, high=self.high, span=self.sizer.current, **({"address": self.address} if self.address else {})).load()
-        columns = ("block_number", "block_hash", "transaction_index", "log_index", "tx_hash", "address", "topic0", "topic1", "data")
-        theirs = theirs.withColumns({"topic0": F.get("topics", F.lit(0)), "topic1": F.get("topics", F.lit(1))}).select(*columns)
-        chain = in_heights(self.store.blocks(), self.low, self.high).where("is_canonical").select("block_hash")
-        ours = in_heights(self.store.logs(), self.low, self.high, "block_number").join(chain, "block_hash", "left_semi").select(*columns)
-        found = multiset_difference(ours, theirs).first()
-        report.only_here, report.only_there = found["only_a"], found["only_b"]
+        columns = ("block_number", "block_hash", "transaction_index", "log_index", "tx_hash", "address", "topic0", "topic1", "topic2", "topic3", "data")
+        theirs = theirs.withColumns({f"topic{i}": F.get("topics", F.lit(i)) for i in range(4)}).select(*columns)
+        chain = self.store.blocks(self.low, self.high).where("is_canonical").select("block_hash")
+        ours = self.store.logs(self.low, self.high).join(chain, "block_hash", "left_semi").select(*columns)
+        # the node is asked once: its rows are a table before they are compared
+        staged = f"{self.store.path}/staging-{uuid.uuid4().hex}"
+        theirs.write.parquet(staged)
+        found = differences(ours, spark.read.schema(theirs.schema).parquet(staged), "block_number", list(columns)).agg(F.sum("only_a").alias("a"), F.sum("only_b").alias("b")).first()
+        self.store.files.remove(staged)
+        report.only_here, report.only_there = found["a"] or 0, found["b"] or 0
         return report
 
     def _coordinator(self, report: BackfillReport) -> Coordinator:
         at = self.store.checkpoint()
         if at is None and self.low > 0:  # the block below is the store's first
-            client = Client(self.url, retry=self.retry)
+            client = Client(self.url, retry=self.retry, budget=self.budget)
             rows = client.blocks(self.low - 1, self.low - 1)
             at = Header(rows[0][1], rows[0][2], rows[0][0])
-            self.lifetime.spend("block")
-            report.requests, report.cost = report.requests + 1, report.cost + COST["block"]
+            report.requests, report.cost = report.requests + client.requests, report.cost + client.cost
             spark = self.store.spark
             blocks, logs = store_rows(spark.createDataFrame(timed(rows), BLOCKS), spark.createDataFrame([], LOGS), self.status)
             self.store.commit(Batch("bootstrap", None, (Event("apply", at),)), blocks, logs)
         return Coordinator(self.high, self.low if at is None else at.height + 1, at)
 
-    def _next(self, waiting: list[BlockRange], planned: int) -> list[BlockRange]:
-        out = []
-        while len(out) < self.workers and (r := waiting.pop(0) if waiting else self.sizer.next(planned, self.high)):
-            out.append(r)
-            planned = max(planned, r.high + 1)
-        return out
-
     def _smaller(self, r: BlockRange, words: str) -> list[BlockRange]:
         if len(r) <= self.sizer.least:
             raise BackfillError(f"the node refuses {len(r)} heights: {words}")
@@ -203,24 +268,17 @@ class Backfill:
         middle = r.low + len(r) // 2
         return [BlockRange(r.low, middle - 1), BlockRange(middle, r.high)]
 
-    def _pay(self, ranges: list[BlockRange], report: BackfillReport) -> None:
-        blocks = sum(map(len, ranges))
-        self.lifetime.spend("block", blocks)
-        self.lifetime.spend("logs", len(ranges))
-        if self.window is not None:
-            for r in ranges:
-                if wait := self.window.wait(len(r) * COST["block"] + COST["logs"]):
-                    self.sleep(wait)
-
-    def _commit(self, ready: list[tuple[BlockRange, list[Header]]], held: dict[int, str], report: BackfillReport) -> None:
+    def _commit(self, ready: list[tuple[BlockRange, list[Header]]]) -> None:
         if not ready:
             return
-        headers = [h for _, found in ready for h in found]
-        lows = [r.low for r, _ in ready]
-        rows = self.store.spark.read.schema(ROW).parquet(*sorted({held.pop(low) for low in lows})).where(F.col("low").isin(lows))
+        report, headers = self.report, [h for _, found in ready for h in found]
+        folders = [self.held.pop(r.low) for r, _ in ready]
+        rows = self.store.spark.read.schema(ROW).parquet(*folders)
         blocks, logs = (rows.select(F.explode(c).alias("x")).select("x.*") for c in ("blocks", "logs"))
         anchor = self.store.checkpoint()
         label = "bootstrap" if anchor is None else "extend" if len(headers) == 1 else "gap"
         blocks, logs = store_rows(blocks, logs, self.status, self.contracts)
         self.store.commit(Batch(label, anchor, tuple(Event("apply", h) for h in headers)), blocks, logs)
         report.blocks, report.ranges, report.logs = report.blocks + len(headers), report.ranges + len(ready), report.logs + rows.agg(F.sum(F.size("logs"))).first()[0]
+        for folder in folders:
+            self.store.files.remove(folder)

@@ -46,6 +46,10 @@ class Backfill:
 class Broker:
     servers: str | None = None
     topic: str = "chain-events"
+    poll_seconds: float = 0.25
+    delivery_timeout_seconds: float = 30.0
+    #: Ids of a part that is handed to the broker at once.
+    part_ids: int = 1000
 
 
 @dataclass
@@ -72,6 +76,11 @@ class Config:
             raise ConfigError("a contract has an address, a standard and a version")
         if self.indexer.safe_depth > self.indexer.finalized_depth:
             raise ConfigError("safe_depth must not exceed finalized_depth")
+        b = self.broker
+        if not b.topic.strip() or (b.servers is not None and not all(s.strip() for s in b.servers.split(","))):
+            raise ConfigError("a broker has a topic, and servers without empty entries")
+        if min(b.poll_seconds, b.delivery_timeout_seconds, b.part_ids, self.indexer.poll_seconds) <= 0:
+            raise ConfigError("polls, timeouts and parts must be positive")
         if min(self.indexer.max_reorg_depth, self.backfill.workers, self.backfill.min_blocks) < 1:
             raise ConfigError("depths, workers and sizes must be positive")
         return self

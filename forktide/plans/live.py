@@ -13,6 +13,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 
 from forktide.operators.transition import Batch, ChainState, CrossesFinalized, DepthExceeded, Event, Header, MissingParent, plan_transition, state_of
+from forktide.sources.rpc import RpcError
 
 from .snapshot import Store
 
@@ -49,8 +50,7 @@ class Tracker:
         """Bring the store to the source's head, or say why not; nothing is written when it halts."""
         report, head, at = Report(), self.source.head(), self.store.checkpoint()
         if self.verifier is not None:
-            other = self.verifier.header_at(head.height)
-            report.disagreements = int(other is not None and other.block_hash != head.block_hash)
+            report.disagreements = int(self._disagrees(head))
         if at is None:
             if self.start is None:
                 return Report("halted", "no checkpoint and no explicit start")
@@ -72,7 +72,7 @@ class Tracker:
             if at.block_hash != head.block_hash:
                 head = self.source.head()
                 finalized = None if self.finalized_depth is None else max(0, at.height - self.finalized_depth)
-                state = state_of(self.store.blocks(), at.height, self.max_depth, finalized)
+                state = state_of(self.store.blocks(at.height - self.max_depth - 1, at.height), at.height, self.max_depth, finalized)
                 batch = plan_transition(state, head, self.source.header_by_hash, self.max_depth)
                 if any(e.kind == "rollback" for e in batch.events):
                     report.applied.clear()
@@ -81,8 +81,16 @@ class Tracker:
             report.state, report.reason = "unavailable", f"{type(e).__name__}: {e}"
         return report
 
+    def _disagrees(self, head: Header) -> bool:
+        """Whether the verifier has another block there; one that can't be asked is a disagreement too, and no reason to stop."""
+        try:
+            other = self.verifier.header_at(head.height)
+        except (RpcError, OSError):
+            return True
+        return other is not None and other.block_hash != head.block_hash
+
     def _stored(self, height: int) -> Header | None:
-        row = self.store.blocks().where("is_canonical").where(f"height = {height}").select("block_hash", "parent_hash", "height").first()
+        row = self.store.blocks(height, height).where("is_canonical").select("block_hash", "parent_hash", "height").first()
         return Header(*row) if row else None
 
     def commit(self, batch: Batch, report: Report) -> None:

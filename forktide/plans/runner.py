@@ -1,4 +1,4 @@
-"""The live run over a node: a trigger, startup, budget, reconcile, verification and health.
+"""The live run over a node: a trigger, startup, reconcile, verification and health.
 
 The trigger is a streaming query whose micro-batches carry no data: at most one runs at a time, and what fires meanwhile is one
 wake-up, not many.  All state is in the store, so a restart begins where the last commit ended.
@@ -6,8 +6,6 @@ wake-up, not many.  All state is in the store, so a restart begins where the las
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -19,10 +17,11 @@ from forktide.operators.transition import MAX_DEPTH, CrossesFinalized, DepthExce
 from forktide.sources.rpc import BLOCKS, LOGS, Client, RpcError
 
 from .backfill import matched, store_rows, timed
+from .compaction import Compactor
 from .live import Report, Tracker, startup_batch
-from .ranges import COST, BackfillError, WindowBudget
-from .snapshot import Store, StoreError
-from .status import Health, Status
+from .ranges import BackfillError
+from .snapshot import Store, StoreBusy, StoreError
+from .status import Health, Series, Status
 
 
 @dataclass
@@ -68,12 +67,15 @@ class RpcSource:
 
 
 def recent_disagreements(store: Store, verifier, last: int) -> int:
-    """How many of the last committed headers the verifier has with another hash; a header that it lacks is none."""
+    """How many of the last committed headers the verifier has with another hash; a header that it lacks is none, a verifier that fails is one."""
     at = store.checkpoint()
     if at is None:
         return 0
-    rows = store.blocks().where("is_canonical").where(F.col("height").between(at.height - last + 1, at.height)).select("height", "block_hash").collect()  # ``last`` rows at most
-    theirs = {r["height"]: verifier.header_at(r["height"]) for r in rows}
+    rows = store.blocks(at.height - last + 1, at.height).where("is_canonical").select("height", "block_hash").collect()  # ``last`` rows at most
+    try:
+        theirs = {r["height"]: verifier.header_at(r["height"]) for r in rows}
+    except (RpcError, OSError):
+        return 1
     return sum(1 for r in rows if (other := theirs[r["height"]]) is not None and other.block_hash != r["block_hash"])
 
 
@@ -81,12 +83,12 @@ def recent_disagreements(store: Store, verifier, last: int) -> int:
 class Live:
     tracker: Tracker
     status: Status = field(default_factory=Status)
-    window: WindowBudget | None = None
     #: Committed headers that the verifier is asked for after each step.
     verify_last: int = 12
-    #: What a step costs at least: the head and the header behind it.
-    step_cost: int = 3 * COST["header"]
-    sleep: Callable[[float], None] = time.sleep
+    #: Does a piece of work on the store after each step.
+    compactor: Compactor | None = None
+    #: A table to which each step adds a row; see ``status.Series``.
+    series: Series | None = None
     started: bool = False
 
     @property
@@ -99,7 +101,7 @@ class Live:
         at = store.checkpoint()
         if at is not None:
             finalized = None if tracker.finalized_depth is None else max(0, at.height - tracker.finalized_depth)
-            state = state_of(store.blocks(), at.height, tracker.max_depth or MAX_DEPTH, finalized)
+            state = state_of(store.blocks(at.height - (tracker.max_depth or MAX_DEPTH) - 1, at.height), at.height, tracker.max_depth or MAX_DEPTH, finalized)
             batch = startup_batch(state, tracker.source, tracker.max_depth)
             if finalized is not None and batch.ancestor is not None and batch.ancestor.height < finalized:
                 raise CrossesFinalized(f"the source parts from the store at {batch.ancestor.height}, below the finalized {finalized}")
@@ -107,24 +109,36 @@ class Live:
         self.started = True
 
     def step(self) -> Report:
-        """One wake-up; an error of the source degrades the health, a broken chain stops it for good."""
+        """A step, its row in the series, and a piece of compaction."""
+        try:
+            report = self._step()
+        except Exception as e:
+            if self.series is not None:
+                self.series.add(self.status, Report("unavailable", f"{type(e).__name__}: {e}"))
+            raise
+        if self.series is not None:
+            self.series.add(self.status, report)
+        if self.compactor is not None and report.state == "ready":
+            self.compactor.step()
+        return report
+
+    def _step(self) -> Report:
+        """One wake-up.  An error of the node, or another writer at work, degrades the health and passes; a broken chain stops it for good."""
         if self.health.stopped:
             return Report("unavailable", self.health.reason)
-        if self.window is not None and (wait := self.window.wait(self.step_cost)):
-            self.sleep(wait)
         try:
             if not self.started:
                 self.start()
             report = self.tracker.reconcile()
-        except (DepthExceeded, CrossesFinalized, MissingParent, StoreError) as e:
-            report = Report("unavailable", f"{type(e).__name__}: {e}")
-        except (RpcError, OSError, BackfillError) as e:
+            if report.state not in ("unavailable", "halted"):
+                self._note(report)
+                return report
+        except (RpcError, OSError, BackfillError, StoreBusy) as e:
             self.health.set("degraded", str(e))
             return Report("degraded", str(e))
-        if report.state in ("unavailable", "halted"):
-            self.health.correctness_stop(report.reason)
-            return report
-        self._note(report)
+        except (DepthExceeded, CrossesFinalized, MissingParent, StoreError) as e:
+            report = Report("unavailable", f"{type(e).__name__}: {e}")
+        self.health.correctness_stop(report.reason)
         return report
 
     def _note(self, report: Report) -> None:
@@ -136,7 +150,7 @@ class Live:
         if self.tracker.verifier is not None:
             report.disagreements = max(report.disagreements, recent_disagreements(store, self.tracker.verifier, self.verify_last))
             s.disagreements = report.disagreements
-        left = journal.backlog(store.journal(), store.now()).first()
+        left = journal.backlog(store.pending(store.unpublished()).withColumn("published_at", F.lit(None).cast("timestamp")), store.now()).first()
         s.n_unpublished, s.oldest_age_s = left["n_unpublished"], left["oldest_age_s"]
         ready = report.state == "ready" and not s.disagreements and not s.gaps
         self.health.set("ready" if ready else "degraded", report.reason or ("the verifier disagrees" if s.disagreements else None))

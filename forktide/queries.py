@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -9,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forktide.functions import scalars
+from forktide.operators import ancestry, compare, decoder, journal, merge, transition
 from forktide.operators import canonical as can
-from forktide.operators import compare, decoder, journal, merge, transition
 from forktide.sources import fixtures as fx
+from forktide.streaming import dispatch
 from forktide.streaming import journal as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -311,18 +313,27 @@ CLASSES = ["rate_limited", "provider_limit", "timeout", "transient", "permanent"
 REQUEST = ["rate_limited", "provider_limit", "timeout", "transient", "transient", "provider_limit", "rate_limited", "timeout", "permanent"]
 
 
-@query("q35_error_classification", sql="SELECT * FROM (VALUES " + ", ".join(f"('{m}', '{c}', '{r}')" for m, c, r in zip(ERRORS, CLASSES, REQUEST)) + ") t(message, class, request_class)")
+CASES = (lambda values: "CASE event_id % " + str(len(values)) + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END")
+
+
+@query("q35_error_classification", "outbox_fx", sql=f"SELECT event_id, {CASES(ERRORS)} || ' #' || event_id AS message, {CASES(CLASSES)} AS class, {CASES(REQUEST)} AS request_class FROM outbox_fx")
 def q35(spark, d):
-    m = spark.createDataFrame([(e,) for e in ERRORS], "message string")
-    return m.select("message", scalars.error_class(F.col("message")).alias("class"), scalars.request_error_class(F.col("message")).alias("request_class"))
+    words = F.get(F.array(*map(F.lit, ERRORS)), (F.col("event_id") % len(ERRORS)).cast("int"))
+    m = fx.outbox(spark, d).select("event_id", F.concat(words, F.lit(" #"), F.col("event_id").cast("string")).alias("message"))
+    return m.select("event_id", "message", scalars.error_class(F.col("message")).alias("class"), scalars.request_error_class(F.col("message")).alias("request_class"))
 
 
-@query("q36_readiness", sql="SELECT c AS reconnect_ready, g AS gaps, m AS disagreements, c AND g = 0 AND m = 0 AS ready, CASE WHEN c AND g = 0 AND m = 0 THEN 'ready' WHEN c THEN 'degraded' ELSE 'unavailable' END AS state FROM (VALUES (true), (false)) a(c), (VALUES (0), (2)) b(g), (VALUES (0), (1)) d(m)")
+@query("q36_readiness", "outbox_fx", sql="""WITH g AS (SELECT event_id // 100 AS part, max(event_id) % 10 <> 8 AND count(*) FILTER (event_kind = 'rollback') % 2 = 0 AS c, count(*) FILTER (published_at IS NULL) % 3 AS g, count(*) FILTER (event_kind = 'rollback') % 5 // 4 AS m FROM outbox_fx GROUP BY 1)
+  SELECT part, c AS reconnect_ready, g AS gaps, m AS disagreements, c AND g = 0 AND m = 0 AS ready, CASE WHEN c AND g = 0 AND m = 0 THEN 'ready' WHEN c THEN 'degraded' ELSE 'unavailable' END AS state FROM g""")
 def q36(spark, d):
     from forktide.plans.status import readiness
 
-    rows = [(c, g, m) for c in (True, False) for g in (0, 2) for m in (0, 1)]
-    return readiness(spark.createDataFrame(rows, "reconnect_ready boolean, gaps int, disagreements int"))
+    rollbacks = F.count_if(F.col("event_kind") == "rollback")
+    gates = fx.outbox(spark, d).groupBy(F.floor(F.col("event_id") / 100).alias("part")).agg(
+        ((F.max("event_id") % 10 != 8) & (rollbacks % 2 == 0)).alias("reconnect_ready"), (F.count_if(F.col("published_at").isNull()) % 3).alias("gaps"),
+        F.floor(rollbacks % 5 / 4).alias("disagreements"),
+    )
+    return readiness(gates)
 
 
 @query("q37_log_merge_whole", "logs_fx", sql=f"WITH {OLD_WHOLE}, {NEW_WHOLE} {MERGED}")
@@ -435,14 +446,45 @@ def q45(spark, d):
     return can.stray_logs(can.canonical(fx.blocks(spark, d)), logs).select("block_number", "block_hash", "log_index")
 
 
+FIRSTS = "RECURSIVE up AS (SELECT block_hash AS child, height AS child_height, 0 AS depth, height, block_hash, parent_hash, is_canonical FROM blocks_fx WHERE NOT is_canonical UNION ALL SELECT u.child, u.child_height, u.depth + 1, p.height, p.block_hash, p.parent_hash, p.is_canonical FROM up u JOIN blocks_fx p ON p.block_hash = u.parent_hash AND p.height = u.height - 1 WHERE NOT u.is_canonical)"
+
+
+@query("q46_orphan_ancestors", "blocks_fx", sql=f"WITH {FIRSTS} SELECT child AS block_hash, child_height AS height, CAST(depth AS BIGINT) AS depth, block_hash AS ancestor_hash, height AS ancestor_height FROM up WHERE is_canonical")
+def q46(spark, d):
+    return ancestry.orphan_ancestors(fx.blocks(spark, d), tables_below(spark))
+
+
+def tables_below(spark):
+    """A function that writes a DataFrame as a table in a folder of its own and reads it."""
+    top = streams.scratch(spark)
+
+    def keep(df):
+        path = f"{top}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
+COMPARED = "block_number, block_hash, log_index, data"
+
+
+@query("q47_range_digest_diff", "logs_fx", sql=f"""WITH other AS (SELECT block_number, block_hash, log_index, CASE WHEN block_number % 900 = 3 THEN 'ff' ELSE data END AS data FROM logs_fx WHERE NOT (log_index = 1 AND block_number % 500 = 0) UNION ALL SELECT {COMPARED} FROM logs_fx WHERE block_number % 700 = 1),
+  n AS (SELECT {COMPARED}, sum(s) AS more FROM (SELECT {COMPARED}, 1 AS s FROM logs_fx UNION ALL SELECT {COMPARED}, -1 FROM other) GROUP BY ALL HAVING sum(s) <> 0) SELECT {COMPARED}, CAST(greatest(more, 0) AS BIGINT) AS only_a, CAST(greatest(-more, 0) AS BIGINT) AS only_b FROM n""")
+def q47(spark, d):
+    a = fx.logs(spark, d)
+    other = a.where("NOT (log_index = 1 AND block_number % 500 = 0)").withColumn("data", F.when(F.col("block_number") % 900 == 3, "ff").otherwise(F.col("data"))).unionByName(a.where("block_number % 700 = 1"))
+    return compare.differences(a, other, "block_number", COMPARED.split(", "))
+
+
 MESSAGE = "'{\"schema_version\":1,\"event_id\":' || event_id || ',\"chain_id\":\"5\",\"transition_kind\":\"' || event_kind || '\",\"block_height\":' || block_height || ',\"ordering\":' || event_id || ',\"payload\":' || CAST(to_json(payload) AS VARCHAR) || '}'"
 
 
-@query("stream_outbox_dispatch", "outbox_fx", sql=f"SELECT event_id, 'chain:5' AS key, {MESSAGE} AS value FROM outbox_fx WHERE published_at IS NULL")
+@query("stream_outbox_dispatch", "outbox_fx", sql=f"SELECT event_id, 'chain:5' AS key, {MESSAGE} AS value, 'event_id=' || event_id || ',schema_version=1' AS headers, true AS in_order FROM outbox_fx WHERE published_at IS NULL")
 def stream_outbox_dispatch(spark, d):
-    return streams.dispatch_once(spark, fx.outbox(spark, d))
+    return dispatch.dispatched_once(spark, fx.outbox(spark, d), streams.scratch(spark))
 
 
 @query("stream_dedup", "outbox_fx", "deliveries_fx", sql="SELECT DISTINCT event_id, event_kind, block_height FROM deliveries_fx")
 def stream_dedup(spark, d):
-    return streams.dedup_once(spark, fx.deliveries(spark, d))
+    return dispatch.deduplicated_once(spark, fx.deliveries(spark, d).select("event_id", "event_kind", "block_height"), streams.scratch(spark))

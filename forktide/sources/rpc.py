@@ -27,7 +27,7 @@ from pyspark.sql.datasource import (
 )
 
 from forktide.operators.transition import Header
-from forktide.plans.ranges import COST, LifetimeBudget, Retry, WindowBudget, plan_ranges
+from forktide.plans.ranges import COST, Allowance, LifetimeBudget, Retry, SharedBudget, WindowBudget, plan_ranges
 
 BLOCKS = "height bigint, block_hash string, parent_hash string, ts timestamp"
 LOGS = "block_number bigint, block_hash string, transaction_index int, log_index int, tx_hash string, address string, topics array<string>, data string"
@@ -68,9 +68,11 @@ class Client:
     url: str
     timeout: float = 30.0
     retry: Retry = Retry()
-    #: Both are paid before each attempt, so they hold for one process; a backfill keeps its own for all tasks.
+    #: All are paid before each attempt: the first two hold for one client, ``budget`` for all clients of a process, ``allowance`` is what a task was leased.
     lifetime: LifetimeBudget | None = None
     window: WindowBudget | None = None
+    budget: SharedBudget | None = None
+    allowance: Allowance | None = None
     requests: int = 0
     cost: int = 0
 
@@ -85,6 +87,10 @@ class Client:
         costs = ["logs" if m == "eth_getLogs" else "block" for m, _ in calls]
 
         def once():
+            if self.allowance is not None:
+                self.allowance.pay(len(costs), sum(COST[c] for c in costs))
+            if self.budget is not None:
+                self.budget.spend(len(costs), sum(COST[c] for c in costs))
             if self.window is not None and (wait := self.window.wait(sum(COST[c] for c in costs))):
                 time.sleep(wait)
             for c in costs:
@@ -99,6 +105,8 @@ class Client:
                 asked = e.headers.get("Retry-After", "")
                 e.retry_after = float(asked) if asked.isdigit() else None
                 raise
+            if isinstance(answers, dict):  # a batch that was refused as a whole
+                raise RpcError((answers.get("error") or {}).get("message", "the node answered a batch with one object"))
             by = {a["id"]: a for a in answers}
             for a in answers:
                 if a.get("error"):

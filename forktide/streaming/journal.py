@@ -30,11 +30,17 @@ def scratch(spark: SparkSession) -> str:
 BROKER = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.max.in.flight.requests.per.connection": "1", "includeHeaders": "true"}
 
 
-def broker_sink(servers: str, topic: str) -> Callable[[DataFrame], None]:
-    """A sink for ``dispatch`` and ``drain`` that writes to a broker; it needs Spark's Kafka connector on the class path."""
+def broker_options(servers: str, topic: str, timeout_seconds: float = 30.0) -> dict[str, str]:
+    """The connector's options; a request's own timeout must not be longer than the delivery's."""
+    timeout = max(2, int(timeout_seconds * 1000))
+    return BROKER | {"topic": topic, "kafka.bootstrap.servers": servers, "kafka.delivery.timeout.ms": str(timeout), "kafka.request.timeout.ms": str(timeout // 2), "kafka.linger.ms": "0"}
+
+
+def broker_sink(servers: str, topic: str, timeout_seconds: float = 30.0) -> Callable[[DataFrame], None]:
+    """A sink for a dispatcher that writes to a broker; it needs Spark's Kafka connector on the class path."""
 
     def write(messages_: DataFrame) -> None:
-        messages_.select("key", "value", "headers").write.format("kafka").options(**BROKER, topic=topic, **{"kafka.bootstrap.servers": servers}).save()
+        messages_.select("key", "value", "headers").write.format("kafka").options(**broker_options(servers, topic, timeout_seconds)).save()
 
     return write
 
@@ -89,26 +95,3 @@ def deliveries(raw: DataFrame) -> DataFrame:
     bad = F.raise_error(F.concat(F.lit("a delivery without an event id: "), F.substring("value", 1, 200))).cast("boolean")
     read = read.where(F.when(F.col("m.event_id").isNotNull(), True).otherwise(bad))
     return read.select("m.event_id", F.col("m.transition_kind").alias("event_kind"), "m.block_height", "m.payload")
-
-
-def _staged(df: DataFrame, path: str, max_files: int = 4) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", max_files).parquet(path)
-
-
-def dispatch_once(spark: SparkSession, outbox: DataFrame, chain_id: int = 5) -> DataFrame:
-    """Run a dispatch over a journal to its end and return what was published."""
-    top = scratch(spark)
-    stream = _staged(outbox, f"{top}/journal")
-    schema = "event_id bigint, key string, value string"
-    dispatch(
-        stream, chain_id, lambda m: m.drop("headers").write.mode("append").parquet(f"{top}/published"), lambda ids: ids.write.mode("append").parquet(f"{top}/marks"), f"{top}/checkpoint"
-    ).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{top}/published")
-
-
-def dedup_once(spark: SparkSession, deliveries: DataFrame) -> DataFrame:
-    top = scratch(spark)
-    stream = deduplicated(_staged(deliveries, f"{top}/deliveries")).select("event_id", "event_kind", "block_height")
-    stream.writeStream.format("parquet").option("path", f"{top}/out").option("checkpointLocation", f"{top}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("event_id bigint, event_kind string, block_height bigint").parquet(f"{top}/out")

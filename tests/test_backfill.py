@@ -6,7 +6,7 @@ from test_rpc import A, Node, block, log
 from forktide.operators.transition import Header
 from forktide.plans.backfill import Backfill
 from forktide.plans.live import Tracker
-from forktide.plans.ranges import BackfillError, LifetimeBudget, RangeSizer, Retry, WindowBudget
+from forktide.plans.ranges import BackfillError, LifetimeBudget, RangeSizer, Retry, SharedBudget
 from forktide.plans.runner import Live, RpcSource, recent_disagreements
 from forktide.plans.snapshot import Store
 from forktide.sources import rpc
@@ -70,7 +70,7 @@ def heights(store):
 
 
 def test_backfill_in_order_with_a_second_node(spark, store, node):
-    job = Backfill(store, node.url, 10, 75, workers=3, sizer=RangeSizer(8, 1, 16), retry=QUICK, lifetime=LifetimeBudget(500))
+    job = Backfill(store, node.url, 10, 75, workers=3, sizer=RangeSizer(8, 1, 16), retry=QUICK, budget=SharedBudget(1 << 60, lifetime=LifetimeBudget(500)))
     report = job.run()
     assert heights(store) == list(range(9, 76)) and store.checkpoint().height == 75
     assert (report.blocks, report.logs) == (66, 22) and report.requests == 1 + 66 + report.ranges and report.cost == 67 + 5 * report.ranges
@@ -118,11 +118,7 @@ def test_logs_of_another_branch_are_fetched_once_more(spark, store, node):
 
 def test_budgets_hold(spark, store, node):
     with pytest.raises(BackfillError, match="budget"):
-        Backfill(store, node.url, 0, 50, retry=QUICK, lifetime=LifetimeBudget(max_requests=20)).run()
-    waits = []
-    window = WindowBudget(limit=30, window=60.0, clock=lambda: 0.0)
-    Backfill(store, node.url, 0, 39, workers=2, sizer=RangeSizer(10, 1, 10), retry=QUICK, window=window, sleep=waits.append).run()
-    assert waits == [60.0]  # four ranges of cost 15, two a window
+        Backfill(store, node.url, 0, 50, retry=QUICK, budget=SharedBudget(1200, lifetime=LifetimeBudget(max_requests=20))).run()
     client = rpc.Client(node.url, retry=QUICK, lifetime=LifetimeBudget(max_cost=6))
     client.logs(0, 3)
     assert (client.requests, client.cost) == (1, 5)

@@ -137,9 +137,9 @@ def test_deliveries_are_checked(spark):
 
 
 def test_another_schema_is_refused(spark, store, monkeypatch):  # noqa: F811
-    from forktide.plans import snapshot
+    from forktide.plans import manifest
 
     advance(store, spark, MAIN[0], MAIN)
-    monkeypatch.setattr(snapshot, "SCHEMA_VERSION", 2)
+    monkeypatch.setattr(manifest, "SCHEMA_VERSION", 3)
     with pytest.raises(StoreError, match="schema"):
         store.checkpoint()

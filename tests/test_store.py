@@ -22,7 +22,7 @@ def header(v, parent):
 def rows(spark, headers):
     ts = datetime.datetime(2027, 1, 15)
     blocks = [(h.block_hash, h.parent_hash, h.height, ts, True, "unsafe", "observed") for h in headers]
-    logs = [(h.height, h.block_hash, 0, 0, "aa" * 32, "bb" * 20, "cc" * 32, "dd" * 32, h.block_hash[:2], None, None) for h in headers]
+    logs = [(h.height, h.block_hash, 0, 0, "aa" * 32, "bb" * 20, "cc" * 32, "dd" * 32, h.block_hash[:2], None, None, "ab" * 32, None) for h in headers]
     return spark.createDataFrame(blocks, BLOCKS), spark.createDataFrame(logs, LOGS)
 
 
