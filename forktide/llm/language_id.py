@@ -6,9 +6,10 @@ sets, |x & y| / sqrt(|x| |y|).  A bounded sample of labelled texts trains one-ve
 Nystrom features of landmark texts.  The decision function k(x, landmarks) . beta is linear in the presence vector of x,
 so the landmarks' presence vectors and beta are multiplied once, and a batch of texts is scored by one product of its presence matrix.
 
-Bounds: SAMPLE_ROWS labelled rows in all train the model, LANDMARKS of them are landmarks, and languages with less than LEAST_SHARE of
-the labelled rows are not learned, so there are 1 / LEAST_SHARE at most.  The sample's kernel rows are computed on executors; the driver
-gets the landmarks' sets (32 KB of bits each before compression) and LANDMARKS numbers for each row.  Every other step covers all rows.
+Every label is learned.  Bounds: SAMPLE_ROWS labelled rows in all train the model, or LEAST_ROWS of each language if that is more; LANDMARKS of them are
+landmarks, or one of each language up to MOST_LANDMARKS.  So the model grows with the number of languages and with nothing else; it is solved and
+applied in blocks of LANGUAGES.  The sample's kernel rows are computed on executors; the driver gets a count of each language, the landmarks' sets
+(32 KB of bits each before compression) and a number for each landmark and row.  Every other step covers all rows.
 
 Defined cases: a null text, or one without a letter, gets ``und`` and score 0, as does every text if no labelled row can be
 learned from; ties go to the language first by name; texts are read whole; rows that are alike get the same answer; a
@@ -33,15 +34,19 @@ SAMPLE_ROWS = 1600
 LANDMARKS = 200
 RIDGE = 1e-2
 FOLDS = 5
-#: Of the labelled rows, that a language needs to be learned.
-LEAST_SHARE = 0.01
+#: Of each language, if SAMPLE_ROWS are too few for so many.
+LEAST_ROWS = 10
+MOST_LANDMARKS = 1000
+#: Languages that are solved for and scored together.
+LANGUAGES = 64
 UNDETERMINED = "und"
 #: The stage's least share of a text's grams that some landmark has.  Unlearned scripts have 0.07 to 0.25 (the space, and hashes met
 #: by chance), 6,000 documents at sf0.1 have 0.82 or more.
 EVIDENCE = 0.5
-#: The stage's least score: every classifier's value is below -0.2, where 1 is its own language and -1 another.  At sf0.1 one document, a
-#: repeated shout, is below it; 0.45 would take ten, three of them labelled good.
-LEAST_SCORE = 0.4
+#: The stage's least score, where 0 is what a guess among the languages would have and 1 is certain.  With four languages it is a score of 0.4: every
+#: classifier's value is below -0.2, where 1 is its own language and -1 another.  At sf0.1 one document, a repeated shout, is below it; 0.45 would
+#: take ten, three of them labelled good.
+LEAST_EVIDENT = 0.2
 #: Texts of one presence matrix.
 SCORE_BATCH = 32
 
@@ -82,21 +87,22 @@ class Model:
     languages: list[str]
     #: Column of each gram in weights, -1 for grams of no landmark.
     column: np.ndarray
-    weights: np.ndarray
+    #: A matrix for each block of languages.
+    weights: list[np.ndarray]
 
     def score(self, texts: list[str | None], least: float = 0.0) -> tuple[list[str], list[float]]:
         """Texts of whose grams less than the share ``least`` is a landmark's count as undetermined."""
         labels, scores = [], []
         for at in range(0, len(texts), SCORE_BATCH):
             sets = [spectrum(t) for t in texts[at : at + SCORE_BATCH]]
-            presence = np.zeros((len(sets), self.weights.shape[0]), np.float32)
+            presence = np.zeros((len(sets), int(self.column.max(initial=-1)) + 1), np.float32)
             for i, (row, s) in enumerate(zip(presence, sets)):
                 c = self.column[s]
                 row[c[c >= 0]] = 1
                 if np.count_nonzero(c >= 0) < least * len(s):
                     sets[i] = s[:0]
             size = np.sqrt([max(1, len(s)) for s in sets])
-            value = (presence @ self.weights) / size[:, None]
+            value = np.concatenate([np.zeros((len(sets), 0)), *(presence @ w for w in self.weights)], 1) / size[:, None]
             for s, v in zip(sets, value):
                 best = int(np.argmax(v)) if len(v) and len(s) else -1
                 labels.append(self.languages[best] if best >= 0 else UNDETERMINED)
@@ -149,18 +155,21 @@ def fit(marks: Landmarks, near: np.ndarray, langs: list[str], ridge: float = RID
     """near: a row of kernels with the landmarks for each row of the sample, whose first rows are the landmarks."""
     languages = sorted(set(langs))
     if not languages:
-        return Model([], marks.column, np.zeros((marks.columns, 0), np.float32))
+        return Model([], marks.column, [])
     between = near[: len(marks.sizes)].astype(np.float64)
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])  # Nystrom: k(x, y) ~ f(x) . f(y) with f(x) = k(x, marks) root
     f = near.astype(np.float64) @ root
-    target = np.array([[1.0 if lang == x else -1.0 for x in languages] for lang in langs])
-    weight = np.array([1.0 / langs.count(x) for x in languages])[[languages.index(x) for x in langs]]  # each language counts alike
+    number = np.searchsorted(languages, langs)
+    weight = 1.0 / np.bincount(number)[number]  # each language counts alike
     weight *= len(langs) / weight.sum()
-    inner = f.T @ (f * weight[:, None])
-    beta = root @ np.linalg.solve(inner + ridge * len(langs) / len(between) * np.eye(len(inner)), f.T @ (target * weight[:, None]))
-    return Model(languages, marks.column, marks.times(beta))
+    inner = f.T @ (f * weight[:, None]) + ridge * len(langs) / len(between) * np.eye(f.shape[1])
+    weights = []
+    for low in range(0, len(languages), LANGUAGES):
+        target = np.where(number[:, None] == np.arange(low, min(low + LANGUAGES, len(languages))), 1.0, -1.0)
+        weights.append(marks.times(root @ np.linalg.solve(inner, f.T @ (target * weight[:, None]))))
+    return Model(languages, marks.column, weights)
 
 
 def fold(key: Column) -> Column:
@@ -174,10 +183,8 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """
     spark = docs.sparkSession
     known = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
-    counts = known.groupBy("lang").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    found = counts.where(F.col("count") >= LEAST_SHARE * total).collect()  # 1 / LEAST_SHARE rows at most
-    each = max(1, rows // max(1, len(found)))
+    found = known.groupBy("lang").count().collect()  # a row a language
+    each = max(LEAST_ROWS, rows // max(1, len(found)))
     bounds = [(r["lang"], int(-(2**63) + 2**64 * min(1 - 2**-40, (1.5 * each + 64) / r["count"]))) for r in found]
     first = known.join(F.broadcast(spark.createDataFrame(bounds, "lang string, bound long")), "lang").withColumn("hash", F.xxhash64("doc_id"))
     first = first.where((F.col("hash") <= F.col("bound")) & F.col("text").isNotNull())
@@ -198,6 +205,7 @@ def _grams(bits: bytes) -> np.ndarray:
 def train(sample: DataFrame, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """sample: the columns of training_sample; its first rows by turn and language are the landmarks."""
     sample, order = written(sample), ("turn", "lang", "doc_id")
+    landmarks = max(landmarks, min(MOST_LANDMARKS, sample.where("turn = 1").count()))  # the first row of each language comes first
     marks = map_arrow(sample.orderBy(*order).limit(landmarks), lambda r: {n: r[n] for n in order} | {"bits": [_bits(spectrum(t)) for t in r["text"]]}, "turn int, lang string, doc_id long, bits binary")
     sets = Landmarks.of([_grams(r["bits"]) for r in sorted(marks.collect(), key=lambda r: tuple(r[n] for n in order))])
     shared = sample.sparkSession.sparkContext.broadcast(sets)  # LANDMARKS sets of 2**18 grams at most
@@ -205,7 +213,7 @@ def train(sample: DataFrame, landmarks: int = LANDMARKS, ridge: float = RIDGE) -
     def f(r):
         return {n: r[n] for n in order} | {"near": [shared.value.kernel(spectrum(t)).tobytes() for t in r["text"]]}
 
-    rows = map_arrow(sample.repartition(partitions(sample.sparkSession)), f, "turn int, lang string, doc_id long, near binary").collect()  # SAMPLE_ROWS rows of LANDMARKS numbers at most
+    rows = map_arrow(sample.repartition(partitions(sample.sparkSession)), f, "turn int, lang string, doc_id long, near binary").collect()  # the sample's rows, a number for each landmark
     shared.destroy()
     rows.sort(key=lambda r: tuple(r[n] for n in order))
     near = np.array([np.frombuffer(r["near"], np.float32) for r in rows], np.float32).reshape(len(rows), len(sets.sizes))
@@ -214,7 +222,7 @@ def train(sample: DataFrame, landmarks: int = LANDMARKS, ridge: float = RIDGE) -
 
 def identify(docs: DataFrame, model: Model, keep: list[str] = ("doc_id",), least: float = 0.0) -> DataFrame:
     """The kept columns with lang_pred and score; text is the model's only input.  No kept column may have one of these two names."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 grams times 1 / LEAST_SHARE languages at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the landmarks' grams, 2**18 at most, times the languages
     kept = list(keep)
 
     def f(r):
@@ -232,11 +240,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: list[str] | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
-    """Documents stay as they are, but for those that go: null, without a letter, with too few of the landmarks' grams, with a score below
-    ``least_score``, or found to be in none of ``languages`` (None: every language that is learned)."""
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: list[str] | None = None, least_evident: float = LEAST_EVIDENT) -> DataFrame:
+    """Documents stay as they are, but for those that go: null, without a letter, with too few of the landmarks' grams, with a score that is too near
+    to a guess's, or found to be in none of ``languages`` (None: every language that is learned)."""
     bounded_batches(spark)
     plain, carried = numbered(docs)
-    found = identify(plain, train(training_sample(docs)), carried, EVIDENCE)
+    model = train(training_sample(docs))
+    guess = 1 / max(1, len(model.languages))
+    found = identify(plain, model, carried, EVIDENCE)
     wanted = F.col("lang_pred") != UNDETERMINED if languages is None else F.col("lang_pred").isin(languages)
-    return found.where(wanted & (F.col("score") >= least_score)).select(*carried).toDF(*docs.columns)
+    return found.where(wanted & (F.col("score") >= guess + least_evident * (1 - guess))).select(*carried).toDF(*docs.columns)
