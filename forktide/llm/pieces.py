@@ -10,6 +10,9 @@ commits there whatever stands around, and the stretch from one such commit to th
 remembers the ids of short stretches behind their commits; the streams of new ones run in step, those of one length together, with
 pieces found in a table of hashes.
 
+Scores are taken as whole numbers of 2 ** -SCALE, so sums are exact: neither where a stream begins or commits, nor what runs beside it,
+can change a sum or a tie.
+
 Characters without a piece become their UTF-8 bytes' pieces, at the lowest score less 10, as does U+2581 itself where the
 text has it; so decoding gives every text back.  Of equal sums the path whose last piece is longest wins.
 
@@ -38,6 +41,16 @@ CACHE_WORDS = 700_000
 #: Longer stretches are streamed each time they come.
 CACHE_LENGTH = 64
 TABLE_BITS = 17
+#: Binary places of a score that count; those of a vocabulary of ranks or of logarithms in single precision need fewer.
+SCALE = 20
+
+
+def exact(score: float) -> int:
+    return round(score * (1 << SCALE))
+
+
+#: Less than any sum.
+NONE = -(1 << 62)
 
 
 class PieceModel:
@@ -49,10 +62,10 @@ class PieceModel:
         special = {i for i in ids if m.is_control(i) or m.is_unknown(i) or m.is_unused(i)}
         self.bytes = {int(m.id_to_piece(i)[1:-1], 16): i for i in ids if m.is_byte(i)}
         self.text = {i: m.id_to_piece(i) for i in ids if i not in special and not m.is_byte(i)}
-        self.pieces = {p: (i, m.get_score(i)) for i, p in self.text.items()}
+        self.pieces = {p: (i, exact(m.get_score(i))) for i, p in self.text.items()}
         self.longest = max(map(len, self.pieces))
         self.prefixes = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
-        self.unknown = min(s for _, s in self.pieces.values()) - PENALTY
+        self.unknown = min(s for _, s in self.pieces.values()) - exact(PENALTY)
         self.byte_of = {i: b for b, i in self.bytes.items()}
         if len(self.bytes) != 256 or max(self.byte_of) - min(self.byte_of) != 255:
             raise ValueError("the model has no run of pieces for bytes")
@@ -77,7 +90,7 @@ class PieceModel:
         if len(set(hashes.tolist())) < len(names) or not hashes.all():
             raise ValueError("two pieces have one hash")
         self.slots = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.slot_id, self.slot_score, self.probes = np.zeros(len(self.slots), np.int32), np.zeros(len(self.slots)), 1
+        self.slot_id, self.slot_score, self.probes = np.zeros(len(self.slots), np.int32), np.zeros(len(self.slots), np.int64), 1
         for p, h in zip(names, hashes.tolist()):
             at, tries = h >> (64 - TABLE_BITS), 1
             while self.slots[at]:
@@ -112,10 +125,6 @@ class PieceModel:
         for i, w in enumerate(stretches):
             by_length.setdefault(len(w), []).append(i)
         for at in by_length.values():
-            if len(at) < 8:
-                for i in at:
-                    out[i] = array("I", [k for run in self.stream([self.signed(stretches[i])]) for k in run]).tobytes()
-                continue
             for low in range(0, len(at), 4096):
                 some = at[low : low + 4096]
                 for i, ids in zip(some, self._in_step([self.signed(stretches[i]) for i in some])):
@@ -130,14 +139,14 @@ class PieceModel:
         """
         n, length, reach = len(lanes), len(lanes[0]), self.longest
         codes = np.ascontiguousarray(np.frombuffer("".join(lanes).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T)
-        best, back, piece = {0: np.zeros(n)}, {}, {}
+        best, back, piece = {0: np.zeros(n, np.int64)}, {}, {}
         given = np.zeros(n, np.int64)
         out: list[list[int]] = [[] for _ in lanes]
         for s in range(length):
             h, base = np.zeros(n, np.uint64), best.pop(s)
             for end in range(s + 1, min(length, s + reach) + 1):
                 if end not in best:
-                    best[end], back[end], piece[end] = np.full(n, -np.inf), np.zeros(n, np.int32), np.full(n, -1, np.int32)
+                    best[end], back[end], piece[end] = np.full(n, NONE), np.zeros(n, np.int32), np.full(n, -1, np.int32)
                 h = self.step(h, codes[end - 1])
                 slot = self.find(h)
                 hit = np.flatnonzero(slot >= 0)
@@ -153,6 +162,8 @@ class PieceModel:
             if s + 1 == length:
                 self._give(lanes, out, given, np.full(n, length), back, piece)
             elif (s + 1) % reach == 0:
+                top = np.max(list(best.values()), 0)
+                best = {k: np.where(x > NONE, x - top, NONE) for k, x in best.items()}  # sums of a long stretch stay small
                 meet = self._meeting(best, back, given)
                 self._give(lanes, out, given, meet, back, piece)
                 given = meet
@@ -166,7 +177,7 @@ class PieceModel:
         low, high = int(given.min()), max(best)
         alive = np.zeros((high - low + 1, len(given)), bool)
         for k, score in best.items():
-            alive[k - low] = score > -np.inf
+            alive[k - low] = score > NONE
         left = alive.sum(0)
         for k in range(high, low, -1):
             lane = np.flatnonzero(alive[k - low] & (left > 1))
@@ -195,7 +206,7 @@ class PieceModel:
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (SIGN if char == LITERAL else char).encode("utf-8", "surrogatepass")]
 
-    def advance(self, window: str, best: list[float], back: list[tuple[int, int]], at: int, to: int) -> None:
+    def advance(self, window: str, best: list[int], back: list[tuple[int, int]], at: int, to: int) -> None:
         """Lead the paths that end at the positions from ``at`` to before ``to`` on by one piece each."""
         pieces, prefixes, n = self.pieces, self.prefixes, len(window)
         for start in range(at, to):
@@ -212,12 +223,12 @@ class PieceModel:
 
     def stream(self, blocks: Iterable[str]) -> Iterator[list[int]]:
         """Runs of final ids of the signed text, which comes in blocks, as soon as they are final."""
-        window, best, back, at = "", [0.0], [(0, -1)], 0
+        window, best, back, at = "", [0], [(0, -1)], 0
         for block in blocks:
             for cut in range(0, len(block), 4 * self.longest):
                 part = block[cut : cut + 4 * self.longest]
                 window += part
-                best += [float("-inf")] * len(part)
+                best += [NONE] * len(part)
                 back += [(0, -1)] * len(part)
                 to = max(at, len(window) - self.longest)  # a piece that begins here ends within the window
                 self.advance(window, best, back, at, to)
@@ -225,14 +236,14 @@ class PieceModel:
                 meet = self.boundary(best, back, at)
                 if meet:
                     yield self.path(window, back, meet)
-                    window, best, at = window[meet:], [b - best[meet] for b in best[meet:]], at - meet
+                    window, best, at = window[meet:], [b - best[meet] if b > NONE else NONE for b in best[meet:]], at - meet
                     back = [(max(0, s - meet), k) for s, k in back[meet:]]
         self.advance(window, best, back, at, len(window))
         yield self.path(window, back, len(window))
 
-    def boundary(self, best: list[float], back: list[tuple[int, int]], at: int) -> int:
+    def boundary(self, best: list[int], back: list[tuple[int, int]], at: int) -> int:
         """The last position that every surviving path passes; surviving are those that end at ``at`` or behind it."""
-        alive = {i for i in range(at, len(best)) if best[i] > float("-inf")}
+        alive = {i for i in range(at, len(best)) if best[i] > NONE}
         while len(alive) > 1:
             last = max(alive)
             alive.discard(last)
