@@ -13,9 +13,9 @@ single place in the corpus needs no look at its words.  The steps:
 3. the super-k-mers of those travel as one packed string each to their minimiser's bucket.  A task sends a string's words
    twice at most, however often it meets it: twice is enough to know that it is repeated;
 4. a bucket sorts the windows of its distinct strings and counts them: runs of equal ones are repeats.  A minimiser with more
-   than BUCKET distinct strings is salted: its bucket becomes as many as BUCKET windows each need, a string is cut into its windows, and equal windows go to
-   the same one by a hash of their words, again twice a task at most.  So a bucket is bounded, and what is sorted and
-   compared is whole words everywhere;
+   than BUCKET strings is dealt again: its strings are cut into super-k-mers of a second minimiser, by runs of LONG_GRAM words, and go to that one's
+   bucket, again twice a task at most.  Where even such a bucket is crowded, parts are cut into windows, which go by a hash of their words.  So a
+   bucket is bounded, and what is sorted and compared is whole words everywhere;
 5. each distinct string's repeated windows are a mask, which is joined to the string's places, and by text to the rows.
 
 Strings and windows are matched with the bucket's answers by 128-bit digests.  What is broadcast is a bitmap of 8 MB, which spares the
@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, bounded_batches, documents, gram_hashes, likely, map_arrow, numbered, word_hashes, words_of, written
 
 WINDOW = 35
-GRAM = 12
-#: Distinct strings of one bucket, about; a minimiser with more is salted.
+GRAM, LONG_GRAM = 12, 24
+#: Strings of one bucket; a minimiser with more is dealt again.
 BUCKET = 1024
 #: Digests that a task remembers to have sent, before it begins anew.
 REMEMBERED = 200_000
@@ -61,7 +61,7 @@ def first_minima(h: np.ndarray, width: int) -> np.ndarray:
     return index
 
 
-def super_kmers(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def super_kmers(texts: list[list[bytes]], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, minimiser, first window, number of windows) of each super-k-mer of some texts, given as words, in order."""
     long = [i for i, w in enumerate(texts) if len(w) >= WINDOW]
     if not long:
@@ -69,8 +69,8 @@ def super_kmers(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.nd
     sizes = np.array([len(texts[i]) for i in long])
     begins = np.cumsum(sizes) - sizes
     hashes = np.concatenate([word_hashes(texts[i]) for i in long])
-    grams = gram_hashes(hashes, GRAM)
-    place = first_minima(grams, WINDOW - GRAM + 1)
+    grams = gram_hashes(hashes, gram)
+    place = first_minima(grams, WINDOW - gram + 1)
     inside = np.ones(len(place), bool)  # windows that lie in one text
     for b in begins[1:]:
         inside[b - WINDOW + 1 : b] = False
@@ -206,31 +206,63 @@ def fetched(keyed: DataFrame, asked: DataFrame) -> DataFrame:
     return written(_task(joined, f, FETCHED))
 
 
-PIECES = "string_id binary, window int, minimiser long, salt int, piece_id binary, words binary"
+PARTS = "whole binary, at int, n int, minimiser long, salt long, piece_id binary, words binary"
 
 
-def salted(strings: DataFrame) -> DataFrame:
-    """Pieces of the strings of minimisers with more than BUCKET distinct ones: single windows; of the others the strings themselves."""
-    distinct = strings.select("minimiser", "string_id").distinct().groupBy("minimiser").agg(F.count("*").alias("n"))
-    sizes = distinct.select("minimiser", F.when(F.col("n") <= BUCKET, 1).otherwise(F.ceil(F.col("n") * (WINDOW - GRAM + 1) / BUCKET)).cast("int").alias("salts"))  # a string has so many windows at most
+def _parted(strings: DataFrame, cut) -> DataFrame:
+    """Parts of strings, each of which comes once.  cut(string, salts) gives (first window, windows, salt) of the parts of a string."""
 
     def f(batches):
         sent = Sent()
         for rows in batches:
             out = []
-            for minimiser, string_id, packed, salts in rows:
-                if salts == 1:
-                    out.append((string_id, None, minimiser, 0, string_id, packed))
-                    continue
-                for j, words in enumerate(windows_of(packed)):
-                    piece = digest(words)
-                    out.append((string_id, j, minimiser, int.from_bytes(piece[:4], "little") % salts, piece, words if sent.wanted(piece) else None))
+            for minimiser, whole, packed, salts in rows:
+                ends = [0]
+                for w in packed.split(b" "):
+                    ends.append(ends[-1] + len(w) + 1)
+                for at, n, salt in cut(packed, salts):
+                    words = packed[ends[at] : ends[at + n - 1 + WINDOW] - 1]
+                    part = digest(words)
+                    out.append((whole, at, n, minimiser, salt, part, words if sent.wanted(part + salt.to_bytes(8, "little", signed=True)) else None))
                 if len(out) >= 8192:
                     yield out
                     out = []
             yield out
 
-    return written(_task(strings.join(sizes, "minimiser").select("minimiser", "string_id", "packed", "salts"), f, PIECES))
+    return written(_task(strings.select("minimiser", "piece_id", "words", "salts"), f, PARTS))
+
+
+def _second_minimisers(packed: bytes, _: int) -> list[tuple[int, int, int]]:
+    _, minimiser, start, n = super_kmers([packed.split(b" ")], LONG_GRAM)
+    return list(zip(start.tolist(), n.tolist(), minimiser.tolist()))
+
+
+def _windows(packed: bytes, salts: int) -> list[tuple[int, int, int]]:
+    return [(j, 1, int.from_bytes(digest(words)[:6], "little") % salts) for j, words in enumerate(windows_of(packed))]
+
+
+def piece_masks(pieces: DataFrame, level: int = 0, sure: DataFrame | None = None) -> DataFrame:
+    """piece_id and mask of repeated windows of (minimiser, salt, piece_id, words), 0 left out.  Crowded buckets are dealt again: level 0 has super-k-mers, 1 those
+    of a second minimiser within them, 2 single windows.  sure: pieces of buckets that are known to be small."""
+    keys, more = ["minimiser", "salt"], None
+    few = pieces.select(*keys, "piece_id", "words")
+    if level < 2:
+        crowded = written(few.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > BUCKET).select(*keys, F.ceil(F.col("rows") * (WINDOW - GRAM + 1) / BUCKET).alias("salts")))
+        if not crowded.isEmpty():
+            more = _dealt_again(few.join(crowded, keys), level)
+            few = few.join(crowded, keys, "left_anti")
+    few = few if sure is None else few.unionByName(sure)
+    return bucket_masks(few) if more is None else bucket_masks(few).unionByName(more)
+
+
+def _dealt_again(crowded: DataFrame, level: int) -> DataFrame:
+    """Masks of whole pieces from those of their parts."""
+    own = written(crowded.groupBy("minimiser", "piece_id", "salts").agg(F.any_value("words").alias("words"), (F.count("*") > 1).alias("again")))
+    parts = _parted(own, _windows if level else _second_minimisers)
+    known = piece_masks(parts.where("words IS NOT NULL"), level + 1)
+    found = parts.select("whole", "at", "piece_id").join(known, "piece_id").select("whole", F.call_function("shiftleft", F.col("mask").cast("long"), F.col("at")).alias("mask"))
+    every = own.where("again").select(F.col("piece_id").alias("whole"), F.expr(f"shiftleft(1L, size(split(CAST(words AS STRING), ' ')) - {WINDOW - 1}) - 1").alias("mask"))
+    return found.unionByName(every).groupBy("whole").agg(F.bit_or("mask").cast("int").alias("mask")).withColumnRenamed("whole", "piece_id")
 
 
 def bucket_masks(pieces: DataFrame) -> DataFrame:
@@ -265,11 +297,9 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     texts = distinct_texts(keyed)
     found = fetched(keyed, repeated_minimisers(texts))
     strings = found.where("packed IS NOT NULL")
-    few = strings.where(F.col("places") <= BUCKET).select(F.col("string_id").alias("piece_id"), "minimiser", F.lit(0).alias("salt"), F.col("packed").alias("words"))
-    many = salted(strings.where(F.col("places") > BUCKET))
-    masks = written(bucket_masks(few.unionByName(many.where("words IS NOT NULL").select("piece_id", "minimiser", "salt", "words"))))
-    single = many.where("window IS NOT NULL").join(masks, "piece_id").groupBy("string_id").agg(F.bit_or(F.expr("shiftleft(1, window)")).alias("mask"))
-    of_strings = masks.withColumnRenamed("piece_id", "string_id").unionByName(single)  # a window's own digest is no string's of more windows
+    pieces = strings.select("minimiser", F.lit(0).cast("long").alias("salt"), F.col("string_id").alias("piece_id"), F.col("packed").alias("words"), "places")
+    few = pieces.where(F.col("places") <= BUCKET).drop("places")
+    of_strings = piece_masks(pieces.where(F.col("places") > BUCKET), sure=few).withColumnRenamed("piece_id", "string_id")
     hits = found.join(of_strings, "string_id").select("text_id", F.struct("start", "mask").alias("hit"))
     whole = texts.where("again").select("text_id", F.struct(F.lit(-1).alias("start"), F.lit(0).alias("mask")).alias("hit"))
     return written(hits.unionByName(whole).groupBy("text_id").agg(F.collect_list("hit").alias("hits")))
