@@ -25,7 +25,6 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,23 +35,17 @@ from .common import arrow_schema, bounded_batches, partitions, remove, shared_di
 
 MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": ("", "</s>"), "system": ("[SYS] ", " [/SYS]")}
 OTHER = ("[ROLE] ", " [TEXT] ", " [/ROLE]")
-SPECIAL = re.compile(r"[\\\[<]")
-ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-#: Text without an unescaped marker.
-FREE = r"((?:[^\\\[<]|\\.)*)"
-SEGMENT = re.compile(
-    rf"\[INST\] (?P<user>{FREE}) \[/INST\]|\[SYS\] (?P<system>{FREE}) \[/SYS\]|\[ROLE\] (?P<role>{FREE}) \[TEXT\] (?P<other>{FREE}) \[/ROLE\]|(?P<assistant>{FREE})</s>", re.DOTALL
-)
 PROBE = -7
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 
 
 def escape(text: str) -> str:
-    return SPECIAL.sub(r"\\\g<0>", text)
+    return text.replace("\\", r"\\").replace("[", r"\[").replace("<", r"\<")
 
 
 def unescape(text: str) -> str:
-    return ESCAPED.sub(r"\1", text)
+    """Runs of backslashes begin where an escape does, so pairs of them are those of backslashes in the text."""
+    return "\\".join(part.replace(r"\[", "[").replace(r"\<", "<") for part in text.split(r"\\"))
 
 
 def segment(role: str, text: str) -> tuple[str, int]:
@@ -64,16 +57,34 @@ def segment(role: str, text: str) -> tuple[str, int]:
     return before + escape(text) + after, len(before)
 
 
+def _end(formatted: str, at: int, marker: str) -> int:
+    """Where the next marker that is not escaped begins."""
+    found = formatted.find(marker, at)
+    while found >= 0:
+        before = found
+        while before > at and formatted[before - 1] == "\\":
+            before -= 1
+        if (found - before) % 2 == 0:
+            return found
+        found = formatted.find(marker, found + 1)
+    raise ValueError(f"the turn at character {at} has no end")
+
+
 def parse(formatted: str) -> Iterator[tuple[str, str, int, int]]:
-    """(role, text, start, end) of each turn; start and end are those of the escaped text."""
+    """(role, text, start, end) of each turn; start and end are those of the escaped text.  Nothing but the turns' own texts is held."""
     at = 0
     while at < len(formatted):
-        m = SEGMENT.match(formatted, at)
-        if not m:
-            raise ValueError(f"no turn begins at character {at}")
-        name = "other" if m["other"] is not None else next(k for k in MARKS if m[k] is not None)
-        yield unescape(m["role"]) if name == "other" else name, unescape(m[name]), *m.span(name)
-        at = m.end()
+        role, after = "assistant", MARKS["assistant"][1]
+        for name, (before, end) in MARKS.items():
+            if before and formatted.startswith(before, at):
+                role, after, at = name, end, at + len(before)
+        if formatted.startswith(OTHER[0], at) and role == "assistant":
+            begin = at + len(OTHER[0])
+            middle = _end(formatted, begin, OTHER[1])
+            role, after, at = unescape(formatted[begin:middle]), OTHER[2], middle + len(OTHER[1])
+        stop = _end(formatted, at, after)
+        yield role, unescape(formatted[at:stop]), at, stop
+        at = stop + len(after)
 
 
 FORMATTED = "conv_id long, position long, start long, formatted string, reply_start long, reply_end long"
