@@ -175,7 +175,8 @@ class Backfill:
             if r is None:
                 return None
             cost = len(r) * COST["block"] + COST["logs"]
-            units = min(self.budget.limit, (cost + max(COST["logs"], int(cost * SPARE))) << short) if short or cost <= self.budget.limit else cost
+            spare = max(COST["logs"], int(cost * SPARE), min(3 * cost, self.budget.limit // (2 * self.workers) - cost))  # where the window is wide, enough to ask for all again
+            units = min(self.budget.limit, (cost + spare) << short) if cost <= self.budget.limit else cost
             lease = self.budget.try_lease(units, len(r) + 1)
             if lease is None:
                 pause = self.budget.wait()
