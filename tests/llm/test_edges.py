@@ -1,5 +1,6 @@
 """Every operator and stage on nulls, repeated rows, clashing names, empty tables and a text of some megabytes."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -7,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from test_llm_operators import plain_components, plain_counts, plain_removal, plain_sets
+from test_resampling import plain_draw
 from test_token_operators import BYTE, WORD, crc, plain
 
 import corpus_pipeline
@@ -34,6 +36,7 @@ def edge_dir(spark, tmp_path_factory):
     rows = [(d, t, None if i % 3 else "en", "s", None, *["clash"] * len(CLASHES.split())) for i, (d, t) in enumerate(edge_rows())]
     schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", `{c}` string" for c in CLASHES.split())
     spark.createDataFrame(rows, schema).coalesce(2).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "wort the palabra"), (2, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     return path
 
 
@@ -72,6 +75,17 @@ def test_every_row_is_answered(spark, edge_dir, name):
     if name == "op9_language_id":
         assert all((r["lang_pred"] == "und") == (t is None or not any(c.isalpha() for c in t)) for r in out for d, t in edge_rows() if d == r["doc_id"] and d in (3, 4, 5, 6, 7))
         assert all(r["held_out"] == (zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 5 == 0) for r in out)
+    if name == "op11_importance_resampling":
+        want, drawn = plain_draw(edge_rows(), ["wort the palabra", None])
+        assert Counter((r["doc_id"], r["n_features"], r["weight"], r["score"]) for r in out) == want and sorted(r["rank"] for r in out if r["rank"]) == [r[4] for r in drawn]
+    if name == "op12_suffix_dedup":
+        by = {r["doc_id"]: r for r in out}
+        assert (by[7]["n_removed"], by[7]["n_spans"]) == (1_999_999, 1) and by[6]["n_removed"] == 0 and by[1]["n_removed"] == by[1]["n_bytes"]
+        kept = [r["n_removed"] for r in out if r["doc_id"] is None and r["n_bytes"] > 100]
+        assert sorted(kept) == [0, len(edge_rows()[0][1])]
+    if name == "op13_fill_in_middle":
+        plain_ = {hashlib.sha256((t or "").encode()).hexdigest() for _, t in edge_rows()}
+        assert {r["restored_sha256"] for r in out} == plain_ and all(r["form"] == "plain" for r in out if r["n"] == 0)
     if name == "op1_near_dedup":
         assert all(r["component_id"] == r["doc_id"] and r["kept"] == (r["doc_id"] is not None) for r in out)
 
