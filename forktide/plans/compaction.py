@@ -29,6 +29,8 @@ FOLD_SHARE = 0.25
 FOLD_COMMITS = 64
 #: Ids of a journal's segment that grows no further.
 SEGMENT_IDS = 1 << 16
+#: Pieces of work after which files that no one can read any more are removed.
+VACUUM_EVERY = 64
 
 
 def tier(size: int) -> int:
@@ -146,6 +148,8 @@ class Compactor:
                 return None
             self.store.publish(now, lease)
         self.done.append((kind, parts, rows))
+        if len(self.done) % VACUUM_EVERY == 0:
+            vacuum(self.store)
         return kind
 
 
@@ -186,7 +190,7 @@ def vacuum(store: Store, older: datetime.timedelta = datetime.timedelta(hours=1)
     least, gone = (datetime.datetime.now() - older).timestamp() * 1000, []
     for s in store.files.fs.listStatus(store.files.at(store.path)):
         name = s.getPath().getName()
-        if s.isDirectory() and name != "manifests" and name not in wanted and s.getModificationTime() < least:
+        if s.isDirectory() and name not in ("manifests", "leases") and name not in wanted and s.getModificationTime() < least:
             store.files.remove(f"{store.path}/{name}")
             gone.append(name)
     return sorted(gone)

@@ -190,14 +190,15 @@ class Lease:
     def __enter__(self) -> Lease:
         owner, until, last = uuid.uuid4().hex, self.clock() + self.patience, 0
         while True:
-            last = max(last, *(int(n.removeprefix(".gone-")) for n in self.files.names(self.files.path) if n.startswith(".gone-")), 0)
+            last = max([last, *(int(n) for n in self.files.names(f"{self.files.path}/leases"))])
             self.token = last + 1
             if self.files.make(self.path, json.dumps({"token": self.token, "owner": owner, "expires": self.clock() + self.seconds})):
                 self.owner = owner
                 return self
             found = self._found()
             if found and found["expires"] < self.clock():
-                if self.files.move(self.path, f"{self.files.path}/.gone-{found['token']}"):
+                self.files.fs.mkdirs(self.files.at(f"{self.files.path}/leases"))
+                if self.files.move(self.path, f"{self.files.path}/leases/{found['token']}"):
                     last = found["token"]
                 continue
             if self.clock() >= until:

@@ -104,7 +104,7 @@ def test_a_commit_writes_its_own_rows_alone(spark, store):  # noqa: F811
 
 
 def folders(s):
-    return {os.path.join(s.path, n) for n in os.listdir(s.path) if os.path.isdir(os.path.join(s.path, n)) and n != "manifests"}
+    return {os.path.join(s.path, n) for n in os.listdir(s.path) if os.path.isdir(os.path.join(s.path, n)) and n not in ("manifests", "leases")}
 
 
 def folder_size(path):
