@@ -41,6 +41,8 @@ CACHE_WORDS = 700_000
 #: Longer stretches are streamed each time they come.
 CACHE_LENGTH = 64
 TABLE_BITS = 17
+#: Streams of one length that are worth a step together; fewer go one by one, to the same ids.
+LANES = 8
 #: Binary places of a score that count; those of a vocabulary of ranks or of logarithms in single precision need fewer.
 SCALE = 20
 
@@ -125,6 +127,10 @@ class PieceModel:
         for i, w in enumerate(stretches):
             by_length.setdefault(len(w), []).append(i)
         for at in by_length.values():
+            if len(at) < LANES:  # alone or in step, the sums are the same whole numbers
+                for i in at:
+                    out[i] = array("I", [k for run in self.stream([self.signed(stretches[i])]) for k in run]).tobytes()
+                continue
             for low in range(0, len(at), 4096):
                 some = at[low : low + 4096]
                 for i, ids in zip(some, self._in_step([self.signed(stretches[i]) for i in some])):
