@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -145,22 +146,25 @@ STATE_KEYS = 16
 SEEN = "upto long, beyond array<long>"
 
 
+def _seen(upto: int, low: np.ndarray, high: np.ndarray, ids: np.ndarray, step: int) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """(which of the distinct, ascending ids are new, and the state after them).  Ranges are disjoint and in order, so an id is looked up by bisection."""
+    at = np.searchsorted(low, ids, "right")
+    new = (ids > upto) & (ids > np.concatenate([[upto], high])[at])
+    lows, highs = np.concatenate([low, ids[new]]), np.concatenate([high, ids[new]])
+    order = np.argsort(lows, kind="stable")
+    lows, highs = lows[order], highs[order]
+    apart = lows[1:] > highs[:-1] + step
+    lows, highs = lows[np.concatenate([[True], apart])[: len(lows)]], highs[np.concatenate([apart, [True]])[: len(highs)]]
+    if len(lows) and lows[0] <= upto + step:
+        upto, lows, highs = int(highs[0]), lows[1:], highs[1:]
+    return new, upto, lows, highs
+
+
 def first_seen(upto: int, beyond: list[int], ids: list[int], step: int = 1) -> tuple[list[int], int, list[int]]:
     """(the ids that are new, in order, and the state after them).  Seen are all ids up to ``upto`` and the ranges in ``beyond`` (low, high, low, high...)."""
-    new, spans = [], [list(x) for x in zip(beyond[::2], beyond[1::2])]
-    for i in sorted(set(ids)):
-        if i <= upto or any(low <= i <= high for low, high in spans):
-            continue
-        new.append(i)
-    merged: list[list[int]] = []
-    for low, high in sorted([*spans, *([i, i] for i in new)]):
-        if merged and low <= merged[-1][1] + step:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    if merged and merged[0][0] <= upto + step:
-        upto = merged.pop(0)[1]
-    return new, upto, [x for span in merged for x in span]
+    spans, distinct = np.asarray(beyond, np.int64).reshape(-1, 2), np.unique(np.asarray(ids, np.int64))
+    new, upto, low, high = _seen(upto, spans[:, 0], spans[:, 1], distinct, step)
+    return distinct[new].tolist(), upto, np.stack([low, high], 1).ravel().tolist()
 
 
 def deduplicated_bounded(deliveries: DataFrame, first_id: int = 0) -> DataFrame:
@@ -172,11 +176,13 @@ def deduplicated_bounded(deliveries: DataFrame, first_id: int = 0) -> DataFrame:
     def f(key: tuple[int], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         low = first_id + (key[0] - first_id) % STATE_KEYS
         upto, beyond = state.get if state.exists else (low - STATE_KEYS, [])
+        spans = np.asarray(beyond, np.int64).reshape(-1, 2)
+        low, high = spans[:, 0], spans[:, 1]
         for rows in parts:
-            rows = rows.drop_duplicates("event_id")
-            new, upto, beyond = first_seen(upto, list(beyond), rows["event_id"].tolist(), STATE_KEYS)
-            yield rows[rows["event_id"].isin(new)][columns]
-        state.update((upto, beyond))
+            ids, first = np.unique(rows["event_id"].to_numpy(), return_index=True)
+            new, upto, low, high = _seen(upto, low, high, ids, STATE_KEYS)
+            yield rows.iloc[np.sort(first[new])][columns]
+        state.update((upto, np.stack([low, high], 1).ravel().tolist()))
 
     keyed = deliveries.withColumn("_key", F.pmod("event_id", F.lit(STATE_KEYS)).cast("int"))
     return keyed.groupBy("_key").applyInPandasWithState(f, out_schema, SEEN, "append", GroupStateTimeout.NoTimeout)

@@ -288,6 +288,19 @@ def test_the_state_of_a_dedup_does_not_grow(spark, tmp_path):
     assert got == sorted({(i, f"p{i}") for i, _ in rows})
 
 
+def test_a_dedup_of_many_single_ids_takes_no_square_of_them():
+    ids, upto, beyond, seen = list(range(0, 420_000, 7)), -1, [], []
+    random.Random(2).shuffle(ids)
+    began = time.perf_counter()
+    for at in range(0, 60_000, 10_000):
+        new, upto, beyond = first_seen(upto, beyond, ids[at : at + 10_000])
+        seen += new
+    assert sorted(seen) == sorted(ids) and upto == 0 and beyond == [x for i in sorted(ids)[1:] for x in (i, i)]
+    new, upto, beyond = first_seen(upto, beyond, [*range(420_000), *ids])
+    assert new == [i for i in range(420_000) if i % 7] and (upto, beyond) == (419_999, []) and first_seen(upto, [], []) == ([], upto, [])
+    assert time.perf_counter() - began < 5
+
+
 def test_settings_of_the_broker(tmp_path):
     options = broker_options("a:1,b:2", "t", 12.0)
     assert options["kafka.delivery.timeout.ms"] == "12000" and int(options["kafka.request.timeout.ms"]) < 12000 and options["kafka.acks"] == "all"
