@@ -52,7 +52,7 @@ class StoreJournal:
 
 @dataclass
 class FolderJournal:
-    """A journal that another system wrote, staged by ranges of ids: a folder ``ids=n`` for each ``span`` ids; the position is a file beside it."""
+    """What waits in a journal that another system wrote, staged by ranges of ids: a folder ``ids=n`` for each ``span`` ids; the position is a file beside it."""
 
     spark: SparkSession
     path: str
@@ -61,7 +61,8 @@ class FolderJournal:
 
     @classmethod
     def staged(cls, journal: DataFrame, path: str, span: int) -> FolderJournal:
-        journal.withColumn("ids", F.floor(F.col("event_id") / span)).repartition("ids").sortWithinPartitions("ids", "event_id").write.partitionBy("ids").parquet(path)
+        waiting = journal.where("published_at IS NULL")  # what was published is not read again
+        waiting.withColumn("ids", F.floor(F.col("event_id") / span)).repartition("ids").sortWithinPartitions("ids", "event_id").write.partitionBy("ids").parquet(path)
         return cls(journal.sparkSession, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in journal.schema), span)
 
     def __post_init__(self):
@@ -124,8 +125,11 @@ class Dispatcher:
         return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
 
 
-def dispatched_once(spark: SparkSession, outbox: DataFrame, path: str, chain_id: int = 5, span: int = 1 << 14) -> DataFrame:
-    """Dispatch a journal to its end, a file a part; what was published, and whether it came after all smaller ids (in_order)."""
+def dispatched_once(spark: SparkSession, outbox: DataFrame, path: str, chain_id: int = 5, span: int = 1 << 17, ids: int = 1 << 20) -> DataFrame:
+    """Dispatch a journal to its end, a file a part; what was published, and whether it came after all smaller ids (in_order).
+
+    A part is a job of its own behind the one before, so it takes many ids: its rows are streamed and sorted by one task, which may spill.
+    """
     journal, turn = FolderJournal.staged(outbox, f"{path}/journal", span), iter(range(1 << 62))
 
     def sink(part: DataFrame) -> None:
@@ -133,7 +137,7 @@ def dispatched_once(spark: SparkSession, outbox: DataFrame, path: str, chain_id:
         row = F.monotonically_increasing_id()  # of one partition: the place in the part
         part.select("event_id", "key", "value", header.alias("headers"), row.alias("row")).withColumn("part", F.lit(next(turn))).write.mode("append").parquet(f"{path}/published")
 
-    Dispatcher(journal, chain_id, sink, span).drain()
+    Dispatcher(journal, chain_id, sink, ids).drain()
     out = spark.read.schema("event_id bigint, key string, value string, headers string, row bigint, part int").parquet(f"{path}/published")
     tops = out.groupBy("part").agg(F.max("event_id").alias("top"))  # a row a part
     before = tops.select("part", F.max("top").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))

@@ -19,7 +19,7 @@ from forktide.plans.runner import RpcSource
 from forktide.plans.snapshot import Store, StoreError
 from forktide.plans.status import QueryMetrics, Series
 from forktide.sources import rpc
-from forktide.streaming.dispatch import Dispatcher, FolderJournal, StoreJournal, deduplicated_bounded, first_seen
+from forktide.streaming.dispatch import Dispatcher, FolderJournal, StoreJournal, deduplicated_bounded, dispatched_once, first_seen
 from forktide.streaming.journal import broker_options
 
 COST = {"eth_getLogs": 5}
@@ -269,6 +269,16 @@ def test_a_folder_of_segments_in_any_order(spark, tmp_path):
     assert FolderJournal(spark, j.path, j.schema, 8).waiting() == []
 
 
+def test_a_part_of_a_dispatch_takes_many_ids(spark, tmp_path):
+    journal = spark.range(300_000).selectExpr("id AS event_id", "'apply' AS event_kind", "id AS block_height", "CASE WHEN id % 100 > 0 THEN '2027-01-01' END AS published_at", "'{}' AS payload")
+    out = dispatched_once(spark, journal, str(tmp_path)).select("event_id", "in_order").collect()
+    assert sorted(r["event_id"] for r in out) == list(range(0, 300_000, 100)) and all(r["in_order"] for r in out)
+    assert spark.read.parquet(str(tmp_path / "published")).select("part").distinct().count() == 1
+    again = dispatched_once(spark, journal, str(tmp_path / "small"), span=1 << 13, ids=1 << 15).collect()
+    assert len(again) == 3000 and all(r["in_order"] for r in again)
+    assert spark.read.parquet(str(tmp_path / "small" / "published")).select("part").distinct().count() == 10
+
+
 def test_the_state_of_a_dedup_does_not_grow(spark, tmp_path):
     upto, beyond, seen, rnd = -1, [], [], random.Random(3)
     ids = list(range(20_000))
