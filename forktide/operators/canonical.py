@@ -6,7 +6,7 @@ addresses reach the scan, and Spark picks the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOG_ORDER = ("block_number", "transaction_index", "log_index")
@@ -26,12 +26,21 @@ def in_heights(df: DataFrame, low: int, high: int, column: str = "height") -> Da
 
 
 def canonical_logs(logs: DataFrame, blocks: DataFrame, low: int | None = None, high: int | None = None, address: str | None = None) -> DataFrame:
-    """Logs of canonical blocks; the optional bounds go to both scans."""
+    """Logs of canonical blocks; the optional bounds go to both scans.
+
+    A block's hash fixes its height, and the join is on the height alone, at which few blocks stand: logs that are partitioned by height stay where they are.
+    """
     if low is not None:
         logs, blocks = in_heights(logs, low, high, "block_number"), in_heights(blocks, low, high)
     if address is not None:
         logs = logs.where(F.col("address") == address)
-    return logs.join(canonical(blocks).select("block_hash"), "block_hash").select(*logs.columns)
+    held = canonical(blocks).select(F.col("height").alias("_height"), F.col("block_hash").alias("_hash"))
+    return logs.join(held, (F.col("block_number") == F.col("_height")) & same_block("block_hash", "_hash")).select(*logs.columns)
+
+
+def same_block(a: str, b: str) -> Column:
+    """Equality that a join does not take for one of its keys, so it moves no rows by it."""
+    return F.col(a).between(F.col(b), F.col(b))
 
 
 def with_topic0(logs: DataFrame, topic: str) -> DataFrame:
@@ -148,10 +157,10 @@ def stray_logs(blocks: DataFrame, logs: DataFrame) -> DataFrame:
     return off.join(blocks.select(F.col("height").alias("block_number")), "block_number", "left_semi")
 
 
-def normalised(logs: DataFrame) -> DataFrame:
-    """The six fields by which logs of two sources are compared, as prefixed hex."""
+def normalised(logs: DataFrame, *more: str) -> DataFrame:
+    """The six fields by which logs of two sources are compared, as prefixed hex; ``more`` columns stay as they are."""
     from forktide.functions.scalars import prefixed
 
     hexed = {c: prefixed(F.col(c)) for c in ("block_hash", "tx_hash", "address", "data")}
     topics = F.concat_ws(",", prefixed(F.col("topic0")), prefixed(F.col("topic1")))
-    return logs.select(hexed["block_hash"].alias("block_hash"), hexed["tx_hash"].alias("tx_hash"), "log_index", hexed["address"].alias("address"), topics.alias("topics"), hexed["data"].alias("data"))
+    return logs.select(hexed["block_hash"].alias("block_hash"), hexed["tx_hash"].alias("tx_hash"), "log_index", hexed["address"].alias("address"), topics.alias("topics"), hexed["data"].alias("data"), *more)
