@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .canonical import same_block
+
 PAYLOAD_VERSION = 1
 #: What a payload says of a log; they are in order by the first two.
 PAYLOAD_LOG = ("transaction_index", "log_index", "tx_hash", "address", "topic0", "topic1", "topic2", "topic3", "data")
@@ -73,11 +75,15 @@ def messages(outbox: DataFrame, chain_id: int) -> DataFrame:
 
 
 def payloads(events: DataFrame, logs: DataFrame) -> DataFrame:
-    """Journal payloads: an apply carries its logs in order, a rollback an empty list and no status."""
+    """Journal payloads: an apply carries its logs in order, a rollback an empty list and no status.
+
+    Logs are grouped and joined by height, which a block's hash fixes: those that are partitioned by height stay where they are.
+    """
     from pyspark.sql.functions import array_sort, collect_list, struct
 
-    grouped = logs.groupBy("block_hash").agg(array_sort(collect_list(struct(*(c for c in PAYLOAD_LOG if c in logs.columns)))).alias("logs"))
-    both = events.join(grouped, "block_hash", "left")
+    at = [F.col("block_number").alias("_height"), F.col("block_hash").alias("_hash")]
+    grouped = logs.groupBy(*at).agg(array_sort(collect_list(struct(*(c for c in PAYLOAD_LOG if c in logs.columns)))).alias("logs"))
+    both = events.join(grouped, (F.col("height") == F.col("_height")) & same_block("block_hash", "_hash"), "left")
     empty = F.array().cast(grouped.schema["logs"].dataType)
     applied = F.col("event_kind") == "apply"
     body = struct(

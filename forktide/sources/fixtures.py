@@ -55,14 +55,16 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BLOCKS.replace(" FROM orders", " FROM {orders}"), orders=_read(spark, sf_dir, "orders"))
 
 
-def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_rows(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
     """The rows of ``LOGS`` by their numbers, before their texts, which take ten times the room; partitioned by height.
 
-    The table is shuffled once for both branches.  The partitions are as many as set: merged by their size here, they would be too large with texts.
+    The table is shuffled once for both branches.  With ``even`` the partitions are as many as set: merged by their size here, they would be too large
+    where texts are sorted.
     """
-    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    dealt = _read(spark, sf_dir, "lineitem").select(*columns).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
-    return spark.sql(LOG_ROWS, lineitem=dealt)
+    rows = _read(spark, sf_dir, "lineitem")
+    if even:
+        rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    return spark.sql(LOG_ROWS, lineitem=rows)
 
 
 def with_texts(rows: DataFrame) -> DataFrame:
@@ -70,8 +72,8 @@ def with_texts(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(*LOG_TEXTS)
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_texts(log_rows(spark, sf_dir))
+def logs(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+    return with_texts(log_rows(spark, sf_dir, even))
 
 
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
