@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .compare import row_digest
+
 
 def effective_events(batch: DataFrame, blocks: DataFrame) -> DataFrame:
     """The events that change a flag.  A rollback of a block that is not stored and not applied before is an error."""
@@ -40,17 +42,22 @@ RAW = ("block_number", "transaction_index", "tx_hash", "address", "topic0", "top
 
 def merge_logs(logs: DataFrame, new: DataFrame) -> DataFrame:
     """logs after new ones by (block_hash, log_index): raw fields are never overwritten; a decode is replaced only if
-    all raw fields are equal, and then only by one that exists."""
-    key, raw = ["block_hash", "log_index"], [c for c in RAW if c in logs.columns]
-    fresh = new.select(*key, *(F.col(c).alias(f"new_{c}") for c in new.columns if c not in key), F.lit(True).alias("is_new"))
-    both = logs.withColumn("is_old", F.lit(True)).join(fresh, key, "full")
-    same = F.lit(True)
-    for c in raw:
-        same = same & F.col(c).eqNullSafe(F.col(f"new_{c}"))
-    out = {c: F.when(F.col("is_old"), F.col(c)).otherwise(F.col(f"new_{c}")) for c in raw}
-    for c in ("decoded_event", "decoder_version"):
-        out[c] = F.when(F.col("is_old").isNull(), F.col(f"new_{c}")).when(same, F.coalesce(F.col(f"new_{c}"), F.col(c))).otherwise(F.col(c))
-    return both.select(*(out[c].alias(c) if c in out else F.col(c) for c in logs.columns))
+    all raw fields are equal, and then only by one that exists.  A key stands once in the new ones.
+
+    Both sides are laid together and meet in a window of the key and its block's height, so what is partitioned by height stays where it is.
+    Raw fields are compared by digests of 128 bits.
+    """
+    key, raw, decode = ["block_hash", "log_index"], [c for c in RAW if c in logs.columns], ["decoded_event", "decoder_version"]
+    taken = {*key, *raw, *decode}
+    h1, h2 = row_digest(raw)
+    own = {c: F.col(c) if c in taken else F.lit(None).cast(logs.schema[c].dataType) for c in logs.columns}
+    sides = logs.withColumns({"_h1": h1, "_h2": h2, "_old": F.lit(True)}).unionAll(new.select(*(x.alias(c) for c, x in own.items()), h1, h2, F.lit(False)))
+    one = Window.partitionBy(*(c for c in ("block_number",) if c in raw), *key)
+    fresh = F.when(~F.col("_old"), F.struct("_h1", "_h2", *decode))
+    both = sides.withColumns({"_new": F.max(fresh).over(one), "_known": F.max("_old").over(one)}).where("_old OR NOT _known")
+    same = F.col("_old") & (F.col("_h1") == F.col("_new._h1")) & (F.col("_h2") == F.col("_new._h2"))
+    out = {c: F.when(same, F.coalesce(F.col(f"_new.{c}"), F.col(c))).otherwise(F.col(c)).alias(c) for c in decode}
+    return both.select(*(out.get(c, F.col(c)) for c in logs.columns))
 
 
 def changed_decodes(old: DataFrame, new: DataFrame) -> DataFrame:
