@@ -55,32 +55,28 @@ def payload_mismatches(events: DataFrame, payloads: DataFrame) -> DataFrame:
     return both.select("block_hash", F.when(F.col("p").isNull(), "missing").otherwise("surplus").alias("problem"))
 
 
-def _digests(rows: DataFrame, bucket: Column, columns: list[str]) -> DataFrame:
-    """Of each bucket of rows, in any order: how many, and sums of two hashes of 64 bits in halves, which do not overflow."""
-    hashes = [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
-    halves = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
-    return rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), *(F.sum(x).alias(f"h{i}") for i, x in enumerate(halves)))
-
-
 def differing_buckets(a: DataFrame, b: DataFrame, span: int, height: str, columns: list[str]) -> DataFrame:
-    """Buckets of ``span`` heights whose rows are not the same multiset.  Only digests are shuffled."""
-    bucket = F.floor(F.col(height) / span)
-    left, right = _digests(a, bucket, columns), _digests(b, bucket, columns).withColumnsRenamed({c: f"b_{c}" for c in ("n", "h0", "h1", "h2", "h3")})
-    equal = F.lit(True)
-    for c in ("n", "h0", "h1", "h2", "h3"):
-        equal = equal & F.col(c).eqNullSafe(F.col(f"b_{c}"))
-    return left.join(right, "bucket", "full").where(~equal).select("bucket")
+    """Buckets of ``span`` heights whose rows are not the same multiset.  Only digests are shuffled.
+
+    Of each bucket, in any order: how many rows, and sums of two hashes of 64 bits in halves, which do not overflow; b's count below 0.
+    """
+    halves = [x for h in row_digest(columns) for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    bucket = F.floor(F.col(height) / span).alias("bucket")
+    sides = (x.select(bucket, F.lit(n).cast("long").alias("n"), *((n * x).alias(f"h{i}") for i, x in enumerate(halves))) for x, n in ((a, 1), (b, -1)))
+    names = ("n", "h0", "h1", "h2", "h3")
+    more = next(sides).unionAll(next(sides)).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names))
+    return more.where(" OR ".join(f"{c} <> 0" for c in names)).select("bucket")
 
 
-#: Heights of a bucket on the way down.
-SPANS = (4096, 64)
+#: Heights of a bucket: a row of digests for so many is little beside the rows, and wider ones would only be read before them.
+SPANS = (64,)
 
 
 def differences(a: DataFrame, b: DataFrame, height: str, columns: list[str], spans: tuple[int, ...] = SPANS) -> DataFrame:
     """The columns of rows that one side has more often than the other, with only_a and only_b, how often.
 
-    The sides are compared by digests of wide buckets of heights, then, within those that differ, of narrower ones; rows are compared in what
-    is left.  Equal sources are read twice and shuffle a row a bucket.
+    The sides are compared by digests of buckets of heights, with several ``spans`` of wide buckets first; rows are compared in those that differ.
+    Equal sources are read once and shuffle a row a bucket.
     """
     a, b = a.select(*columns), b.select(*columns)
     for span in spans:
