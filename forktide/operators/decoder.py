@@ -112,7 +112,13 @@ def event_table(spark: SparkSession, events: dict) -> tuple[DataFrame, list[list
 
 
 def decode(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> DataFrame:
-    """logs (address, topics array<string>, data) with status, decoded_event (JSON) and decoder_version.
+    """logs (address, topics array<string>, data) with status, decoded_event (JSON) and decoder_version."""
+    done = decoded(logs, contracts, events)
+    return done.select(*logs.columns, "status", F.to_json("decoded_event").alias("decoded_event"), F.col("decoded_event.decoder_version").alias("decoder_version"))
+
+
+def decoded(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> DataFrame:
+    """logs (address, topics array<string>, data) with status and decoded_event, the struct that becomes JSON; null if not decoded.
 
     The status is Decoded, UnknownAbi (address not registered), UnknownSignature (no topic, or no event with it) or
     DecodeFailure (the event is known, its topics or data do not fit).
@@ -132,16 +138,18 @@ def decode(logs: DataFrame, contracts: DataFrame, events: dict = EVENTS) -> Data
         return F.when(behind, _tail(data, w, kind)).otherwise(w)
 
     sized = F.col("_event").isNotNull() & (F.size("topics") == F.col("_topics")) & (F.length(data) >= WORD * F.col("_slots"))
-    both = both.withColumn("_words", F.when(sized, F.transform("_places", value)))
+    # rows without words send an empty list, not a null: Arrow's writer goes back over the whole run of null lists at each one
+    both = both.withColumn("_sized", F.coalesce(sized, F.lit(False)))
+    both = both.withColumn("_words", F.when(F.col("_sized"), F.transform("_places", value)).otherwise(F.array().cast("array<string>")))
     both = both.withColumn("_values", _reader(read)(F.col("_event"), F.col("_words")))
-    valid = F.coalesce(F.col("_values").isNotNull() & ~F.exists("_values", lambda v: v.isNull()), F.lit(False))
+    valid = F.col("_sized") & ~F.exists("_values", lambda v: v.isNull())
     body = F.struct(
         F.lit(1).alias("schema_version"), F.col("standard").alias("standard"), F.col("version").alias("decoder_version"), F.col("_name").alias("event"), F.col("_signature").alias("signature"),
         F.map_from_arrays("_args", "_values").alias("args"),
         F.transform("_args", lambda a, i: F.struct(a.alias("name"), F.get("_kinds", i).alias("type"), F.get("_values", i).alias("value"))).alias("ordered_args"),
     )
     status = F.when(F.col("standard").isNull(), "UnknownAbi").when(F.col("_event").isNull(), "UnknownSignature").when(valid, "Decoded").otherwise("DecodeFailure")
-    return both.select(*logs.columns, status.alias("status"), F.when(valid, F.to_json(body)).alias("decoded_event"), F.when(valid, F.col("version")).alias("decoder_version"))
+    return both.select(*logs.columns, status.alias("status"), F.when(valid, body).alias("decoded_event"))
 
 
 def status_counts(decoded: DataFrame) -> DataFrame:

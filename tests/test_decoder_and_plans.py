@@ -79,6 +79,24 @@ def test_dynamic_values(spark):
     assert [r["status"] for r in out] == ["Decoded"] + ["DecodeFailure"] * 5
 
 
+def test_rows_without_words_send_no_null_lists(spark, monkeypatch):
+    """Arrow's writer goes back over a run of null lists at each of them, so a batch of them took the square of its rows."""
+    sent = []
+
+    def spy(event, words):
+        sent.append(words)
+        return F.transform(words, lambda w: F.lower(w))
+
+    monkeypatch.setattr(decoder, "_reader", lambda kinds: spy)
+    logs = [("99" * 20, [decoder.TRANSFER], ""), (ERC20, None, None), (ERC20, [decoder.TRANSFER, topic("01"), topic("02")], word(5)), (ERC20, [decoder.TRANSFER], "01"), (None, [], None)]
+    df = spark.createDataFrame(logs, "address string, topics array<string>, data string")
+    events = {**decoder.EVENTS, ("erc20", "Bare", "ab" * 32): []}
+    out = decoder.decode(df.union(spark.createDataFrame([(ERC20, ["ab" * 32], "")], df.schema)), decoder.registry(spark, [(ERC20, "erc20", "a")]), events)
+    assert sorted(r["status"] for r in out.collect()) == sorted(["UnknownAbi", "UnknownSignature", "Decoded", "DecodeFailure", "UnknownAbi", "Decoded"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(sent) == 1 and "ELSE [] END" in plan
+
+
 def test_checksums():
     assert decoder.checksum_address("0x5aaeb6053f3e94c9b9a09f33669435e7ef1beaed") == "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1BeAed"
     assert decoder.keccak_256(b"Transfer(address,address,uint256)").hex() == decoder.TRANSFER
