@@ -37,19 +37,6 @@ SEPARATOR = b"|"
 SPACE_BEFORE_SPACE = re.compile(r" (?=\s|\Z)")
 
 
-class _Known(dict):
-    """chunk -> ids.  A chunk that is not there gets an empty gap, the same each time, which is filled once its ids are known."""
-
-    def __init__(self):
-        self.new: dict[bytes | str, bytearray] = {}
-
-    def __missing__(self, chunk) -> bytearray:
-        gap = self.new.get(chunk)
-        if gap is None:
-            gap = self.new[chunk] = bytearray()
-        return gap
-
-
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
@@ -65,7 +52,7 @@ class Encoder:
             self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith("\u0120")]] = True
         else:
             self.separator = int(np.frombuffer(self._alone([SEPARATOR.decode()])[0], "<u4")[0])
-        self.cache = _Known()
+        self.cache: dict[bytes | str, bytes] = {}
         self.older: dict[bytes | str, bytes] = {}
         self.ends: dict[str, bytes] = {}
 
@@ -98,23 +85,21 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
-            self.older, self.cache = self.cache, _Known()
+            self.older, self.cache = self.cache, {}
         split, begun = [self.chunks(t) for t in texts], [b""] * len(texts)
         if self.byte_level:
             begun, split = self._alone([s[0] for s in split]), [s[1:] for s in split]
-        look = self.cache.__getitem__
-        found = [list(map(look, s)) for s in split]
-        new, self.cache.new = self.cache.new, {}
+        new = set().union(*split).difference(self.cache)
         known = {c: ids for c in new if (ids := self.older.get(c)) is not None} if self.older else {}
-        names = [c for c in new if c not in known] if known else list(new)
+        names = list(new.difference(known)) if known else list(new)
         known.update(self._words(names) if self.byte_level else zip(names, self._fresh(names)))
-        for c, gap in new.items():
-            gap += known[c]
         self.cache.update(known)
+        look = self.cache.__getitem__
+        out = [head + b"".join(map(look, s)) for head, s in zip(begun, split)]
         for c in known:
             if len(c) > CACHE_LENGTH:
                 del self.cache[c]
-        return [head + b"".join(f) for head, f in zip(begun, found)]
+        return out
 
     def _words(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks, letters and the signs behind them apart: byte BPE never joins the two, and letters come again sooner."""
