@@ -46,6 +46,8 @@ WINDOW_STEPS = 5
 BLOCK = 4096
 #: Digests of chunks that a task remembers to have stored, before it begins anew.
 REMEMBERED = 200_000
+#: Rows of an Arrow batch: different chunks of text are looked up once for all of them.
+ROWS = 1024
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:
@@ -363,7 +365,7 @@ def reconstruct(spark: SparkSession, path: str, doc_ids: list[int] | None = None
 
 
 def op6_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    bounded_batches(spark, ROWS)
     path = shared_dir(spark)
     write_store(documents(spark, sf_dir), path, public_path("byte_bpe_50k.json"))
     return read_store(spark, path)
